@@ -430,10 +430,12 @@ def _(spark, sf):
     return items.select("cell", F.posexplode("q").alias("node", "q")).withColumn("q", rounded("q"))
 
 
-def _model(spark: SparkSession, sf: str, kind: str, n: int, cell: str = "l_returnflag") -> DataFrame:
+def _model(
+    spark: SparkSession, sf: str, kind: str, n: int, cell: str = "l_returnflag", value: str = "l_quantity"
+) -> DataFrame:
     ends = cubes.ship_days(spark, sf)
     return qdm.train_qdm(
-        cubes.daily_series(spark, sf, "F", cell), cubes.daily_series(spark, sf, "O", cell), "v", kind,
+        cubes.daily_series(spark, sf, "F", cell, value), cubes.daily_series(spark, sf, "O", cell, value), "v", kind,
         quantiles_n=n, reference_range=ends, historical_range=ends,
     )
 
@@ -454,12 +456,12 @@ def _(spark, sf):
 
 @query(
     "train_qdm_multiplicative",
-    f"""WITH {sql.pools()}, {sql.model(20, '*')}
+    f"""WITH {sql.pools(value='l_extendedprice')}, {sql.model(20, '*')}
 SELECT cell, CAST(doy AS INTEGER) AS doy, CAST(i AS INTEGER) AS node, round(af[i + 1], 6) AS af
 FROM model, (SELECT unnest(generate_series(0, 19)) AS i) AS o""",
 )
 def _(spark, sf):
-    model = _model(spark, sf, "multiplicative", 20)
+    model = _model(spark, sf, "multiplicative", 20, value="l_extendedprice")
     return model.select("cell", "doy", F.posexplode("af").alias("node", "af")).withColumn("af", rounded("af"))
 
 
@@ -467,14 +469,14 @@ def _(spark, sf):
     "train_qdm_suppliers",
     f"""WITH {sql.pools('l_suppkey')}, {sql.model(20, '+')}
 SELECT cell, CAST(doy AS INTEGER) AS doy, CAST(n_hist AS INTEGER) AS n_hist, CAST(n_ref AS INTEGER) AS n_ref,
-       round(hist_q[1], 6) AS lowest_q, round(hist_q[20], 6) AS highest_q, round(list_sum(af) / 20, 6) AS mean_af
+       round(hist_q[1], 6) AS lowest_q, round(hist_q[20], 6) AS highest_q, round(list_sum(af), 6) AS total_af
 FROM model""",
 )
 def _(spark, sf):
-    mean = F.aggregate("af", F.lit(0.0), lambda a, x: a + x) / 20
+    total = F.aggregate("af", F.lit(0.0), lambda a, x: a + x)
     return _model(spark, sf, "+", 20, "l_suppkey").select(
         "cell", "doy", "n_hist", "n_ref", rounded(F.get("hist_q", F.lit(0)), "lowest_q"),
-        rounded(F.get("hist_q", F.lit(19)), "highest_q"), rounded(mean, "mean_af"),
+        rounded(F.get("hist_q", F.lit(19)), "highest_q"), rounded(total, "total_af"),
     )
 
 
@@ -595,9 +597,10 @@ COARSE_RANKED = f"""ranked AS (
          2 * count(*) FILTER (WHERE m.v < t.coarse) + count(*) FILTER (WHERE m.v = t.coarse) + 1 AS rank2, count(*) AS n
   FROM paired AS t
   JOIN (SELECT cell, (s + k) // 365 AS yr, (s + k) % 365 + 1 AS doy, coarse AS v
-        FROM paired, (SELECT unnest(generate_series(-15, 15)) AS k) AS o, ends WHERE s + k BETWEEN lo AND hi) AS m
+        FROM paired, (SELECT unnest(generate_series(-15, 15)) AS k) AS o, ends
+        WHERE coarse IS NOT NULL AND s + k BETWEEN lo AND hi) AS m
     ON m.cell = t.cell AND m.doy = t.doy AND m.yr BETWEEN t.s // 365 - {HALF_YEARS} AND t.s // 365 + {HALF_YEARS}
-  WHERE t.s // 365 BETWEEN {FULL_YEARS[0]} AND {FULL_YEARS[-1]}
+  WHERE t.coarse IS NOT NULL AND t.s // 365 BETWEEN {FULL_YEARS[0]} AND {FULL_YEARS[-1]}
   GROUP BY t.cell, t.date, t.doy, t.coarse),
 scaled AS (
   SELECT k.cell, k.date, k.v + q.af AS v
@@ -627,15 +630,15 @@ def _(spark, sf):
 
 @query(
     "broadcast_coarse",
-    f"""WITH {sql.FINE}
+    f"""WITH {sql.series('l_linestatus', False)}
 SELECT c.cell, m.date, round(m.v, 6) AS v
-FROM (SELECT date, avg(fine) AS v FROM paired GROUP BY date) AS m CROSS JOIN (SELECT DISTINCT cell FROM paired) AS c""",
+FROM (SELECT date, avg(v) AS v FROM line GROUP BY date) AS m CROSS JOIN (SELECT DISTINCT cell FROM line) AS c""",
 )
 def _(spark, sf):
     return tiled_coarse(spark, sf).select("cell", "date", rounded("v"))
 
 
-@query("spatial_mean", f"WITH {sql.FINE} SELECT date, round(avg(fine), 6) AS v FROM paired GROUP BY date")
+@query("spatial_mean", f"WITH {sql.series('l_linestatus', False)} SELECT date, round(avg(v), 6) AS v FROM line GROUP BY date")
 def _(spark, sf):
     return qplad.spatial_mean(cubes.fine_series(spark, sf), ["v"]).select("date", rounded("v"))
 

@@ -55,13 +55,15 @@ def temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def daily_series(spark: SparkSession, sf_dir: str, status: str | None, cell: str = "l_returnflag") -> DataFrame:
-    """Daily mean quantity per cell of one line status, on the noleap calendar."""
+def daily_series(
+    spark: SparkSession, sf_dir: str, status: str | None, cell: str = "l_returnflag", value: str = "l_quantity"
+) -> DataFrame:
+    """Daily mean of ``value`` per cell of one line status (or of both), on the noleap calendar."""
     items = table(spark, sf_dir, "lineitem")
     if status is not None:
         items = items.filter(F.col("l_linestatus") == status)
     days = items.groupBy(F.col(cell).alias("cell"), F.to_date("l_shipdate").alias("date"))
-    return remove_leap_days(days.agg(F.avg("l_quantity").alias("v")))
+    return remove_leap_days(days.agg(F.avg(value).alias("v")))
 
 
 def ship_days(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:

@@ -40,12 +40,12 @@ ENDS = f"""ends AS (
   FROM (SELECT CAST(min(l_shipdate) AS DATE) AS a, CAST(max(l_shipdate) AS DATE) AS b FROM lineitem) AS e)"""
 
 
-def series(cell: str = "l_returnflag", by_status: bool = True) -> str:
+def series(cell: str = "l_returnflag", by_status: bool = True, value: str = "l_quantity") -> str:
     """``line``: the daily series with their step and calendar fields."""
     status = "l_linestatus" if by_status else "'*'"
     return f"""line AS (
   SELECT *, {step('date')} AS s, {step('date')} // 365 AS yr, {step('date')} % 365 + 1 AS doy
-  FROM (SELECT {cell} AS cell, {status} AS side, CAST(l_shipdate AS DATE) AS date, avg(l_quantity) AS v
+  FROM (SELECT {cell} AS cell, {status} AS side, CAST(l_shipdate AS DATE) AS date, avg({value}) AS v
         FROM lineitem
         WHERE NOT (month(l_shipdate) = 2 AND day(l_shipdate) = 29)
         GROUP BY ALL) AS d)"""
@@ -57,8 +57,8 @@ POOLS = """members AS (
   WHERE s + k BETWEEN lo AND hi)"""
 
 
-def pools(cell: str = "l_returnflag", by_status: bool = True) -> str:
-    return f"{ENDS},\n{series(cell, by_status)},\n{POOLS}"
+def pools(cell: str = "l_returnflag", by_status: bool = True, value: str = "l_quantity") -> str:
+    return f"{ENDS},\n{series(cell, by_status, value)},\n{POOLS}"
 
 
 def model(n: int, kind: str) -> str:
@@ -87,14 +87,19 @@ def ranked(first: int, last: int, half_years: int, same_doy: bool = False) -> st
   GROUP BY t.cell, t.date, t.doy, t.v)"""
 
 
-# The single line status per cell, its coarse mean over both, and pooled pairs in coarse order.
+# Both line statuses as fine cells on the full axis, and their mean as the coarse value of both.
 FINE = f"""{ENDS},
 {series('l_linestatus', False)},
-paired AS (SELECT cell, date, s, doy, v AS fine, avg(v) OVER (PARTITION BY date) AS coarse FROM line)"""
+paired AS (
+  SELECT c.cell, a.s, a.s % 365 + 1 AS doy, {noleap_date('(a.s // 365)', '(a.s % 365 + 1)')} AS date, l.v AS fine,
+         avg(l.v) OVER (PARTITION BY a.s) AS coarse
+  FROM (SELECT DISTINCT cell FROM line) AS c
+  CROSS JOIN (SELECT unnest(generate_series(CAST(lo AS BIGINT), CAST(hi AS BIGINT))) AS s FROM ends) AS a
+  LEFT JOIN line AS l ON l.cell = c.cell AND l.s = a.s)"""
 
 QPLAD = """pairs AS (
   SELECT cell, (s + k) % 365 + 1 AS doy, s, coarse, fine,
-         row_number() OVER (PARTITION BY cell, (s + k) % 365 ORDER BY coarse, s) AS r
+         row_number() OVER (PARTITION BY cell, (s + k) % 365 ORDER BY coarse NULLS LAST, s) AS r
   FROM paired, (SELECT unnest(generate_series(-15, 15)) AS k) AS o, ends
   WHERE (s + k) // 365 > lo // 365 AND (s + k) // 365 < hi // 365),
 qplad AS (SELECT cell, doy, r, fine - coarse AS af FROM pairs)"""
