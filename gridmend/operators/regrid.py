@@ -115,7 +115,8 @@ def conservative_axis_weights(
             "idx", (F.col("lo") + F.col("by")).alias("lo"), (F.col("hi") + F.col("by")).alias("hi")
         )
     cells = cells.select(F.col("idx").alias("src"), F.col("lo").alias("s_lo"), F.col("hi").alias("s_hi"))
-    overlap = measure(F.least("hi", "s_hi")) - measure(F.greatest("lo", "s_lo"))
+    shared = measure(F.least("hi", "s_hi")) - measure(F.greatest("lo", "s_lo"))
+    overlap = F.when(F.col("src").isNotNull(), shared)
     shares = (
         target.select(F.col("idx").alias("dst"), F.col("center").alias("label"), "lo", "hi")
         .join(small_side(cells), (F.col("s_lo") < F.col("hi")) & (F.col("s_hi") > F.col("lo")), "left")
