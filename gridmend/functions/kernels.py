@@ -11,7 +11,8 @@ from typing import NamedTuple
 
 import numpy as np
 
-DAYS_IN_BLOCK = 73
+DAYS_IN_BLOCK = 122
+LAST_BLOCK = 2  # 122 + 122 + 121 days, 122 on a leap year
 
 
 class PoolSpec(NamedTuple):
@@ -34,6 +35,14 @@ def split_steps(steps: np.ndarray, calendar: str) -> tuple[np.ndarray, np.ndarra
     return years.astype(int) + 1970, (days - years.astype("datetime64[D]")).astype(int)
 
 
+def block_span(block: int, spec: PoolSpec) -> tuple[int, int]:
+    """First 0-based day of the year of a block, and its length."""
+    first_day = block * DAYS_IN_BLOCK
+    if block < LAST_BLOCK:
+        return first_day, DAYS_IN_BLOCK
+    return first_day, (365 if spec.calendar == "noleap" else 366) - first_day
+
+
 @lru_cache(maxsize=32)
 def centres(lo: int, hi: int, block: int, spec: PoolSpec) -> tuple[int, int, np.ndarray]:
     """First year, first 0-based day and the (year, day) table of window centres of a block.
@@ -43,12 +52,8 @@ def centres(lo: int, hi: int, block: int, spec: PoolSpec) -> tuple[int, int, np.
     """
     steps = np.arange(lo, hi + 1)
     years, days = split_steps(steps, spec.calendar)
-    last_block = 365 // DAYS_IN_BLOCK - 1
-    mine = np.minimum(days // DAYS_IN_BLOCK, last_block) == block
-    first_day = block * DAYS_IN_BLOCK
-    width = DAYS_IN_BLOCK
-    if block == last_block and spec.calendar != "noleap":
-        width += 1
+    first_day, width = block_span(block, spec)
+    mine = (days >= first_day) & (days < first_day + width)
     table = np.full((years[-1] - years[0] + 1, width), steps.size + 3 * spec.half)
     table[years[mine] - years[0], days[mine] - first_day] = steps[mine] - lo + spec.half
     return int(years[0]), first_day, table

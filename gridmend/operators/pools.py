@@ -2,9 +2,9 @@
 
 The pool of a day of the year holds the values within half a window of every day with that number, over
 all years. A pool needs its cell's days from a fixed stretch of the year only, so the cube is shuffled
-once on (cell, block of days): rows near a block's edge go to both blocks (about 1.4 copies per row for a
-31-day window, instead of 31), and no group grows beyond years x (block + window) rows. Even a single cell
-spreads over five tasks.
+once on (cell, block of days): rows near a block's edge go to both blocks (1.25 copies per row for a 31-day
+window, instead of 31), and no group grows beyond years x (block + window) rows. Even a single cell spreads
+over three tasks.
 """
 
 from __future__ import annotations
@@ -17,14 +17,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmend.functions import kernels, timeaxis
-from gridmend.functions.kernels import DAYS_IN_BLOCK, PoolSpec
+from gridmend.functions.kernels import DAYS_IN_BLOCK, LAST_BLOCK, PoolSpec
 
-LAST_BLOCK = 365 // DAYS_IN_BLOCK - 1
+AXIS_BITS = 24
 
 
 def pool_spec(calendar: str, window: int) -> PoolSpec:
-    if window % 2 == 0 or not 0 < window <= 2 * DAYS_IN_BLOCK:
-        raise ValueError(f"window must be odd and at most {2 * DAYS_IN_BLOCK}, got {window}")
+    longest = 2 * (365 - LAST_BLOCK * DAYS_IN_BLOCK) + 1  # a row must not reach past a whole block
+    if window % 2 == 0 or not 0 < window <= longest:
+        raise ValueError(f"window must be odd and at most {longest}, got {window}")
     return PoolSpec(calendar, window)
 
 
@@ -35,8 +36,8 @@ def block_of_doy(doy: Column) -> Column:
 def spread_to_blocks(cube: DataFrame, spec: PoolSpec, time_range: tuple | None = None) -> DataFrame:
     """Copy every row to the blocks whose pools may hold it.
 
-    Adds ``_step``, ``_block``, ``_home`` (the row's own day lies in the block) and the axis ends
-    ``_lo``, ``_hi``.
+    The ``date`` becomes ``_step``; ``_block`` is added, and ``_axis``: first step and length of the time
+    axis in one number, because every column handed to Python costs.
     """
     lo, hi = timeaxis.axis_bounds(cube, spec.calendar, time_range)
     near = [
@@ -45,15 +46,19 @@ def spread_to_blocks(cube: DataFrame, spec: PoolSpec, time_range: tuple | None =
     ]
     return (
         cube.withColumn("_step", timeaxis.step(F.col("date"), spec.calendar))
-        .withColumn("_lo", lo)
-        .withColumn("_hi", hi)
-        .withColumn("_own", near[1])
+        .drop("date")
+        .withColumn("_axis", F.shiftleft(lo.cast("bigint"), AXIS_BITS) + (hi - lo))
         .withColumn("_block", F.explode(F.array_distinct(F.array(*near))))
-        .withColumn("_home", F.col("_own") == F.col("_block"))
-        .drop("_own")
     )
 
 
+def axis_ends(table: pa.Table) -> tuple[int, int]:
+    """First and last step of the time axis a group's rows belong to."""
+    axis = table["_axis"][0].as_py()
+    lo = axis >> AXIS_BITS
+    return lo, lo + (axis & ((1 << AXIS_BITS) - 1))
+
+
 def cell_schema(cube: DataFrame, cell_cols: Sequence[str]) -> str:
     """DDL of the cell columns, with a trailing comma."""
     return "".join(f"`{c}` {cube.schema[c].dataType.simpleString()}, " for c in cell_cols)
@@ -107,7 +112,7 @@ def doy_window_pool(
 
 def block_windows(table: pa.Table, column: str, block: int, spec: PoolSpec):
     """(first year, first day, windows) of one group's ``column``."""
-    lo, hi = table["_lo"][0].as_py(), table["_hi"][0].as_py()
+    lo, hi = axis_ends(table)
     year, day, centre = kernels.centres(lo, hi, block, spec)
     series = kernels.spread(table["_step"].to_numpy(), table[column].to_numpy(), lo, hi, spec)
     return year, day, kernels.windows(series, centre, spec)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmend.functions import kernels, timeaxis
-from gridmend.functions.kernels import DAYS_IN_BLOCK, PoolSpec
+from gridmend.functions.kernels import PoolSpec
 from gridmend.functions.nodes import apply_correction, kind_symbol, nearest_node_by_rank, node_positions
 from gridmend.operators import pools
 
@@ -42,11 +42,12 @@ def train_qdm(
         picked = cube.select(
             *cell_cols, "date", F.col(value_col).cast("double").alias("_value"), F.lit(is_reference).alias("_ref")
         )
-        return pools.spread_to_blocks(picked, spec, time_range).drop("date", "_home")
+        return pools.spread_to_blocks(picked, spec, time_range)
 
     def side_quantiles(part: pa.Table, block: int):
         if part.num_rows == 0:
-            return np.empty((DAYS_IN_BLOCK, nodes.size)), np.zeros(DAYS_IN_BLOCK, int)
+            width = kernels.block_span(block, spec)[1]
+            return np.empty((width, nodes.size)), np.zeros(width, int)
         flat, sizes = kernels.sorted_pools(pools.block_windows(part, "_value", block, spec)[2])
         return kernels.quantiles(flat, sizes, nodes), sizes
 
@@ -55,12 +56,11 @@ def train_qdm(
         is_reference = table["_ref"].to_numpy()
         ref_q, n_ref = side_quantiles(table.filter(pa.array(is_reference)), block)
         hist_q, n_hist = side_quantiles(table.filter(pa.array(~is_reference)), block)
-        width = min(n_ref.size, n_hist.size)
-        used = np.flatnonzero((n_ref[:width] > 0) & (n_hist[:width] > 0))
+        used = np.flatnonzero((n_ref > 0) & (n_hist > 0))
         return pa.table(
             {
                 **pools.repeat_key(key, cell_cols, used.size),
-                "doy": pa.array(block * DAYS_IN_BLOCK + used + 1, pa.int32()),
+                "doy": pa.array(kernels.block_span(block, spec)[0] + used + 1, pa.int32()),
                 "n_hist": pa.array(n_hist[used], pa.int32()),
                 "n_ref": pa.array(n_ref[used], pa.int32()),
                 "hist_q": pools.list_column(hist_q[used]),
@@ -114,11 +114,12 @@ def sim_quantile(
         days, rank2, size = _rank_group(table, key[-1].as_py(), spec, years, half_years)
         return pa.table(_day_columns(key, cell_cols, days, rank2, size))
 
-    schema = pools.cell_schema(simulation, cell_cols) + "date date, _value double, sim_rank2 bigint, sim_n int"
+    schema = pools.cell_schema(simulation, cell_cols) + "_step int, _value double, sim_rank2 bigint, sim_n int"
     ranked = rows.groupBy(*cell_cols, "_block").applyInArrow(rank, schema)
     kept_type = simulation.schema[value_col].dataType
+    date = timeaxis.date_of_step(F.col("_step"), calendar).alias("date")
     return ranked.select(
-        *cell_cols, "date", F.col("_value").cast(kept_type).alias(value_col), *_quantile_columns()
+        *cell_cols, date, F.col("_value").cast(kept_type).alias(value_col), *_quantile_columns()
     )
 
 
@@ -162,13 +163,14 @@ def apply_qdm(
         return pa.table(_day_columns(key, cell_cols, days, rank2, size, af[at, node]))
 
     schema = pools.cell_schema(simulation, cell_cols) + (
-        "date date, _value double, sim_rank2 bigint, sim_n int, _factor double"
+        "_step int, _value double, sim_rank2 bigint, sim_n int, _factor double"
     )
     keys = [*cell_cols, "_block"]
     picked = rows.groupBy(*keys).cogroup(factors.groupBy(*keys)).applyInArrow(pick, schema)
     kept_type = astype or simulation.schema[value_col].dataType
     adjusted = apply_correction(F.col("_value"), F.col("_factor"), kind)
-    return picked.select(*cell_cols, "date", adjusted.cast(kept_type).alias(value_col), *_quantile_columns())
+    date = timeaxis.date_of_step(F.col("_step"), calendar).alias("date")
+    return picked.select(*cell_cols, date, adjusted.cast(kept_type).alias(value_col), *_quantile_columns())
 
 
 def apply_qdm_year(
@@ -206,7 +208,8 @@ def _rank_group(table: pa.Table, block: int, spec: PoolSpec, years: list[int], h
     wanted = slice(max(years[0] - year0, 0), min(years[-1] - year0 + 1, pool.shape[1]))
     below, equal, size = kernels.rank_counts(pool, pool[spec.half], half_years, wanted)
     year, day = kernels.split_steps(table["_step"].to_numpy(), spec.calendar)
-    mine = table["_home"].to_numpy() & np.isin(year, years)
+    width = pool.shape[2]
+    mine = (day >= first_day) & (day < first_day + width) & np.isin(year, years)
     at = year[mine] - year0, day[mine] - first_day
     return table.filter(pa.array(mine)), 2 * below[at] + equal[at] + 1, size[at]
 
@@ -216,7 +219,7 @@ def _day_columns(key, cell_cols, days: pa.Table, rank2, size, factor=None) -> di
     missing = np.isnan(days["_value"].to_numpy())
     columns = {
         **pools.repeat_key(key, cell_cols, days.num_rows),
-        "date": days["date"],
+        "_step": days["_step"],
         "_value": days["_value"],
         "sim_rank2": pa.array(rank2, pa.int64(), mask=missing),
         "sim_n": pa.array(size, pa.int32()),

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmend.functions import kernels, timeaxis
-from gridmend.functions.kernels import DAYS_IN_BLOCK
 from gridmend.functions.nodes import (
     apply_correction,
     kind_symbol,
@@ -69,14 +68,14 @@ def train_qplad(
         )
 
     both = side(coarse, False).unionByName(side(fine, True))
-    rows = pools.spread_to_blocks(both, spec, time_range).drop("date", "_home")
+    rows = pools.spread_to_blocks(both, spec, time_range)
     schema = pools.cell_schema(fine, cell_cols) + "doy int, af array<double>"
 
     def fit(key, table):
         block = key[-1].as_py()
         is_fine = table["_fine"].to_numpy()
         sides = []
-        lo, hi = table["_lo"][0].as_py(), table["_hi"][0].as_py()
+        lo, hi = pools.axis_ends(table)
         year0, first_day, centre = kernels.centres(lo, hi, block, spec)
         ends = kernels.split_steps(np.array([lo, hi]), spec.calendar)[0]
         full = slice(ends[0] - year0 + 1, ends[1] - year0)
