@@ -1,16 +1,29 @@
-"""Broadcasting behind a size check."""
+"""Small driver-side tables and broadcasting behind a size check."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows; larger tables are joined by shuffle.
+def local_table(spark: SparkSession, columns: Mapping[str, Sequence], schema: str) -> DataFrame:
+    """A table of driver-side values (axes, attributes, unit names) as a local relation of known size."""
+    kinds = {"int": pa.int32(), "double": pa.float64(), "string": pa.string()}
+    types = dict(field.strip().split() for field in schema.split(","))
+    return spark.createDataFrame(pa.table({name: pa.array(columns[name], kinds[types[name]]) for name in types}))
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows. An action that counts no further than that, so give it
+    axis or weight tables, not cubes."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
 
-    Counts at most ``max_rows + 1`` rows (an action), so give it axis, weight or unit tables, not cubes.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def broadcast_if(small: bool, df: DataFrame) -> DataFrame:
+    """Mark ``df`` for broadcast where its size has been checked; otherwise the join shuffles it."""
+    return F.broadcast(df) if small else df

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridmend.functions.joins import local_table
+
 # Fixed values: (canonical spelling, CF spelling, further accepted spellings).
 UNIT_SPELLINGS = (
     ("kelvin", "K", ("degK", "degree_Kelvin", "degrees_kelvin")),
@@ -24,9 +26,6 @@ UNIT_SPELLINGS = (
 
 def unit_table(spark: SparkSession) -> DataFrame:
     """``spelling`` -> ``canonical``, ``cf`` for every accepted spelling."""
-    rows = [
-        (spelling, canonical, cf)
-        for canonical, cf, others in UNIT_SPELLINGS
-        for spelling in sorted({canonical, cf, *others})
-    ]
-    return spark.createDataFrame(rows, "spelling string, canonical string, cf string")
+    spelled = [(s, canonical, cf) for canonical, cf, more in UNIT_SPELLINGS for s in sorted({canonical, cf, *more})]
+    columns = dict(zip(("spelling", "canonical", "cf"), zip(*spelled)))
+    return local_table(spark, columns, "spelling string, canonical string, cf string")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridmend.functions import timeaxis
@@ -112,16 +112,20 @@ def require_no_missing(cube: DataFrame, value_cols: Sequence[str]) -> DataFrame:
     return cube.filter(F.when(complete, True).otherwise(F.raise_error(message).cast("boolean")))
 
 
-def block_draws(year: Column, seed: int) -> list[Column]:
-    """The 0-based day of the 360-day year drawn in each of its five blocks; the same for all cells."""
-    return [
-        F.lit(BLOCK_360 * b) + F.floor(keyed_uniform(seed, year, F.lit(b)) * BLOCK_360).cast("int") for b in range(5)
+def block_draws(spark: SparkSession, first_year: Column, last_year: Column, seed: int) -> DataFrame:
+    """Per year, the 0-based day of the 360-day year drawn in each of its five blocks (``draws``); all
+    cells share them."""
+    years = spark.range(1).select(F.explode(F.sequence(first_year, last_year)).alias("year"))
+    drawn = [
+        F.lit(BLOCK_360 * b) + F.floor(keyed_uniform(seed, F.col("year"), F.lit(b)) * BLOCK_360).cast("int")
+        for b in range(5)
     ]
+    return years.select("year", F.array(*drawn).alias("draws"))
 
 
-def day360_to_date(year: Column, day360: Column, target: str, seed: int) -> Column:
+def day360_to_date(year: Column, day360: Column, draws: Column, target: str) -> Column:
     """Date a source day moves to: one day later for every drawn day before it."""
-    passed = sum(((draw < day360).cast("int") for draw in block_draws(year, seed)), F.lit(0))
+    passed = sum(((draws[b] < day360).cast("int") for b in range(5)), F.lit(0))
     day = day360 + 1 + passed
     if target == NOLEAP:
         return timeaxis.noleap_date(year, day)
@@ -160,9 +164,9 @@ def convert_360_day(
     last = ends["b"]
     if target == NOLEAP:
         last = F.when(timeaxis.is_leap_day(last), F.date_sub(last, 1)).otherwise(last)
-    moved = cube.select(
-        *cell_cols, day360_to_date(F.col("year"), F.col("day360"), target, seed).alias("date"), *value_cols
-    )
+    draws = block_draws(cube.sparkSession, F.year(ends["a"]), F.year(ends["b"]), seed)
+    date = day360_to_date(F.col("year"), F.col("day360"), F.col("draws"), target).alias("date")
+    moved = cube.join(F.broadcast(draws), "year").select(*cell_cols, date, *value_cols)  # one row per year
     out = densify(moved, value_cols, cell_cols, target, (ends["a"], last))
     return interpolate_gaps(out, value_cols, cell_cols, target) if interpolation else out
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmend.functions import kernels, timeaxis
+from gridmend.functions.joins import broadcast_if, is_small
 from gridmend.functions.nodes import (
     apply_correction,
     kind_symbol,
@@ -136,8 +137,13 @@ def apply_qplad(
 def broadcast_coarse(
     coarse: DataFrame, cell_map: DataFrame, coarse_col: str = "coarse_cell", fine_col: str = "cell"
 ) -> DataFrame:
-    """Tile coarse values onto fine cells: ``cell_map`` pairs each ``fine_col`` with its ``coarse_col``."""
-    return coarse.join(cell_map.select(coarse_col, fine_col), coarse_col).drop(coarse_col)
+    """Tile coarse values onto fine cells: ``cell_map`` pairs each ``fine_col`` with its ``coarse_col``.
+
+    Counts the cell map (a small action): broadcast, it keeps the days of a coarse cell with many fine
+    cells spread out; a map too large for that has many coarse cells to shuffle on.
+    """
+    pairs = broadcast_if(is_small(cell_map), cell_map.select(coarse_col, fine_col))
+    return coarse.join(pairs, coarse_col).drop(coarse_col)
 
 
 def spatial_mean(cube: DataFrame, value_cols: Sequence[str], by: Sequence[str] = ("date",)) -> DataFrame:

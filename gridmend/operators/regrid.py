@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridmend.functions.joins import small_side
+from gridmend.functions.joins import broadcast_if, is_small, local_table
 
 FULL_CIRCLE = 360.0
 BILINEAR, CONSERVATIVE = "bilinear", "conservative"
@@ -29,10 +29,13 @@ def axis_table(spark: SparkSession, centers: Sequence[float], edges: Sequence[fl
             raise ValueError("an axis with a single cell needs its edges")
         middle = [(a + b) / 2 for a, b in zip(centers, centers[1:])]
         edges = [2 * centers[0] - middle[0], *middle, 2 * centers[-1] - middle[-1]]
-    cells = [
-        (i, c, float(min(a, b)), float(max(a, b))) for i, (c, a, b) in enumerate(zip(centers, edges, edges[1:]))
-    ]
-    return spark.createDataFrame(cells, "idx int, center double, lo double, hi double")
+    bounds = {
+        "idx": range(len(centers)),
+        "center": centers,
+        "lo": [float(min(a, b)) for a, b in zip(edges, edges[1:])],
+        "hi": [float(max(a, b)) for a, b in zip(edges, edges[1:])],
+    }
+    return local_table(spark, bounds, "idx int, center double, lo double, hi double")
 
 
 def global_axis(spark: SparkSession, low: float, high: float, step: float) -> DataFrame:
@@ -91,7 +94,7 @@ def bilinear_axis_weights(source: DataFrame, target: DataFrame, period: float |
     )
     return (
         target.select(F.col("idx").alias("dst"), "center")
-        .join(small_side(brackets), within)
+        .join(broadcast_if(is_small(source), brackets), within)  # at most 3 brackets per source point
         .select("dst", F.col("center").alias("label"), F.size(parts).alias("parts"), F.explode(parts).alias("p"))
         .select("p.src", "dst", "label", "p.w", "parts")
     )
@@ -119,7 +122,7 @@ def conservative_axis_weights(
     overlap = F.when(F.col("src").isNotNull(), shared)
     shares = (
         target.select(F.col("idx").alias("dst"), F.col("center").alias("label"), "lo", "hi")
-        .join(small_side(cells), (F.col("s_lo") < F.col("hi")) & (F.col("s_hi") > F.col("lo")), "left")
+        .join(broadcast_if(is_small(source), cells), (F.col("s_lo") < F.col("hi")) & (F.col("s_hi") > F.col("lo")), "left")
         .groupBy("dst", "label", F.coalesce("src", F.lit(0)).alias("src"))
         .agg(F.sum(overlap / (measure(F.col("hi")) - measure(F.col("lo")))).alias("w"))
     )
@@ -144,7 +147,9 @@ def regrid(
 ) -> DataFrame:
     """Regrid to the (lat, lon) ``target_axes``: time columns, ``lat_idx``, ``lon_idx``, ``lat``, ``lon``, values.
 
-    A target value is missing if any source value it needs is. Counts the axis tables (small actions).
+    A target value is missing if any source value it needs is. Counts the axis tables (small actions):
+    an axis has no more weights than three times its source and target points together, so axes small
+    enough make their weights small enough to broadcast.
     """
     period = FULL_CIRCLE if periodic_lon else None
     (lat_from, lon_from), (lat_to, lon_to) = source_axes, target_axes
@@ -157,12 +162,11 @@ def regrid(
     else:
         raise ValueError(f"method must be {BILINEAR!r} or {CONSERVATIVE!r}, got {method!r}")
 
+    small = all(is_small(axis) for axis in (*source_axes, *target_axes))
+
     def named(weights: DataFrame, dim: str) -> DataFrame:
-        return small_side(
-            weights.select(
-                F.col("src").alias(f"{dim}_idx"), F.col("dst").alias(f"_{dim}"), F.col("label").alias(dim), "w", "parts"
-            )
-        )
+        target = F.col("dst").alias(f"_{dim}"), F.col("label").alias(dim)
+        return broadcast_if(small, weights.select(F.col("src").alias(f"{dim}_idx"), *target, "w", "parts"))
 
     rows = cube.select(*time_cols, "lat_idx", "lon_idx", *[F.col(v).cast("double").alias(v) for v in value_cols])
     by_lat = (
@@ -195,7 +199,7 @@ def apply_weights(
     A target value is missing if any of its source values is. Counts the weights table (a small action).
     """
     parts = F.count("*").over(Window.partitionBy("dst_cell")).alias("parts")
-    weighted = small_side(weights.select("src_cell", "dst_cell", "w", parts))
+    weighted = broadcast_if(is_small(weights), weights.select("src_cell", "dst_cell", "w", parts))
     rows = cube.select(*time_cols, "src_cell", *[F.col(v).cast("double").alias(v) for v in value_cols])
     sums = rows.join(weighted, "src_cell").groupBy(*time_cols, "dst_cell").agg(*[_weighted_sum(v) for v in value_cols])
     return sums.select(*time_cols, "dst_cell", *[F.col(v).cast(astype or cube.schema[v].dataType).alias(v) for v in value_cols])

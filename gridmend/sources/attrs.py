@@ -11,12 +11,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridmend.functions.joins import local_table
+
 ATTRS_SCHEMA = "variable string, pos int, key string, value string"
 
 
 def attrs_table(spark: SparkSession, attrs: Mapping[str, str], variable: str | None = None) -> DataFrame:
-    rows = [(variable, i, k, str(v)) for i, (k, v) in enumerate(attrs.items())]
-    return spark.createDataFrame(rows, ATTRS_SCHEMA)
+    n = len(attrs)
+    columns = {"variable": [variable] * n, "pos": range(n), "key": list(attrs), "value": [str(v) for v in attrs.values()]}
+    return local_table(spark, columns, ATTRS_SCHEMA)
 
 
 def read_attrs(spark: SparkSession, path: str) -> DataFrame:
