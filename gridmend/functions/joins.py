@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +19,11 @@ def local_table(spark: SparkSession, columns: Mapping[str, Sequence], schema: st
     return spark.createDataFrame(pa.table({name: pa.array(columns[name], kinds[types[name]]) for name in types}))
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows. An action that counts no further than that, so give it
-    axis or weight tables, not cubes."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(*tables: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether the tables together have at most ``max_rows`` rows. An action, one job that counts no
+    further than that, so give it axis or weight tables, not cubes."""
+    rows = [t.limit(max_rows + 1).select(F.lit(1)) for t in tables]
+    return reduce(DataFrame.unionAll, rows).count() <= max_rows
 
 
 def broadcast_if(small: bool, df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ A *step* numbers the days of a time axis without gaps: days since 1970-01-01 on
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,20 +68,33 @@ def step_360(year: Column, month: Column, day: Column) -> Column:
     return year * 360 + (month - 1) * 30 + day - 1
 
 
-def axis_bounds(cube: DataFrame, calendar: str = NOLEAP, time_range: tuple | None = None) -> tuple[Column, Column]:
-    """First and last step of the cube's time axis.
+def time_axis(cube: DataFrame, time_range: tuple | DataFrame | None = None) -> tuple | DataFrame:
+    """Ends of a cube's time axis: a pair of dates, or a one-row table with the dates ``first`` and ``last``.
 
-    ``time_range`` states their dates, as values or as columns; without it they are a scalar subquery over
-    the ``date`` column.
+    ``time_range`` states them in either form; without it they are looked up in the ``date`` column.
     """
     if time_range is not None:
-        return tuple(step(date_column(d), calendar) for d in time_range)
-    ends = cube.agg(F.struct(F.min("date").alias("a"), F.max("date").alias("b")).alias("ends")).scalar()
-    return step(ends["a"], calendar), step(ends["b"], calendar)
+        return time_range
+    return cube.agg(F.min("date").alias("first"), F.max("date").alias("last"))
 
 
-def date_column(value) -> Column:
-    return value if isinstance(value, Column) else F.lit(value).cast("date")
+def clip_axis(axis: tuple | DataFrame, first: dt.date, last: dt.date) -> tuple | DataFrame:
+    """The part of a time axis between two dates."""
+    if isinstance(axis, DataFrame):
+        return axis.select(F.greatest("first", F.lit(first)).alias("first"), F.least("last", F.lit(last)).alias("last"))
+    return max(as_date(axis[0]), first), min(as_date(axis[1]), last)
+
+
+def axis_value(axis: tuple | DataFrame, calendar: str, combine: Callable[[Column, Column], Column]) -> Column:
+    """``combine`` of the first and last step of an axis: a literal, or one scalar subquery."""
+    if isinstance(axis, DataFrame):
+        ends = combine(step(F.col("first"), calendar), step(F.col("last"), calendar))
+        return axis.select(ends.alias("value")).scalar()
+    return combine(*[step(F.lit(as_date(d)), calendar) for d in axis])
+
+
+def as_date(value) -> dt.date:
+    return value if isinstance(value, dt.date) else dt.date.fromisoformat(str(value))
 
 
 def label_bounds(first, last) -> tuple:

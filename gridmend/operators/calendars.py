@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmend.functions import timeaxis
@@ -54,14 +54,15 @@ def densify(
     value_cols: Sequence[str],
     cell_cols: Sequence[str] = ("cell",),
     calendar: str = STANDARD,
-    time_range: tuple | None = None,
+    time_range: tuple | DataFrame | None = None,
 ) -> DataFrame:
     """Give every cell a row on every day of the axis, with missing values where it had none.
 
-    ``time_range`` holds the first and last date, as values or columns; without it the cube's own ends are
-    looked up. Each row writes out the days up to its successor, so no scaffold is joined.
+    ``time_range`` states the ends of the axis (see ``timeaxis.time_axis``). Each row writes out the days up to its successor, so no scaffold is joined.
     """
-    lo, hi = timeaxis.axis_bounds(cube, calendar, time_range)
+    axis = timeaxis.time_axis(cube, time_range)
+    lo = timeaxis.axis_value(axis, calendar, lambda first, _: first)
+    hi = timeaxis.axis_value(axis, calendar, lambda _, last: last)
     by_day = Window.partitionBy(*cell_cols).orderBy("_step")
     rows = cube.select(*cell_cols, *value_cols, timeaxis.step(F.col("date"), calendar).alias("_step"))
     rows = rows.withColumn("_from", F.when(F.row_number().over(by_day) == 1, lo).otherwise(F.col("_step")))
@@ -112,10 +113,10 @@ def require_no_missing(cube: DataFrame, value_cols: Sequence[str]) -> DataFrame:
     return cube.filter(F.when(complete, True).otherwise(F.raise_error(message).cast("boolean")))
 
 
-def block_draws(spark: SparkSession, first_year: Column, last_year: Column, seed: int) -> DataFrame:
-    """Per year, the 0-based day of the 360-day year drawn in each of its five blocks (``draws``); all
+def block_draws(axis: DataFrame, seed: int) -> DataFrame:
+    """Per year of the axis, the 0-based day of the 360-day year drawn in each of its five blocks (``draws``); all
     cells share them."""
-    years = spark.range(1).select(F.explode(F.sequence(first_year, last_year)).alias("year"))
+    years = axis.select(F.explode(F.sequence(F.year("first"), F.year("last"))).alias("year"))
     drawn = [
         F.lit(BLOCK_360 * b) + F.floor(keyed_uniform(seed, F.col("year"), F.lit(b)) * BLOCK_360).cast("int")
         for b in range(5)
@@ -158,16 +159,14 @@ def convert_360_day(
         cube = require_no_missing(cube, value_cols)
     source_month = F.floor(F.col("day360") / 30).cast("int") + 1
     first_of_month = F.make_date(F.col("year"), source_month, F.lit(1))
-    ends = cube.agg(
-        F.struct(F.min(first_of_month).alias("a"), F.last_day(F.max(first_of_month)).alias("b")).alias("ends")
-    ).scalar()
-    last = ends["b"]
+    last = F.last_day(F.max(first_of_month))
     if target == NOLEAP:
         last = F.when(timeaxis.is_leap_day(last), F.date_sub(last, 1)).otherwise(last)
-    draws = block_draws(cube.sparkSession, F.year(ends["a"]), F.year(ends["b"]), seed)
+    axis = cube.agg(F.min(first_of_month).alias("first"), last.alias("last"))
+    draws = block_draws(axis, seed)
     date = day360_to_date(F.col("year"), F.col("day360"), F.col("draws"), target).alias("date")
     moved = cube.join(F.broadcast(draws), "year").select(*cell_cols, date, *value_cols)  # one row per year
-    out = densify(moved, value_cols, cell_cols, target, (ends["a"], last))
+    out = densify(moved, value_cols, cell_cols, target, axis)
     return interpolate_gaps(out, value_cols, cell_cols, target) if interpolation else out
 
 

@@ -33,13 +33,16 @@ def block_of_doy(doy: Column) -> Column:
     return F.least(F.floor((doy - 1) / DAYS_IN_BLOCK), F.lit(LAST_BLOCK)).cast("int")
 
 
-def spread_to_blocks(cube: DataFrame, spec: PoolSpec, time_range: tuple | None = None) -> DataFrame:
+def spread_to_blocks(cube: DataFrame, spec: PoolSpec, time_range: tuple | DataFrame | None = None) -> DataFrame:
     """Copy every row to the blocks whose pools may hold it.
 
     The ``date`` becomes ``_step``; ``_block`` is added, and ``_axis``: first step and length of the time
     axis in one number, because every column handed to Python costs.
     """
-    lo, hi = timeaxis.axis_bounds(cube, spec.calendar, time_range)
+    axis = timeaxis.time_axis(cube, time_range)
+    packed = timeaxis.axis_value(
+        axis, spec.calendar, lambda lo, hi: F.shiftleft(lo.cast("bigint"), AXIS_BITS) + (hi - lo)
+    )
     near = [
         block_of_doy(timeaxis.doy_of_step(F.col("_step") + offset, spec.calendar))
         for offset in (-spec.half, 0, spec.half)
@@ -47,7 +50,7 @@ def spread_to_blocks(cube: DataFrame, spec: PoolSpec, time_range: tuple | None =
     return (
         cube.withColumn("_step", timeaxis.step(F.col("date"), spec.calendar))
         .drop("date")
-        .withColumn("_axis", F.shiftleft(lo.cast("bigint"), AXIS_BITS) + (hi - lo))
+        .withColumn("_axis", packed)
         .withColumn("_block", F.explode(F.array_distinct(F.array(*near))))
     )
 
@@ -80,7 +83,7 @@ def doy_window_pool(
     cell_cols: Sequence[str] = ("cell",),
     window: int = 31,
     calendar: str = timeaxis.NOLEAP,
-    time_range: tuple | None = None,
+    time_range: tuple | DataFrame | None = None,
 ) -> DataFrame:
     """Pool of every (cell, day of year): ``doy``, ``n`` and the ascending values ``pool``.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 import numpy as np
@@ -26,8 +27,8 @@ def train_qdm(
     quantiles_n: int = 100,
     window: int = 31,
     calendar: str = timeaxis.NOLEAP,
-    reference_range: tuple | None = None,
-    historical_range: tuple | None = None,
+    reference_range: tuple | DataFrame | None = None,
+    historical_range: tuple | DataFrame | None = None,
 ) -> DataFrame:
     """Model of one row per (cell, doy): ``n_hist``, ``n_ref``, ``hist_q`` and ``af`` per quantile node.
 
@@ -82,12 +83,11 @@ def sel_year_window(cube: DataFrame, first: int, last: int | None = None, half_y
     """
     last = first if last is None else last
     start, end = _window_ends(first, last, half_years)
-    return cube.filter(F.col("date").between(start, end))
+    return cube.filter(F.col("date").between(F.lit(start), F.lit(end)))
 
 
-def _window_ends(first: int, last: int, half_years: int) -> tuple[Column, Column]:
-    start, end = f"{first - half_years - 1:04d}-12-17", f"{last + half_years + 1:04d}-01-15"
-    return F.lit(start).cast("date"), F.lit(end).cast("date")
+def _window_ends(first: int, last: int, half_years: int) -> tuple[dt.date, dt.date]:
+    return dt.date(first - half_years - 1, 12, 17), dt.date(last + half_years + 1, 1, 15)
 
 
 def sim_quantile(
@@ -99,7 +99,7 @@ def sim_quantile(
     window: int = 31,
     calendar: str = timeaxis.NOLEAP,
     rank_scope: str = POOLED,
-    time_range: tuple | None = None,
+    time_range: tuple | DataFrame | None = None,
 ) -> DataFrame:
     """Quantile of every simulated day of ``years`` in its pool: the days around it, +-``half_years``.
 
@@ -134,7 +134,7 @@ def apply_qdm(
     window: int = 31,
     calendar: str = timeaxis.NOLEAP,
     rank_scope: str = POOLED,
-    time_range: tuple | None = None,
+    time_range: tuple | DataFrame | None = None,
     astype: str | None = None,
 ) -> DataFrame:
     """Adjust the days of ``years`` by the factor of the quantile node nearest to each day's quantile.
@@ -195,9 +195,7 @@ def _rows_to_rank(cube, value_col, years, cell_cols, half_years, spec, time_rang
     """Days the pools of ``years`` need, spread to blocks. The years are cut before the shuffle: a filter
     on the output could not pass below the pools."""
     if time_range is not None:
-        first, last = _window_ends(years[0], years[-1], half_years)
-        lo, hi = (timeaxis.date_column(d) for d in time_range)
-        time_range = (F.greatest(lo, first), F.least(hi, last))
+        time_range = timeaxis.clip_axis(time_range, *_window_ends(years[0], years[-1], half_years))
     picked = cube.select(*cell_cols, "date", F.col(value_col).cast("double").alias("_value"))
     return pools.spread_to_blocks(sel_year_window(picked, years[0], years[-1], half_years), spec, time_range)
 

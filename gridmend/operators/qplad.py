@@ -52,7 +52,7 @@ def train_qplad(
     quantiles_n: int = 620,
     window: int = 31,
     calendar: str = timeaxis.NOLEAP,
-    time_range: tuple | None = None,
+    time_range: tuple | DataFrame | None = None,
 ) -> DataFrame:
     """Model of one row per (cell, doy): ``af``, a factor per rank of the coarse pool.
 

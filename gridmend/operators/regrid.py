@@ -61,11 +61,13 @@ def _turns(period: float) -> Column:
     return F.explode(F.array(F.lit(-period), F.lit(0.0), F.lit(period))).alias("by")
 
 
-def bilinear_axis_weights(source: DataFrame, target: DataFrame, period: float | None = None) -> DataFrame:
+def bilinear_axis_weights(
+    source: DataFrame, target: DataFrame, period: float | None = None, small: bool = False
+) -> DataFrame:
     """``src``, ``dst``, ``label``, ``w``, ``parts``: the source points around every target centre.
 
     A target centre outside the source's hull gets one part without a weight, so its values come out
-    missing; with a ``period`` there is no outside.
+    missing; with a ``period`` there is no outside. ``small`` says the source axis may be broadcast.
     """
     points = source.select("idx", "center")
     if period is not None:
@@ -94,14 +96,19 @@ def bilinear_axis_weights(source: DataFrame, target: DataFrame, period: float |
     )
     return (
         target.select(F.col("idx").alias("dst"), "center")
-        .join(broadcast_if(is_small(source), brackets), within)  # at most 3 brackets per source point
+        .join(broadcast_if(small, brackets), within)  # at most 4 brackets per source point
         .select("dst", F.col("center").alias("label"), F.size(parts).alias("parts"), F.explode(parts).alias("p"))
         .select("p.src", "dst", "label", "p.w", "parts")
     )
 
 
 def conservative_axis_weights(
-    source: DataFrame, target: DataFrame, period: float | None = None, on_sphere: bool = False, renormalise: bool = False
+    source: DataFrame,
+    target: DataFrame,
+    period: float | None = None,
+    on_sphere: bool = False,
+    renormalise: bool = False,
+    small: bool = False,
 ) -> DataFrame:
     """``src``, ``dst``, ``label``, ``w``, ``parts``: the share of each target cell a source cell covers.
 
@@ -122,7 +129,7 @@ def conservative_axis_weights(
     overlap = F.when(F.col("src").isNotNull(), shared)
     shares = (
         target.select(F.col("idx").alias("dst"), F.col("center").alias("label"), "lo", "hi")
-        .join(broadcast_if(is_small(source), cells), (F.col("s_lo") < F.col("hi")) & (F.col("s_hi") > F.col("lo")), "left")
+        .join(broadcast_if(small, cells), (F.col("s_lo") < F.col("hi")) & (F.col("s_hi") > F.col("lo")), "left")
         .groupBy("dst", "label", F.coalesce("src", F.lit(0)).alias("src"))
         .agg(F.sum(overlap / (measure(F.col("hi")) - measure(F.col("lo")))).alias("w"))
     )
@@ -147,23 +154,22 @@ def regrid(
 ) -> DataFrame:
     """Regrid to the (lat, lon) ``target_axes``: time columns, ``lat_idx``, ``lon_idx``, ``lat``, ``lon``, values.
 
-    A target value is missing if any source value it needs is. Counts the axis tables (small actions):
-    an axis has no more weights than three times its source and target points together, so axes small
+    A target value is missing if any source value it needs is. Counts the axis tables (a small action): an
+    axis has no more weights than three times its source and target points together, so axes small
     enough make their weights small enough to broadcast.
     """
     period = FULL_CIRCLE if periodic_lon else None
     (lat_from, lon_from), (lat_to, lon_to) = source_axes, target_axes
+    small = is_small(*source_axes, *target_axes)
     if method == BILINEAR:
-        lat_w = bilinear_axis_weights(lat_from, lat_to)
-        lon_w = bilinear_axis_weights(lon_from, lon_to, period)
+        lat_w = bilinear_axis_weights(lat_from, lat_to, small=small)
+        lon_w = bilinear_axis_weights(lon_from, lon_to, period, small)
     elif method == CONSERVATIVE:
-        lat_w = conservative_axis_weights(lat_from, lat_to, None, True, renormalise)
-        lon_w = conservative_axis_weights(lon_from, lon_to, period, False, renormalise)
+        lat_w = conservative_axis_weights(lat_from, lat_to, None, True, renormalise, small)
+        lon_w = conservative_axis_weights(lon_from, lon_to, period, False, renormalise, small)
     else:
         raise ValueError(f"method must be {BILINEAR!r} or {CONSERVATIVE!r}, got {method!r}")
 
-    small = all(is_small(axis) for axis in (*source_axes, *target_axes))
-
     def named(weights: DataFrame, dim: str) -> DataFrame:
         target = F.col("dst").alias(f"_{dim}"), F.col("label").alias(dim)
         return broadcast_if(small, weights.select(F.col("src").alias(f"{dim}_idx"), *target, "w", "parts"))

@@ -66,12 +66,10 @@ def daily_series(
     return remove_leap_days(days.agg(F.avg(value).alias("v")))
 
 
-def ship_days(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
-    """First and last day of the axis all daily series share, as scalar subqueries over one column."""
-    ends = table(spark, sf_dir, "lineitem").agg(
-        F.struct(F.to_date(F.min("l_shipdate")).alias("a"), F.to_date(F.max("l_shipdate")).alias("b")).alias("ends")
-    ).scalar()
-    return ends["a"], ends["b"]
+def ship_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ends of the time axis all daily series share, from one column."""
+    dates = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate"))
+    return dates.agg(F.to_date(F.min("l_shipdate")).alias("first"), F.to_date(F.max("l_shipdate")).alias("last"))
 
 
 def fine_series(spark: SparkSession, sf_dir: str) -> DataFrame:
