@@ -124,30 +124,55 @@ def block_draws(axis: DataFrame, seed: int) -> DataFrame:
     return years.select("year", F.array(*drawn).alias("draws"))
 
 
-def day360_to_date(year: Column, day360: Column, draws: Column, target: str) -> Column:
-    """Date a source day moves to: one day later for every drawn day before it."""
-    passed = sum(((draws[b] < day360).cast("int") for b in range(5)), F.lit(0))
-    day = day360 + 1 + passed
+def day360_to_date(year: Column, day360: Column, target: str, draws: Column | None = None) -> Column:
+    """Date a source day moves to: one day later for every drawn day before it, or without draws to the
+    same share of the target year, halves to the even day."""
+    long_year = F.lit(target == STANDARD) & timeaxis.is_leap_year(year)
+    if draws is None:
+        day = F.bround((day360 + 1) * F.when(long_year, 366).otherwise(365) / 360)
+    else:
+        day = day360 + 1 + sum(((draws[b] < day360).cast("int") for b in range(5)), F.lit(0))
+        day = day + F.when(long_year & (day >= 60), 1).otherwise(0)
     if target == NOLEAP:
         return timeaxis.noleap_date(year, day)
-    day = day + F.when(timeaxis.is_leap_year(year) & (day >= 60), 1).otherwise(0)
     return F.date_add(F.make_date(year, F.lit(1), F.lit(1)), (day - 1).cast("int"))
 
 
+def _move_360_days(cube: DataFrame, target: str, align_on: str, axis: DataFrame, seed: int) -> DataFrame:
+    """Add the target ``date`` of every source day; days that have none are left out."""
+    year, day360 = F.col("year"), F.col("day360")
+    if align_on == "random":
+        draws = F.broadcast(block_draws(axis, seed))  # one row per year
+        return cube.join(draws, "year").withColumn("date", day360_to_date(year, day360, target, F.col("draws")))
+    if align_on == "year":
+        return cube.withColumn("date", day360_to_date(year, day360, target))
+    if align_on == "date":
+        first_of_month = F.make_date(year, F.floor(day360 / 30).cast("int") + 1, F.lit(1))
+        date = F.date_add(first_of_month, (day360 % 30).cast("int"))
+        valid = F.month("date") == F.month(first_of_month)
+        if target == NOLEAP:
+            valid = valid & ~timeaxis.is_leap_day(F.col("date"))
+        return cube.withColumn("date", date).filter(valid)
+    raise ValueError(f"align_on must be 'random', 'year' or 'date', got {align_on!r}")
+
+
 def convert_360_day(
     cube: DataFrame,
     value_cols: Sequence[str],
     cell_cols: Sequence[str] = ("cell",),
     target: str = NOLEAP,
+    align_on: str = "random",
     interpolation: str | None = "linear",
     seed: int = 0,
     ignore_missing: bool = True,
 ) -> DataFrame:
     """360-day calendar to ``noleap`` or ``standard``, filling the inserted days.
 
-    Five days are inserted per year, one at a random place in each 72 source days, drawn anew for every
-    year; on the standard calendar 29 February of a leap year is inserted too. ``interpolation=None``
-    leaves inserted days missing. The output runs over whole source months.
+    By default five days are inserted per year, one at a random place in each 72 source days, drawn anew
+    for every year; on the standard calendar 29 February of a leap year is inserted too.
+    ``align_on="year"`` inserts them at regular intervals, ``"date"`` keeps month and day and drops days
+    the target calendar lacks. ``interpolation=None`` leaves inserted days missing. The output runs over
+    whole source months.
     """
     if "day360" not in cube.columns:
         raise ValueError("the cube is not on the 360-day calendar")
@@ -163,9 +188,7 @@ def convert_360_day(
     if target == NOLEAP:
         last = F.when(timeaxis.is_leap_day(last), F.date_sub(last, 1)).otherwise(last)
     axis = cube.agg(F.min(first_of_month).alias("first"), last.alias("last"))
-    draws = block_draws(axis, seed)
-    date = day360_to_date(F.col("year"), F.col("day360"), F.col("draws"), target).alias("date")
-    moved = cube.join(F.broadcast(draws), "year").select(*cell_cols, date, *value_cols)  # one row per year
+    moved = _move_360_days(cube, target, align_on, axis, seed).select(*cell_cols, "date", *value_cols)
     out = densify(moved, value_cols, cell_cols, target, axis)
     return interpolate_gaps(out, value_cols, cell_cols, target) if interpolation else out
 

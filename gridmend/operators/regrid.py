@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from gridmend.functions.joins import broadcast_if, is_small, local_table
 
 FULL_CIRCLE = 360.0
-BILINEAR, CONSERVATIVE = "bilinear", "conservative"
+BILINEAR, CONSERVATIVE, CONSERVATIVE_NORMED = "bilinear", "conservative", "conservative_normed"
 
 
 def axis_table(spark: SparkSession, centers: Sequence[float], edges: Sequence[float] | None = None) -> DataFrame:
@@ -149,12 +149,12 @@ def regrid(
     method: str = BILINEAR,
     time_cols: Sequence[str] = ("date",),
     periodic_lon: bool = False,
-    renormalise: bool = False,
     astype: str | None = None,
 ) -> DataFrame:
     """Regrid to the (lat, lon) ``target_axes``: time columns, ``lat_idx``, ``lon_idx``, ``lat``, ``lon``, values.
 
-    A target value is missing if any source value it needs is. Counts the axis tables (a small action): an
+    ``conservative`` shares refer to whole target cells, ``conservative_normed`` to their covered part. A
+    target value is missing if any source value it needs is. Counts the axis tables (a small action): an
     axis has no more weights than three times its source and target points together, so axes small
     enough make their weights small enough to broadcast.
     """
@@ -164,11 +164,12 @@ def regrid(
     if method == BILINEAR:
         lat_w = bilinear_axis_weights(lat_from, lat_to, small=small)
         lon_w = bilinear_axis_weights(lon_from, lon_to, period, small)
-    elif method == CONSERVATIVE:
+    elif method in (CONSERVATIVE, CONSERVATIVE_NORMED):
+        renormalise = method == CONSERVATIVE_NORMED
         lat_w = conservative_axis_weights(lat_from, lat_to, None, True, renormalise, small)
         lon_w = conservative_axis_weights(lon_from, lon_to, period, False, renormalise, small)
     else:
-        raise ValueError(f"method must be {BILINEAR!r} or {CONSERVATIVE!r}, got {method!r}")
+        raise ValueError(f"method must be {BILINEAR!r}, {CONSERVATIVE!r} or {CONSERVATIVE_NORMED!r}, got {method!r}")
 
     def named(weights: DataFrame, dim: str) -> DataFrame:
         target = F.col("dst").alias(f"_{dim}"), F.col("label").alias(dim)

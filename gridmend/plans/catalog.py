@@ -347,6 +347,18 @@ def _(spark, sf):
     return calendars.convert_360_day(cubes.points_360(spark, sf), ["v"]).withColumn("v", rounded("v"))
 
 
+@query("convert_360_day_by_year", f"WITH {sql.points_360('noleap', align_on='year')} SELECT cell, date, v FROM dense")
+def _(spark, sf):
+    return calendars.convert_360_day(cubes.points_360(spark, sf), ["v"], align_on="year", interpolation=None)
+
+
+@query("convert_360_day_by_date", f"WITH {sql.points_360('standard', align_on='date')} SELECT cell, date, v FROM dense")
+def _(spark, sf):
+    return calendars.convert_360_day(
+        cubes.points_360(spark, sf), ["v"], target=timeaxis.STANDARD, align_on="date", interpolation=None
+    )
+
+
 DENSE_SUPPLIERS = f"""{sql.ENDS}, {sql.series('l_suppkey', False)},
 dense AS (
   SELECT c.cell, a.t, l.v

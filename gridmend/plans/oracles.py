@@ -143,7 +143,7 @@ JOIN (SELECT *, count(*) OVER (PARTITION BY lon_to) AS nx FROM lon_w) AS lon_w O
 GROUP BY g.date, lat_to, lon_to"""
 
 
-def points_360(target: str, seed: int = 0) -> str:
+def points_360(target: str, seed: int = 0, align_on: str = "random") -> str:
     """``moved``: 360-day points at their target dates; ``axis``: the full target axis; ``dense``: both."""
     day = "f.i + 1 + (SELECT count(*) FROM draws AS d WHERE d.year = f.year AND d.rm < f.i)"
     if target == "noleap":
@@ -152,13 +152,20 @@ def points_360(target: str, seed: int = 0) -> str:
     else:
         date = f"(make_date(year, 1, 1) + CAST(day - 1 + CASE WHEN {leap('year')} AND day >= 60 THEN 1 ELSE 0 END AS INTEGER))"
         kept = ""
+    moved = f"SELECT cell, {date} AS date, v FROM placed"
+    if align_on == "year":
+        days = "CAST(round_even((i + 1) * 365 / 360.0, 0) AS BIGINT)"
+        moved = f"SELECT cell, {noleap_date('year', days)} AS date, v FROM f360"
+    if align_on == "date":
+        moved = """SELECT cell, make_date(year, i // 30 + 1, 1) + CAST(i % 30 AS INTEGER) AS date, v FROM f360
+  WHERE month(make_date(year, i // 30 + 1, 1) + CAST(i % 30 AS INTEGER)) = i // 30 + 1"""
     return f"""f360 AS (
   SELECT event_id // 720 AS cell, 1951 + (event_id // 360) % 2 AS year, event_id % 360 AS i, value AS v FROM events),
 draws AS (
   SELECT year, b, 72 * b + CAST(floor({uniform(seed, 'year', 'b')} * 72) AS BIGINT) AS rm
   FROM (SELECT DISTINCT year FROM f360) AS y, (SELECT unnest(generate_series(0, 4)) AS b) AS o),
 placed AS (SELECT cell, year, v, {day} AS day FROM f360 AS f),
-moved AS (SELECT cell, {date} AS date, v FROM placed),
+moved AS ({moved}),
 axis AS (
   SELECT CAST(date AS DATE) AS date FROM (
     SELECT unnest(generate_series(

@@ -38,6 +38,17 @@ def test_year_lengths_and_inserted_days(two_years, seed):
     assert gaps[0] == gaps[1]
 
 
+def test_regular_and_dated_alignment(two_years):
+    def gaps(**options):
+        out = calendars.convert_360_day(two_years, ["v"], interpolation=None, **options)
+        return [r["date"].strftime("%m-%d") for r in out.filter("cell = 0 AND v IS NULL AND year(date) = 1951").orderBy("date").collect()]
+
+    assert gaps(align_on="year") == ["02-06", "04-19", "07-02", "09-12", "11-25"]
+    assert gaps(align_on="date") == [f"{m:02d}-31" for m in (1, 3, 5, 7, 8, 10, 12)]
+    with pytest.raises(ValueError, match="align_on"):
+        gaps(align_on="month")
+
+
 def test_single_gaps_become_the_mean_of_their_neighbours(two_years):
     gaps = calendars.inserted_mask(calendars.convert_360_day(two_years, ["v"], interpolation=None), ["v"])
     marks = [r["v"] for r in gaps.filter("cell = 0").orderBy("date").collect()]

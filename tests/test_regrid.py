@@ -66,7 +66,7 @@ def test_partial_cover_counts_in_full_or_is_renormalised(spark):
     part = cube.filter("lon_idx < 3")
     out = {r["lon_idx"]: r["v"] for r in regrid.regrid(part, (axes[0], half), target, ["v"], "conservative").filter("lat_idx = 0").collect()}
     assert abs(out[0] - 4.5) < 1e-9 and out[1] is None
-    whole = regrid.regrid(part, (axes[0], half), target, ["v"], "conservative", renormalise=True)
+    whole = regrid.regrid(part, (axes[0], half), target, ["v"], "conservative_normed")
     assert abs(whole.filter("lat_idx = 0 AND lon_idx = 0").first()["v"] - 6) < 1e-9
 
 
