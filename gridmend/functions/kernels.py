@@ -6,7 +6,6 @@ year plus its halo, so its input is bounded by the calendar (years x (block + wi
 
 from __future__ import annotations
 
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -14,6 +13,8 @@ import numpy as np
 DAYS_IN_BLOCK = 122
 LAST_BLOCK = 2  # 122 + 122 + 121 days, 122 on a leap year
 
+_centres: dict[tuple, tuple] = {}  # a plain dict, unlike functools.lru_cache, travels with the module
+
 
 class PoolSpec(NamedTuple):
     """How days are pooled: a centred ``window`` of time steps around every day of the year."""
@@ -43,13 +44,21 @@ def block_span(block: int, spec: PoolSpec) -> tuple[int, int]:
     return first_day, (365 if spec.calendar == "noleap" else 366) - first_day
 
 
-@lru_cache(maxsize=32)
 def centres(lo: int, hi: int, block: int, spec: PoolSpec) -> tuple[int, int, np.ndarray]:
     """First year, first 0-based day and the (year, day) table of window centres of a block.
 
     Entries are positions in the padded series of ``spread``; days the axis lacks point into its
-    empty tail.
+    empty tail. A worker keeps the tables it built: all cells share them.
     """
+    key = (lo, hi, block, spec)
+    if key not in _centres:
+        if len(_centres) >= 32:
+            _centres.clear()
+        _centres[key] = _build_centres(*key)
+    return _centres[key]
+
+
+def _build_centres(lo: int, hi: int, block: int, spec: PoolSpec) -> tuple[int, int, np.ndarray]:
     steps = np.arange(lo, hi + 1)
     years, days = split_steps(steps, spec.calendar)
     first_day, width = block_span(block, spec)

@@ -1,5 +1,9 @@
 """Every registered query against its SQL."""
 
+import subprocess
+import sys
+import tempfile
+
 import pytest
 
 import __spark_entry__ as entry
@@ -25,3 +29,18 @@ def test_query_agrees_with_sql(spark, con, name):
 
 def test_flagship(spark):
     assert entry.entry(spark).columns == ["cell", "date", "v", "sim_q"]
+
+
+def test_kernels_travel_with_the_job():
+    """Workers that cannot import the package still unpickle its functions."""
+    from pyspark import cloudpickle
+    from gridmend.functions import kernels
+
+    data = cloudpickle.dumps(lambda: kernels.centres(0, 800, 0, kernels.PoolSpec()))
+    assert b"dynamic_subimport" in data
+    code = "import pickle, sys; sys.path[:] = [p for p in sys.path if p]; print(pickle.load(open(sys.argv[1], 'rb'))()[2].shape)"
+    with tempfile.TemporaryDirectory() as folder:
+        with open(f"{folder}/f", "wb") as f:
+            f.write(data)
+        out = subprocess.run([sys.executable, "-c", code, f"{folder}/f"], cwd=folder, capture_output=True, text=True, check=True)
+    assert out.stdout.strip() == "(3, 122)"
