@@ -1,9 +1,9 @@
 """Regridding between rectilinear lat/lon grids: a sparse product, done as joins and sums.
 
 Both methods separate into a latitude and a longitude step, so the weights are two axis tables instead of
-one entry per pair of cells. After the latitude weights each row carries its target latitude, and one
-shuffle on (time, target latitude) serves both sums; no key of it holds more rows than one latitude
-circle needs.
+one entry per pair of cells. Rows are shuffled once, on (time, band of target latitudes), before they are
+multiplied by weights: that moves each source row about once however many target cells it reaches, both
+sums stay within their task, and a key holds no more rows than one band of one time step.
 
 An axis table has ``idx``, ``center`` and, for conservative regridding, the cell edges ``lo`` and ``hi``.
 """
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from gridmend.functions.joins import broadcast_if, is_small, local_table
 
 FULL_CIRCLE = 360.0
+BAND = 64  # target latitudes that share a shuffle key
 BILINEAR, CONSERVATIVE, CONSERVATIVE_NORMED = "bilinear", "conservative", "conservative_normed"
 
 
@@ -173,18 +174,23 @@ def regrid(
 
     def named(weights: DataFrame, dim: str) -> DataFrame:
         target = F.col("dst").alias(f"_{dim}"), F.col("label").alias(dim)
-        return broadcast_if(small, weights.select(F.col("src").alias(f"{dim}_idx"), *target, "w", "parts"))
+        return weights.select(F.col("src").alias(f"{dim}_idx"), *target, "w", "parts")
 
+    lat_w, lon_w = named(lat_w, "lat"), named(lon_w, "lon")
+    lat_w = lat_w.withColumn("_band", F.floor(F.col("_lat") / BAND).cast("int"))
+    reached = broadcast_if(small, lat_w.select("lat_idx", "_band").distinct())
     rows = cube.select(*time_cols, "lat_idx", "lon_idx", *[F.col(v).cast("double").alias(v) for v in value_cols])
+    keys = [*time_cols, "_band"]
     by_lat = (
-        rows.join(named(lat_w, "lat"), "lat_idx")
-        .repartition(*[F.col(t) for t in time_cols], F.col("_lat"))
-        .groupBy(*time_cols, "_lat", "lat", "lon_idx")
+        rows.join(reached, "lat_idx")
+        .repartition(*[F.col(k) for k in keys])
+        .join(broadcast_if(small, lat_w), ["lat_idx", "_band"])
+        .groupBy(*keys, "_lat", "lat", "lon_idx")
         .agg(*[_weighted_sum(v) for v in value_cols])
     )
     both = (
-        by_lat.join(named(lon_w, "lon"), "lon_idx")
-        .groupBy(*time_cols, "_lat", "lat", "_lon", "lon")
+        by_lat.join(broadcast_if(small, lon_w), "lon_idx")
+        .groupBy(*keys, "_lat", "lat", "_lon", "lon")
         .agg(*[_weighted_sum(v) for v in value_cols])
     )
     kinds = {v: astype or cube.schema[v].dataType for v in value_cols}
