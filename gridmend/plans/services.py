@@ -61,11 +61,11 @@ def open_dataset(spark: SparkSession, path: str, sel: Slices = None, isel: Slice
 
 
 def _save(cube: DataFrame, path: str, attrs: DataFrame, region_sizes: Mapping[str, int] | None = None) -> None:
+    attrs = attributes.settled(attrs)
     if region_sizes:
         store.write_region(cube, path, region_sizes)
     else:
-        store.write_cube(cube, path, attrs.persist())
-        attrs.unpersist()
+        store.write_cube(cube, path, attrs)
 
 
 def _with_calendar(spark: SparkSession, attrs: DataFrame, calendar: str) -> DataFrame:

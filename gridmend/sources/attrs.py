@@ -22,6 +22,14 @@ def attrs_table(spark: SparkSession, attrs: Mapping[str, str], variable: str | N
     return local_table(spark, columns, ATTRS_SCHEMA)
 
 
+def settled(attrs: DataFrame) -> DataFrame:
+    """The same attributes, computed now. They are the metadata of one dataset; computing them before its
+    values brings up a bad one, such as an unknown unit, before the long job."""
+    rows = attrs.select("variable", "pos", "key", "value").collect()
+    columns = {name: [r[name] for r in rows] for name in ("variable", "pos", "key", "value")}
+    return local_table(attrs.sparkSession, columns, ATTRS_SCHEMA)
+
+
 def read_attrs(spark: SparkSession, path: str) -> DataFrame:
     """Root attributes from a file holding one JSON object, in the file's order."""
     text = spark.read.text(path, wholetext=True)

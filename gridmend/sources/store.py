@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from gridmend.operators.slicing import sel_slice
-from gridmend.sources.attrs import ATTRS_SCHEMA, merge_attrs
+from gridmend.sources.attrs import ATTRS_SCHEMA, attrs_table, merge_attrs
 
 
 def read_cube(spark: SparkSession, path: str, value_cols: Sequence[str] | None = None) -> DataFrame:
@@ -41,10 +42,12 @@ def write_attrs(attrs: DataFrame, path: str) -> None:
 
 def read_cube_attrs(spark: SparkSession, path: str) -> DataFrame:
     """The attributes written with a cube; empty if it has none."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_attrs")
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return spark.createDataFrame([], ATTRS_SCHEMA)
-    return spark.read.schema(ATTRS_SCHEMA).parquet(f"{path}/_attrs")
+    try:
+        return spark.read.schema(ATTRS_SCHEMA).parquet(f"{path}/_attrs")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return attrs_table(spark, {})
 
 
 def region_of(region_sizes: Mapping[str, int]) -> Column:
