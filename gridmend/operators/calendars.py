@@ -44,6 +44,14 @@ def decode_time(cube: DataFrame, number_col: str, origin: dt.date, calendar: str
     raise ValueError(f"unknown calendar {calendar!r}")
 
 
+def origin_of(time_units: str) -> dt.date:
+    """The origin of ``days since YYYY-MM-DD``, whatever time of day follows."""
+    words = time_units.split()
+    if words[:2] != ["days", "since"] or len(words) < 3:
+        raise ValueError(f"time must count 'days since' a date, got {time_units!r}")
+    return dt.date.fromisoformat(words[2].split("T")[0])
+
+
 def remove_leap_days(cube: DataFrame) -> DataFrame:
     """Standard to noleap: rows of 29 February go, the others keep their dates."""
     return cube.filter(~timeaxis.is_leap_day(F.col("date")))
@@ -205,9 +213,12 @@ def standardize_gcm(
     """Clean a raw model run: leftover coordinates, precipitation units, calendar.
 
     A 360-day run becomes noleap (standard if ``leapday_removal`` is off); any other loses its leap days
-    if ``leapday_removal`` is on. ``units`` gives the units of each variable.
+    if ``leapday_removal`` is on. ``units`` gives the units of each variable, and those of a ``time``
+    column of whole days that stands in for dates.
     """
     cube = squeeze_cruft(cube)
+    if "time" in cube.columns and (calendar == DAY360 or leapday_removal):
+        cube = decode_time(cube, "time", origin_of((units or {}).get("time", "")), calendar)
     if "pr" in value_cols:
         cube = pr_to_mm_day(cube, (units or {}).get("pr", ""))
     if calendar == DAY360:

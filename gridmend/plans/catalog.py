@@ -577,15 +577,16 @@ FULL_YEARS = range(1996, 2001)
 POOL_SIZE = len(FULL_YEARS) * 31
 
 
-def _cell_map(fine: DataFrame) -> DataFrame:
-    return fine.select("cell").distinct().withColumn("coarse_cell", F.lit("all"))
+def _cell_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Fine cells and the coarse cell each lies in."""
+    items = cubes.table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus").distinct()
+    return items.select(F.concat("l_returnflag", "l_linestatus").alias("cell"), F.col("l_returnflag").alias("coarse_cell"))
 
 
 def tiled_coarse(spark: SparkSession, sf: str) -> DataFrame:
-    """The mean of both fine cells, on each of them."""
-    fine = cubes.fine_series(spark, sf)
-    coarse = qplad.spatial_mean(fine, ["v"]).withColumn("coarse_cell", F.lit("all"))
-    return qplad.broadcast_coarse(coarse, _cell_map(fine))
+    """The mean of the fine cells of each coarse cell, on each of them."""
+    coarse = qplad.spatial_mean(cubes.fine_series(spark, sf), ["v"], ["coarse_cell", "date"])
+    return qplad.broadcast_coarse(coarse, _cell_map(spark, sf))
 
 
 def _downscaling_model(spark: SparkSession, sf: str, kind: str = "+") -> DataFrame:
@@ -640,17 +641,21 @@ def _(spark, sf):
     return downscaled_series(spark, sf, True).select("cell", "date", rounded("v"))
 
 
+FINE_SERIES = f"WITH {sql.series(sql.FINE_CELL, False)}"
+
+
 @query(
     "broadcast_coarse",
-    f"""WITH {sql.series('l_linestatus', False)}
+    f"""{FINE_SERIES}
 SELECT c.cell, m.date, round(m.v, 6) AS v
-FROM (SELECT date, avg(v) AS v FROM line GROUP BY date) AS m CROSS JOIN (SELECT DISTINCT cell FROM line) AS c""",
+FROM (SELECT substr(cell, 1, 1) AS coarse_cell, date, avg(v) AS v FROM line GROUP BY ALL) AS m
+JOIN (SELECT DISTINCT cell FROM line) AS c ON substr(c.cell, 1, 1) = m.coarse_cell""",
 )
 def _(spark, sf):
     return tiled_coarse(spark, sf).select("cell", "date", rounded("v"))
 
 
-@query("spatial_mean", f"WITH {sql.series('l_linestatus', False)} SELECT date, round(avg(v), 6) AS v FROM line GROUP BY date")
+@query("spatial_mean", f"{FINE_SERIES} SELECT date, round(avg(v), 6) AS v FROM line GROUP BY date")
 def _(spark, sf):
     return qplad.spatial_mean(cubes.fine_series(spark, sf), ["v"]).select("date", rounded("v"))
 

@@ -73,8 +73,13 @@ def ship_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fine_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily mean quantity of the two line statuses, the fine cells of one coarse cell."""
-    return daily_series(spark, sf_dir, None, "l_linestatus")
+    """Daily mean quantity of fine cells, one per return flag and line status; the two line statuses of a
+    return flag make up a coarse cell."""
+    fine_cell = F.concat("l_returnflag", "l_linestatus").alias("cell")
+    days = table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_returnflag").alias("coarse_cell"), fine_cell, F.to_date("l_shipdate").alias("date")
+    )
+    return remove_leap_days(days.agg(F.avg("l_quantity").alias("v")))
 
 
 def monthly_grid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,12 +87,14 @@ def ranked(first: int, last: int, half_years: int, same_doy: bool = False) -> st
   GROUP BY t.cell, t.date, t.doy, t.v)"""
 
 
-# Both line statuses as fine cells on the full axis, and their mean as the coarse value of both.
+FINE_CELL = "l_returnflag || l_linestatus"
+
+# Fine cells on the full axis, and the mean of the two that share a return flag as the coarse value of both.
 FINE = f"""{ENDS},
-{series('l_linestatus', False)},
+{series(FINE_CELL, False)},
 paired AS (
   SELECT c.cell, a.s, a.s % 365 + 1 AS doy, {noleap_date('(a.s // 365)', '(a.s % 365 + 1)')} AS date, l.v AS fine,
-         avg(l.v) OVER (PARTITION BY a.s) AS coarse
+         avg(l.v) OVER (PARTITION BY substr(c.cell, 1, 1), a.s) AS coarse
   FROM (SELECT DISTINCT cell FROM line) AS c
   CROSS JOIN (SELECT unnest(generate_series(CAST(lo AS BIGINT), CAST(hi AS BIGINT))) AS s FROM ends) AS a
   LEFT JOIN line AS l ON l.cell = c.cell AND l.s = a.s)"""

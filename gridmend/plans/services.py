@@ -22,7 +22,7 @@ from gridmend.sources import attrs as attributes
 from gridmend.sources import store
 
 CELL_KEYS = ("cell", "lat_idx", "lon_idx", "lat", "lon")
-TIME_KEYS = ("date", "year", "day360")
+TIME_KEYS = ("date", "year", "day360", "time")
 RANK_COLUMNS = ("sim_rank2", "sim_n")  # the exact rank behind sim_q, not a variable
 LAYOUT = ("region_id", "chunk_lat", "chunk_lon", "chunk_date")
 
@@ -268,6 +268,8 @@ def clean_cmip6(spark: SparkSession, path: str, out: str, leapday_removal: bool
         )
     from_360 = data.calendar == timeaxis.DAY360
     calendar = timeaxis.NOLEAP if leapday_removal else timeaxis.STANDARD if from_360 else data.calendar
+    if "time" in data.cube.columns and (from_360 or leapday_removal):  # now dates
+        attrs = attrs.filter(~(F.col("variable").eqNullSafe("time") & F.col("key").isin("units")))
     _save(clean, out, _with_calendar(spark, attrs, calendar))
 
 

@@ -106,6 +106,17 @@ def test_whole_day_offsets(spark):
     assert [(r["year"], r["day360"]) for r in rows] == [(2000, 0), (2000, 59), (2001, 6)]
 
 
+def test_numbered_days_are_decoded_when_cleaning(spark):
+    raw = spark.range(720).select(F.lit(0).alias("cell"), (F.col("id") + 360).alias("time"), F.col("id").cast("double").alias("tas"))
+    units = {"time": "days since 1950-01-01 00:00:00"}
+    assert per_year(calendars.standardize_gcm(raw, ["tas"], "360_day", units=units)) == {1951: 365, 1952: 365}
+    assert per_year(calendars.standardize_gcm(raw, ["tas"], "standard", units=units)) == {1950: 5, 1951: 365, 1952: 349}
+    untouched = calendars.standardize_gcm(raw, ["tas"], "standard", units=units, leapday_removal=False)
+    assert untouched.columns == raw.columns
+    with pytest.raises(ValueError, match="days since"):
+        calendars.standardize_gcm(raw, ["tas"], "standard", units={"time": "hours since 1950-01-01"})
+
+
 def test_cleaning_a_model_run(spark, two_years):
     raw = two_years.withColumnRenamed("v", "pr").withColumns({"member_id": F.lit("r1"), "height": F.lit(2.0)})
     units = {"pr": "kg m-2 s-1"}
