@@ -456,14 +456,15 @@ def _model(
     "train_qdm",
     f"""WITH {sql.pools()}, {sql.model(100, '+')}
 SELECT cell, CAST(doy AS INTEGER) AS doy, CAST(n_hist AS INTEGER) AS n_hist, CAST(n_ref AS INTEGER) AS n_ref, CAST(i AS INTEGER) AS node,
-       round(hist_q[i + 1], 6) AS hist_q, round(af[i + 1], 6) AS af
+       round(hist_q[i + 1], 7) AS hist_q, round(af[i + 1], 7) AS af
 FROM model, (SELECT unnest(generate_series(0, 99)) AS i) AS o""",
 )
 def _(spark, sf):
     long = _model(spark, sf, "additive", 100).select(
         "cell", "doy", "n_hist", "n_ref", F.posexplode(F.arrays_zip("hist_q", "af")).alias("node", "q")
     )
-    return long.select("cell", "doy", "n_hist", "n_ref", "node", rounded("q.hist_q", "hist_q"), rounded("q.af", "af"))
+    hist_q, af = (F.round(f"q.{name}", 7).alias(name) for name in ("hist_q", "af"))
+    return long.select("cell", "doy", "n_hist", "n_ref", "node", hist_q, af)
 
 
 @query(
