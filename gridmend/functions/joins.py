@@ -19,11 +19,17 @@ def local_table(spark: SparkSession, columns: Mapping[str, Sequence], schema: st
     return spark.createDataFrame(pa.table({name: pa.array(columns[name], kinds[types[name]]) for name in types}))
 
 
-def is_small(*tables: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the tables together have at most ``max_rows`` rows. An action, one job that counts no
-    further than that, so give it axis or weight tables, not cubes."""
-    rows = [t.limit(max_rows + 1).select(F.lit(1)) for t in tables]
-    return reduce(DataFrame.unionAll, rows).count() <= max_rows
+def row_counts(*tables: DataFrame, max_rows: int = BROADCAST_ROWS) -> list[int]:
+    """Rows of each table, counted no further than ``max_rows + 1``. An action, one job, so give it axis or
+    weight tables, not cubes."""
+    rows = [t.limit(max_rows + 1).select(F.lit(i).alias("i")) for i, t in enumerate(tables)]
+    found = {r["i"]: r["count"] for r in reduce(DataFrame.unionAll, rows).groupBy("i").count().collect()}
+    return [found.get(i, 0) for i in range(len(tables))]
+
+
+def is_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a table has at most ``max_rows`` rows (see ``row_counts``)."""
+    return row_counts(table, max_rows=max_rows)[0] <= max_rows
 
 
 def broadcast_if(small: bool, df: DataFrame) -> DataFrame:

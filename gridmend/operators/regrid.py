@@ -1,9 +1,11 @@
 """Regridding between rectilinear lat/lon grids: a sparse product, done as joins and sums.
 
 Both methods separate into a latitude and a longitude step, so the weights are two axis tables instead of
-one entry per pair of cells. Rows are shuffled once, on (time, band of target latitudes), before they are
-multiplied by weights: that moves each source row about once however many target cells it reaches, both
-sums stay within their task, and a key holds no more rows than one band of one time step.
+one entry per pair of cells. There is one shuffle. To a finer or similar grid, rows are shuffled on (time,
+band of target latitudes) before weights multiply them: that moves each source row about once however many
+target cells it reaches, both sums stay within their task, and a key holds no more rows than one band of
+one time step. To a coarser grid, rows are weighted first and summed map-side, so that at best only target
+values move.
 
 An axis table has ``idx``, ``center`` and, for conservative regridding, the cell edges ``lo`` and ``hi``.
 """
@@ -15,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridmend.functions.joins import broadcast_if, is_small, local_table
+from gridmend.functions.joins import BROADCAST_ROWS, broadcast_if, is_small, local_table, row_counts
 
 FULL_CIRCLE = 360.0
 BAND = 64  # target latitudes that share a shuffle key
@@ -161,7 +163,9 @@ def regrid(
     """
     period = FULL_CIRCLE if periodic_lon else None
     (lat_from, lon_from), (lat_to, lon_to) = source_axes, target_axes
-    small = is_small(*source_axes, *target_axes)
+    sizes = row_counts(*source_axes, *target_axes)
+    small = sum(sizes) <= BROADCAST_ROWS
+    coarser = 2 * sizes[2] * sizes[3] <= sizes[0] * sizes[1]
     if method == BILINEAR:
         lat_w = bilinear_axis_weights(lat_from, lat_to, small=small)
         lon_w = bilinear_axis_weights(lon_from, lon_to, period, small)
@@ -174,25 +178,34 @@ def regrid(
 
     def named(weights: DataFrame, dim: str) -> DataFrame:
         target = F.col("dst").alias(f"_{dim}"), F.col("label").alias(dim)
-        return weights.select(F.col("src").alias(f"{dim}_idx"), *target, "w", "parts")
+        return weights.select(
+            F.col("src").alias(f"{dim}_idx"), *target, F.col("w").alias(f"_w_{dim}"), F.col("parts").alias(f"_n_{dim}")
+        )
 
     lat_w, lon_w = named(lat_w, "lat"), named(lon_w, "lon")
-    lat_w = lat_w.withColumn("_band", F.floor(F.col("_lat") / BAND).cast("int"))
-    reached = broadcast_if(small, lat_w.select("lat_idx", "_band").distinct())
     rows = cube.select(*time_cols, "lat_idx", "lon_idx", *[F.col(v).cast("double").alias(v) for v in value_cols])
-    keys = [*time_cols, "_band"]
-    by_lat = (
-        rows.join(reached, "lat_idx")
-        .repartition(*[F.col(k) for k in keys])
-        .join(broadcast_if(small, lat_w), ["lat_idx", "_band"])
-        .groupBy(*keys, "_lat", "lat", "lon_idx")
-        .agg(*[_weighted_sum(v) for v in value_cols])
-    )
-    both = (
-        by_lat.join(broadcast_if(small, lon_w), "lon_idx")
-        .groupBy(*keys, "_lat", "lat", "_lon", "lon")
-        .agg(*[_weighted_sum(v) for v in value_cols])
-    )
+    if coarser:
+        weighted = rows.join(broadcast_if(small, lat_w), "lat_idx").join(broadcast_if(small, lon_w), "lon_idx")
+        weight, parts = F.col("_w_lat") * F.col("_w_lon"), F.col("_n_lat") * F.col("_n_lon")
+        both = weighted.groupBy(*time_cols, "_lat", "lat", "_lon", "lon").agg(
+            *[_weighted_sum(v, weight, parts) for v in value_cols]
+        )
+    else:
+        lat_w = lat_w.withColumn("_band", F.floor(F.col("_lat") / BAND).cast("int"))
+        reached = broadcast_if(small, lat_w.select("lat_idx", "_band").distinct())
+        keys = [*time_cols, "_band"]
+        by_lat = (
+            rows.join(reached, "lat_idx")
+            .repartition(*[F.col(k) for k in keys])
+            .join(broadcast_if(small, lat_w), ["lat_idx", "_band"])
+            .groupBy(*keys, "_lat", "lat", "lon_idx")
+            .agg(*[_weighted_sum(v, F.col("_w_lat"), F.col("_n_lat")) for v in value_cols])
+        )
+        both = (
+            by_lat.join(broadcast_if(small, lon_w), "lon_idx")
+            .groupBy(*keys, "_lat", "lat", "_lon", "lon")
+            .agg(*[_weighted_sum(v, F.col("_w_lon"), F.col("_n_lon")) for v in value_cols])
+        )
     kinds = {v: astype or cube.schema[v].dataType for v in value_cols}
     return both.select(
         *time_cols, F.col("_lat").alias("lat_idx"), F.col("_lon").alias("lon_idx"), "lat", "lon",
@@ -214,10 +227,12 @@ def apply_weights(
     parts = F.count("*").over(Window.partitionBy("dst_cell")).alias("parts")
     weighted = broadcast_if(is_small(weights), weights.select("src_cell", "dst_cell", "w", parts))
     rows = cube.select(*time_cols, "src_cell", *[F.col(v).cast("double").alias(v) for v in value_cols])
-    sums = rows.join(weighted, "src_cell").groupBy(*time_cols, "dst_cell").agg(*[_weighted_sum(v) for v in value_cols])
+    sums = rows.join(weighted, "src_cell").groupBy(*time_cols, "dst_cell").agg(
+        *[_weighted_sum(v, F.col("w"), F.col("parts")) for v in value_cols]
+    )
     return sums.select(*time_cols, "dst_cell", *[F.col(v).cast(astype or cube.schema[v].dataType).alias(v) for v in value_cols])
 
 
-def _weighted_sum(value: str) -> Column:
-    part = F.col(value) * F.col("w")
-    return F.when(F.count(part) == F.max("parts"), F.sum(part)).alias(value)
+def _weighted_sum(value: str, weight: Column, parts: Column) -> Column:
+    part = F.col(value) * weight
+    return F.when(F.count(part) == F.max(parts), F.sum(part)).alias(value)

@@ -689,13 +689,22 @@ def _(spark, sf):
     return _bilinear(spark, sf).withColumn("v", rounded("v"))
 
 
-@query("regrid_conservative", f"WITH {sql.GRID}, {sql.CONSERVATIVE_WEIGHTS} {sql.REGRIDDED}")
-def _(spark, sf):
-    target = regrid.global_axis(spark, -90, 90, 20), regrid.global_axis(spark, 0, 360, 36)
+def _conservative(spark: SparkSession, sf: str, dlat: int, dlon: int) -> DataFrame:
+    target = regrid.global_axis(spark, -90, 90, dlat), regrid.global_axis(spark, 0, 360, dlon)
     out = regrid.regrid(cubes.monthly_grid(spark, sf), cubes.grid_axes(spark), target, ["v"], regrid.CONSERVATIVE)
     return out.withColumn("v", rounded("v"))
 
 
+@query("regrid_conservative", f"WITH {sql.GRID}, {sql.conservative_weights(20, 36)} {sql.REGRIDDED}")
+def _(spark, sf):
+    return _conservative(spark, sf, 20, 36)
+
+
+@query("regrid_conservative_coarser", f"WITH {sql.GRID}, {sql.conservative_weights(90, 120)} {sql.REGRIDDED}")
+def _(spark, sf):
+    return _conservative(spark, sf, 90, 120)
+
+
 @query(
     "apply_weights",
     f"""WITH {sql.GRID}

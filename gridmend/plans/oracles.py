@@ -124,17 +124,23 @@ lon_w AS (
   FROM (SELECT unnest(generate_series(0, 9)) AS d) AS a, (SELECT unnest(generate_series(0, 4)) AS j) AS b
   WHERE least(abs(18 + 36 * d - (36 + 72 * j)), 360 - abs(18 + 36 * d - (36 + 72 * j))) < 72)"""
 
-CONSERVATIVE_WEIGHTS = """lat_w AS (
-  SELECT d AS lat_to, -80 + 20 * d AS lat, i AS lat_idx,
-         (sin(radians(least(-70 + 20 * d, -54 + 36 * i))) - sin(radians(greatest(-90 + 20 * d, -90 + 36 * i))))
-         / (sin(radians(-70 + 20 * d)) - sin(radians(-90 + 20 * d))) AS wy
-  FROM (SELECT unnest(generate_series(0, 8)) AS d) AS a, (SELECT unnest(generate_series(0, 4)) AS i) AS b
-  WHERE least(-70 + 20 * d, -54 + 36 * i) > greatest(-90 + 20 * d, -90 + 36 * i)),
+
+def conservative_weights(dlat: int, dlon: int) -> str:
+    """Shares of global target cells of the given sizes that the 36 x 72 degree source cells cover."""
+    low, high = f"(-90 + {dlat} * d)", f"(-90 + {dlat} * (d + 1))"
+    west, east = f"({dlon} * d)", f"({dlon} * (d + 1))"
+    return f"""lat_w AS (
+  SELECT d AS lat_to, {low} + {dlat} / 2.0 AS lat, i AS lat_idx,
+         (sin(radians(least({high}, -54 + 36 * i))) - sin(radians(greatest({low}, -90 + 36 * i))))
+         / (sin(radians({high})) - sin(radians({low}))) AS wy
+  FROM (SELECT unnest(generate_series(0, {180 // dlat - 1})) AS d) AS a, (SELECT unnest(generate_series(0, 4)) AS i) AS b
+  WHERE least({high}, -54 + 36 * i) > greatest({low}, -90 + 36 * i)),
 lon_w AS (
-  SELECT d AS lon_to, 18 + 36 * d AS lon, j AS lon_idx,
-         (least(36 + 36 * d, 72 + 72 * j) - greatest(36 * d, 72 * j)) / 36.0 AS wx
-  FROM (SELECT unnest(generate_series(0, 9)) AS d) AS a, (SELECT unnest(generate_series(0, 4)) AS j) AS b
-  WHERE least(36 + 36 * d, 72 + 72 * j) > greatest(36 * d, 72 * j))"""
+  SELECT d AS lon_to, {west} + {dlon} / 2.0 AS lon, j AS lon_idx,
+         (least({east}, 72 + 72 * j) - greatest({west}, 72 * j)) / {dlon}.0 AS wx
+  FROM (SELECT unnest(generate_series(0, {360 // dlon - 1})) AS d) AS a, (SELECT unnest(generate_series(0, 4)) AS j) AS b
+  WHERE least({east}, 72 + 72 * j) > greatest({west}, 72 * j))"""
+
 
 REGRIDDED = """SELECT g.date, CAST(lat_to AS INTEGER) AS lat_idx, CAST(lon_to AS INTEGER) AS lon_idx,
        CAST(max(lat_w.lat) AS DOUBLE) AS lat, CAST(max(lon_w.lon) AS DOUBLE) AS lon,

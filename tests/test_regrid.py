@@ -103,3 +103,7 @@ def test_one_shuffle_of_the_cube(spark, tmp_path):
     assert plan.count("REPARTITION_BY_COL") == 1
     assert plan.count("hashpartitioning(date") == 1
     assert "SortMergeJoin" not in plan
+    coarse = regrid.global_axis(spark, -90, 90, 60), regrid.global_axis(spark, 0, 360, 60)
+    out = regrid.regrid(spark.read.parquet(f"{tmp_path}/cube"), axes, coarse, ["v"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 0 and plan.count("hashpartitioning(date") == 1
