@@ -3,10 +3,3 @@
 A dataset is a long-form cube: one row per day and grid cell, one column per variable. Every operator
 takes and returns DataFrames and triggers no action unless its docstring says so.
 """
-
-import sys
-
-from pyspark import cloudpickle
-
-# Array kernels travel to the executors with the job, so a cluster needs no installed copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

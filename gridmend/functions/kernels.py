@@ -13,7 +13,7 @@ import numpy as np
 DAYS_IN_BLOCK = 122
 LAST_BLOCK = 2  # 122 + 122 + 121 days, 122 on a leap year
 
-_centres: dict[tuple, tuple] = {}  # a plain dict, unlike functools.lru_cache, travels with the module
+_centres: dict[tuple, tuple] = {}  # filled once per worker
 
 
 class PoolSpec(NamedTuple):

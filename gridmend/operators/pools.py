@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from gridmend.functions import kernels, timeaxis
 from gridmend.functions.kernels import DAYS_IN_BLOCK, LAST_BLOCK, PoolSpec
+from gridmend.shipping import ship
 
 AXIS_BITS = 24
 
@@ -110,6 +111,7 @@ def doy_window_pool(
         )
 
     schema = cell_schema(cube, cell_cols) + "doy int, n int, pool array<double>"
+    ship(rows.sparkSession)
     return rows.groupBy(*cell_cols, "_block").applyInArrow(pools, schema)
 
 

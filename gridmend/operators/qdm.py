@@ -14,6 +14,7 @@ from gridmend.functions import kernels, timeaxis
 from gridmend.functions.kernels import PoolSpec
 from gridmend.functions.nodes import apply_correction, kind_symbol, nearest_node_by_rank, node_positions
 from gridmend.operators import pools
+from gridmend.shipping import ship
 
 POOLED, SAME_DOY = "pooled", "same_doy"
 
@@ -73,6 +74,7 @@ def train_qdm(
     schema = pools.cell_schema(historical, cell_cols) + (
         "doy int, n_hist int, n_ref int, hist_q array<double>, af array<double>"
     )
+    ship(both.sparkSession)
     return both.groupBy(*cell_cols, "_block").applyInArrow(fit, schema)
 
 
@@ -115,6 +117,7 @@ def sim_quantile(
         return pa.table(_day_columns(key, cell_cols, days, rank2, size))
 
     schema = pools.cell_schema(simulation, cell_cols) + "_step int, _value double, sim_rank2 bigint, sim_n int"
+    ship(rows.sparkSession)
     ranked = rows.groupBy(*cell_cols, "_block").applyInArrow(rank, schema)
     kept_type = simulation.schema[value_col].dataType
     date = timeaxis.date_of_step(F.col("_step"), calendar).alias("date")
@@ -166,6 +169,7 @@ def apply_qdm(
         "_step int, _value double, sim_rank2 bigint, sim_n int, _factor double"
     )
     keys = [*cell_cols, "_block"]
+    ship(rows.sparkSession)
     picked = rows.groupBy(*keys).cogroup(factors.groupBy(*keys)).applyInArrow(pick, schema)
     kept_type = astype or simulation.schema[value_col].dataType
     adjusted = apply_correction(F.col("_value"), F.col("_factor"), kind)

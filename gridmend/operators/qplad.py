@@ -19,6 +19,7 @@ from gridmend.functions.nodes import (
 )
 from gridmend.operators import pools
 from gridmend.operators.clamps import wet_day_post
+from gridmend.shipping import ship
 
 
 def check_qplad_inputs(coarse: DataFrame, fine: DataFrame, quantiles_n: int = 620, window: int = 31) -> None:
@@ -98,6 +99,7 @@ def train_qplad(
             }
         )
 
+    ship(rows.sparkSession)
     model = rows.groupBy(*cell_cols, "_block").applyInArrow(fit, schema)
     wrong_size = F.concat(
         F.lit("pool of day "), F.col("doy"), F.lit(" has "), F.size("af"), F.lit(f" members, not {quantiles_n}")

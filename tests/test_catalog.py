@@ -5,6 +5,7 @@ import sys
 import tempfile
 
 import pytest
+from pyspark import SparkFiles, cloudpickle
 
 import __spark_entry__ as entry
 from compare import connect, differences
@@ -31,16 +32,15 @@ def test_flagship(spark):
     assert entry.entry(spark).columns == ["cell", "date", "v", "sim_q"]
 
 
-def test_kernels_travel_with_the_job():
-    """Workers that cannot import the package still unpickle its functions."""
-    from pyspark import cloudpickle
+def test_workers_import_the_package_by_name(spark):
+    """Tasks that cannot see the repository find the shipped package, and a worker keeps its tables between them."""
     from gridmend.functions import kernels
+    from gridmend.shipping import ship
 
-    data = cloudpickle.dumps(lambda: kernels.centres(0, 800, 0, kernels.PoolSpec()))
-    assert b"dynamic_subimport" in data
-    code = "import pickle, sys; sys.path[:] = [p for p in sys.path if p]; print(pickle.load(open(sys.argv[1], 'rb'))()[2].shape)"
+    assert b"dynamic_subimport" not in cloudpickle.dumps(kernels.centres)
+    ship(spark)
+    code = "import sys; sys.path[:] = [p for p in sys.path if p] + sys.argv[1:]; from gridmend.functions import kernels; print(kernels.centres(0, 800, 0, kernels.PoolSpec())[2].shape)"
+    archive = SparkFiles.get("gridmend-package.zip")
     with tempfile.TemporaryDirectory() as folder:
-        with open(f"{folder}/f", "wb") as f:
-            f.write(data)
-        out = subprocess.run([sys.executable, "-c", code, f"{folder}/f"], cwd=folder, capture_output=True, text=True, check=True)
+        out = subprocess.run([sys.executable, "-c", code, archive], cwd=folder, capture_output=True, text=True, check=True)
     assert out.stdout.strip() == "(3, 122)"
