@@ -5,14 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmend.llm import mixing, sharding, url_filter
+from gridmend.llm import mixing, packing, repair, sharding, url_filter
 from gridmend.llm.tables import table
+from gridmend.session import scratch_path
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-shards")
+    repair.write_ids(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
+    return repair.read_digests(spark, path)
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -24,7 +41,9 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_repair_ids": op1_repair_ids,
     "op2_mix_sources": op2_mix_sources,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_url_filter": op9_url_filter,
     "op10_shards": op10_shards,
 }
