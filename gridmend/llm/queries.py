@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmend.llm import mixing, packing, repair, sharding, url_filter
+from gridmend.llm import mixing, ngram_join, packing, repair, sharding, toxicity, url_filter
 from gridmend.llm.tables import table
 from gridmend.session import scratch_path
 
@@ -26,6 +26,16 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.in_fold(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -43,6 +53,8 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_repair_ids": op1_repair_ids,
     "op2_mix_sources": op2_mix_sources,
+    "op3_toxicity": op3_toxicity,
+    "op4_ngram_join": op4_ngram_join,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_url_filter": op9_url_filter,
     "op10_shards": op10_shards,
