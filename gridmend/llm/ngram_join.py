@@ -24,7 +24,7 @@ from gridmend.shipping import ship
 
 GROWTH, SPARE = 1.37, 2
 CELL, PIVOTS, LEAF = 400, 8, 64
-ROUND_PIVOTS, SMALL_ROWS = 128, 500_000
+ROUND_PIVOTS, SMALL_ROWS = 1024, 500_000
 ODD = tuple(np.uint64(m) for m in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
 
@@ -323,7 +323,7 @@ def large_cells(members: DataFrame, percent: int) -> DataFrame:
         picked = saved(open_nodes.withColumn("rank", ranked).where(F.col("rank") <= most).select("cell", "node"), "join-picked")
         if picked.isEmpty():
             return links
-        pivots = base.drop("block").join(picked, ["cell", "node"])
+        pivots = saved(base.drop("block").join(picked, ["cell", "node"]), "join-pivots")
         pivots = pivots.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         both = base.groupBy("cell", "block").cogroup(pivots.groupBy("cell", "block"))
         if asked is None:  # the first pivots, to which every distance is kept

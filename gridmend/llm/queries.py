@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmend.llm import mixing, ngram_join, packing, repair, sharding, toxicity, url_filter
+from gridmend.llm import hamming_search, mixing, ngram_join, packing, repair, sharding, toxicity, url_filter, vector_dedup
 from gridmend.llm.tables import table
 from gridmend.session import scratch_path
 
@@ -36,6 +36,14 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op7_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -55,6 +63,8 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_toxicity": op3_toxicity,
     "op4_ngram_join": op4_ngram_join,
+    "op5_vector_dedup": op5_vector_dedup,
+    "op7_hamming_search": op7_hamming_search,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_url_filter": op9_url_filter,
     "op10_shards": op10_shards,
