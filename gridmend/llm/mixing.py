@@ -69,25 +69,25 @@ def thresholds(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
 
 
 def mix(documents: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``keep``, size, source_size, target and taken (words the mix takes, repeats counted) of every document. Actions.
+    """``document`` (a struct of the columns ``keep``), size, source_size, target and taken of every document. Actions.
 
-    A source's target is met by whole repeats of all its documents and, for the rest, by those whose hash
-    (of doc_id and size) is below the source's threshold; so a document is taken at most ``most`` times, and
-    a rerun takes the same. NULL or empty texts have size 0, NULL sources are one source, equal rows are
-    taken together, and an empty table gives an empty mix. Other columns are ignored.
+    ``taken`` are the words the mix takes, repeats counted. A source's target is met by whole repeats of all
+    its documents and, for the rest, by those whose hash (of doc_id and size) is below the source's threshold; so a
+    document is taken at most ``most`` times, and a rerun takes the same. NULL or empty texts have size 0, NULL sources
+    are one source, equal rows are taken together, and an empty table gives an empty mix. Other columns are ignored.
     """
-    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    sized = documents.select(*keep, "source", word_count(F.col("text")).alias("size"), id_text.alias("_id"))
+    size, id_text = word_count(F.col("text")), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    sized = documents.select(F.struct(*keep).alias("document"), "source", size.alias("size"), id_text.alias("_id"))
     sized = saved(sized.withColumn("hash", hex_bits(F.concat_ws(":", "_id", "size"))).drop("_id"), "mix-sizes")
     wanted = saved(targets(sized, weights, most), "mix-targets")
     repeats = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     budgets = wanted.withColumn("repeats", repeats).withColumn("budget", F.col("target") - F.col("repeats") * F.col("source_size"))
-    edges = saved(thresholds(sized, budgets).withColumnRenamed("source", "_edge"), "mix-edges")
+    edges = saved(thresholds(sized.select("source", "size", "hash"), budgets).withColumnRenamed("source", "_edge"), "mix-edges")
     per_source = budgets.join(edges, F.col("source").eqNullSafe(F.col("_edge")), "left").drop("_edge")
     per_source = per_source.select(F.col("source").alias("_source"), "source_size", "target", "repeats", "threshold")
     placed = sized.join(broadcast_if(is_small(wanted), per_source), F.col("source").eqNullSafe(F.col("_source")))
     extra = F.coalesce(F.col("hash") < F.col("threshold"), F.lit(False)).cast("long")
-    return placed.select(*keep, "size", "source_size", "target", (F.col("size") * (F.col("repeats") + extra)).alias("taken"))
+    return placed.select("document", "size", "source_size", "target", (F.col("size") * (F.col("repeats") + extra)).alias("taken"))
 
 
 #: The same mix in DuckDB, by sorting: a hash value is taken if the sum up to it is within the budget or

@@ -8,6 +8,7 @@ Within a cell, the sets whose distances do differ, pivots make Voronoi regions.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ from gridmend.llm import words
 from gridmend.llm.tables import components, saved
 from gridmend.shipping import ship
 
-GROWTH, SPARE = 1.37, 2
+GROWTH = 1.37
 CELL, PIVOTS, LEAF = 400, 8, 64
 ROUND_PIVOTS, SMALL_ROWS = 1024, 500_000
 ODD = tuple(np.uint64(m) for m in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
@@ -96,24 +97,44 @@ def bands(most: int) -> np.ndarray:
     return np.array(ends, np.int64)
 
 
+def slices_of(low: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(slices, spare ones) of each band but the last: more than its linked sets can differ in, by 1 + spare.
+
+    The spare ones make up for slices that stay empty: few, unless the slices are so small that sets often have some.
+    """
+    slices, spares = [], []
+    for start, end in zip(low[:-1].tolist(), low[1:].tolist()):
+        differ = (100 - percent) * 2 * (end - 1) // (100 + percent)
+        spare = 1 + differ // 4
+        for s in range(1, 2 + differ // 2):
+            empty = (differ + 1 + s) * math.exp(-start / (differ + 1 + s))
+            if empty + 4 * math.sqrt(empty) <= s:
+                spare = s
+                break
+        slices.append(differ + 1 + spare)
+        spares.append(spare)
+    return np.array(slices, np.int64), np.array(spares, np.int64)
+
+
 def slice_keys(grams: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(set numbers, keys): two sets whose Jaccard similarity is ``percent`` or more share a key.
 
     Linked sets of sizes a and b differ in at most (100 - percent) (a + b) / (100 + percent) shingles. A band of
-    sizes deals them into so many slices, as its largest sizes allow differences, plus 1 + ``SPARE``; so linked
-    sets agree on 1 + ``SPARE`` whole slices at least. Empty slices, on which strangers agree, are left out
-    where a set has no more than ``SPARE`` of them. A pair meets in the band of its larger set, so a set
+    sizes deals them into so many slices, as its largest sizes allow differences, plus 1 + some spare ones; so
+    linked sets agree on 1 + spare whole slices at least. Empty slices, on which strangers agree, are left out
+    where a set has no more of them than are spare. A pair meets in the band of its larger set, so a set
     that can be the smaller of a pair in the next band is dealt there too.
     """
     if not len(sizes):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     low = bands(int(sizes.max()))
+    slices_in, spare_in = slices_of(low, percent)
     band = np.searchsorted(low, sizes, "right") - 1
     all_sets, all_keys = [], []
     for up in (0, 1):
         chosen = np.flatnonzero((sizes > 0) & ((up == 0) | (sizes * 100 // percent >= low[band + 1])))
         k = band[chosen] + up
-        slices = (100 - percent) * 2 * (low[k + 1] - 1) // (100 + percent) + 1 + SPARE
+        slices = slices_in[k]
         starts = words.offsets(slices)
         at = words.offsets(sizes)[:-1][chosen]
         values = grams[words.ragged(at, sizes[chosen])]
@@ -124,7 +145,7 @@ def slice_keys(grams: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.n
         blank = np.bincount(owner, weights=held == 0, minlength=len(chosen))
         number = np.arange(int(starts[-1])) - starts[:-1][owner]
         key = mixed(sums_by(slot, mixed(values), int(starts[-1])) + mixed((k[owner] * 1_000_003 + number).astype(np.uint64) * ODD[2]))
-        use = (held > 0) | (blank[owner] > SPARE)
+        use = (held > 0) | (blank[owner] > spare_in[k[owner]])
         all_sets.append(chosen[owner[use]])
         all_keys.append(key[use].view(np.int64))
     return np.concatenate(all_sets), np.concatenate(all_keys)
@@ -199,7 +220,7 @@ def linked(values: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
 
 
 def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document. Actions.
+    """doc_id, n_shingles, component_id, text_hash and component (a node, NULL without shingles) of every document. Actions.
 
     Documents are linked if 100 * intersection >= ``percent`` * union of their sets of word ``n``-grams;
     component_id is the smallest doc_id reachable by links. Texts without words (NULL, empty) have no
@@ -266,9 +287,10 @@ def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     nodes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
     grouped = nodes.join(found_components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = saved(grouped.join(least, "component").select(F.col("node").alias("_node"), "component_id"), "join-named")
+    named = saved(grouped.join(least, "component").select(F.col("node").alias("_node"), "component_id", "component"), "join-named")
     linked_rows = (F.col("node") == F.col("_node")) & (F.col("n_shingles") > 0)
-    return rows.join(named, linked_rows, "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    alone = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+    return rows.join(named, linked_rows, "left").select("doc_id", "n_shingles", alone, "text_hash", "component")
 
 
 NAMES = ["kind", "doc_id", "text_hash", "size", "node", "other"]

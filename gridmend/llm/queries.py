@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmend.llm import hamming_search, mixing, ngram_join, packing, repair, sharding, toxicity, url_filter, vector_dedup
+from gridmend.llm import hamming_search, mixing, ngram_join, packing, repair, secret_scan, sharding, toxicity, url_filter, vector_dedup
 from gridmend.llm.tables import table
 from gridmend.session import scratch_path
 
@@ -23,7 +23,7 @@ def op1_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(table(spark, sf_dir, "documents")).select("document.doc_id", "size", "source_size", "target", "taken")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,13 +33,17 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join(table(spark, sf_dir, "documents"))
+    return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_ngram_join": op4_ngram_join,
     "op5_vector_dedup": op5_vector_dedup,
+    "op6_secret_scan": op6_secret_scan,
     "op7_hamming_search": op7_hamming_search,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_url_filter": op9_url_filter,
