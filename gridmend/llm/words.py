@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES, CACHE_WORDS = 16 << 20, 300_000
+SLICE_BYTES, CACHE_WORDS = 6 << 20, 200_000
 #: Two characters in a row that some reading of Unicode takes as white space (RE2 syntax).
 GAP = r"[\s\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]{2}"
 SAFE_SPACE = re.compile(r"(?<=[^\s᠎​-‏﻿]) (?=[^\s᠎​-‏﻿])")
