@@ -24,8 +24,10 @@ from gridmend.llm.tables import components, saved
 from gridmend.shipping import ship
 
 GROWTH = 1.37
-CELL, PIVOTS, LEAF = 400, 8, 64
+CELL, PIVOTS, LEAF = 1000, 8, 64
 ROUND_PIVOTS, SMALL_ROWS = 1024, 500_000
+#: Shingles in ``COMMON`` of a hash sample of so many texts are left out of the slices, which no result depends on.
+SAMPLE, COMMON = 4000, 4
 ODD = tuple(np.uint64(m) for m in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
 
@@ -116,19 +118,46 @@ def slices_of(low: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(slices, np.int64), np.array(spares, np.int64)
 
 
-def slice_keys(grams: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def common_shingles(texts: DataFrame, n: int) -> np.ndarray:
+    """Hashes, ascending, of the shingles that many texts of a sample of ``SAMPLE`` share. An action; bounded by the sample."""
+    picked = texts.where("text IS NOT NULL").orderBy("text_hash", "doc_id").limit(SAMPLE).select("text_hash", "text")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, seen = [], set()
+        for batch in words.slices(batches, "text"):
+            new = [h not in seen and not seen.add(h) for h in batch["text_hash"].to_pylist()]
+            found.append(shingle_sets(batch["text"].filter(pa.array(new)), n)[0])
+        values, times = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
+        yield pa.RecordBatch.from_pydict({"gram": pa.array(values[times >= COMMON].view(np.int64))})
+
+    rows = picked.repartitionByRange(1, "text_hash").mapInArrow(count, "gram long").toArrow()
+    return np.sort(rows["gram"].to_numpy().astype(np.int64).view(np.uint64))
+
+
+def without(grams: np.ndarray, sizes: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sets without the ``common`` shingles, and what is left of their sizes."""
+    if not len(common) or not len(grams):
+        return grams, sizes
+    at = np.minimum(np.searchsorted(common, grams), len(common) - 1)
+    rare = common[at] != grams
+    return grams[rare], np.bincount(np.repeat(np.arange(len(sizes)), sizes)[rare], minlength=len(sizes))
+
+
+def slice_keys(grams: np.ndarray, sizes: np.ndarray, percent: int, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(set numbers, keys): two sets whose Jaccard similarity is ``percent`` or more share a key.
 
     Linked sets of sizes a and b differ in at most (100 - percent) (a + b) / (100 + percent) shingles. A band of
     sizes deals them into so many slices, as its largest sizes allow differences, plus 1 + some spare ones; so
     linked sets agree on 1 + spare whole slices at least. Empty slices, on which strangers agree, are left out
     where a set has no more of them than are spare. A pair meets in the band of its larger set, so a set
-    that can be the smaller of a pair in the next band is dealt there too.
+    that can be the smaller of a pair in the next band is dealt there too. Without ``common`` shingles
+    sets differ in no more than with them, so these can be left out of the slices.
     """
     if not len(sizes):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     low = bands(int(sizes.max()))
     slices_in, spare_in = slices_of(low, percent)
+    grams, left = without(grams, sizes, np.zeros(0, np.uint64) if common is None else common)
     band = np.searchsorted(low, sizes, "right") - 1
     all_sets, all_keys = [], []
     for up in (0, 1):
@@ -136,9 +165,9 @@ def slice_keys(grams: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.n
         k = band[chosen] + up
         slices = slices_in[k]
         starts = words.offsets(slices)
-        at = words.offsets(sizes)[:-1][chosen]
-        values = grams[words.ragged(at, sizes[chosen])]
-        row = np.repeat(np.arange(len(chosen)), sizes[chosen])
+        at = words.offsets(left)[:-1][chosen]
+        values = grams[words.ragged(at, left[chosen])]
+        row = np.repeat(np.arange(len(chosen)), left[chosen])
         slot = starts[:-1][row] + ((values >> np.uint64(32)) % slices[row].astype(np.uint64)).astype(np.int64)
         held = np.bincount(slot, minlength=int(starts[-1]))
         owner = np.repeat(np.arange(len(chosen)), slices)
@@ -230,6 +259,7 @@ def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     spark = documents.sparkSession
     ship(spark)
     texts = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    common = spark.sparkContext.broadcast(common_shingles(texts, n))
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches, "text"):
@@ -243,7 +273,7 @@ def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
             _, once = np.unique(node, return_index=True)
             some = np.zeros(len(sizes), bool)
             some[once] = True
-            sets, keys = slice_keys(grams[np.repeat(some, sizes)], sizes[some], percent)
+            sets, keys = slice_keys(grams[np.repeat(some, sizes)], sizes[some], percent, common.value)
             nodes = node[some][sets]
             # Within a batch the sets of a key are linked to its first; only that one goes on.
             order = np.lexsort((nodes, keys))
@@ -328,7 +358,7 @@ def large_cells(members: DataFrame, percent: int) -> DataFrame:
     outside their cell's largest component that have not been pivots. It ends when there are none; then of any
     two sets in different components one has been compared with the whole cell. By the triangle
     inequality a set can only be linked to a pivot if their distances to the cell's first pivots differ
-    by no more than the linking distance; others are passed over.
+    by no more than the linking distance, and if their sizes are alike; others are passed over.
     """
     spark = members.sparkSession
     links = spark.createDataFrame([], "a long, b long")
@@ -397,7 +427,9 @@ def compared(percent: int):
         mine, theirs = (np.array(t["to_first"].to_pylist(), float) for t in (block, pivots))
         node, pivot, a, b = block["node"].to_numpy(), pivots["node"].to_numpy(), [], []
         for i in range(len(pivots) if len(block) else 0):
-            rows = np.flatnonzero(np.abs(mine - theirs[i]).max(axis=1) <= 1 - percent / 100 + 1e-9)
+            size = sizes[len(block) + i]
+            alike = np.minimum(sizes[: len(block)], size) * 100 >= percent * np.maximum(sizes[: len(block)], size)
+            rows = np.flatnonzero(alike & (np.abs(mine - theirs[i]).max(axis=1) <= 1 - percent / 100 + 1e-9))
             shared = overlaps(values, sizes, np.array([len(block) + i]), rows)[0]
             close = rows[100 * shared >= percent * (sizes[rows] + sizes[len(block) + i] - shared)]
             a.append(np.full(len(close), pivot[i]))
