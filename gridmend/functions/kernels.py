@@ -69,7 +69,14 @@ def _build_centres(lo: int, hi: int, block: int, spec: PoolSpec) -> tuple[int, i
 
 
 def spread(steps: np.ndarray, values: np.ndarray, lo: int, hi: int, spec: PoolSpec) -> np.ndarray:
-    """The series on its full axis, NaN where it has no value, padded by half a window at both ends."""
+    """The series on its full axis, NaN where it has no value, padded by half a window at both ends.
+
+    Raises for a step outside the axis and for two values of one step, such as a leap day on a calendar without.
+    """
+    if len(steps) and (steps.min() < lo or steps.max() > hi):
+        raise ValueError(f"days outside the time axis: steps {steps.min()}..{steps.max()}, axis {lo}..{hi}")
+    if len(np.unique(steps)) < len(steps):
+        raise ValueError(f"a cell has two values for one day of the {spec.calendar} calendar (leap days or duplicates)")
     series = np.full(hi - lo + 1 + 4 * spec.half + 1, np.nan)
     series[steps - lo + spec.half] = values
     return series

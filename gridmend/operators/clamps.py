@@ -35,7 +35,12 @@ def precip_ceiling(cube: DataFrame, value_cols: Sequence[str], ceiling: float =
 
 
 def wet_day_pre(cube: DataFrame, key_cols: Sequence[str], value_col: str = "pr", seed: int = 0) -> DataFrame:
-    """Replace values below 1 mm/day by draws from U(0.5, 1), each fixed by ``seed`` and its row's key."""
+    """Replace values below 1 mm/day by draws from U(0.5, 1), each fixed by ``seed`` and its row's key.
+
+    Without key columns all rows would share one draw, so they must be given.
+    """
+    if not key_cols:
+        raise ValueError("wet_day_pre needs key columns that tell rows apart")
     low = WET_DAY_THRESHOLD / 2
     draw = F.lit(low) + F.lit(WET_DAY_THRESHOLD - low) * keyed_uniform(seed, *[F.col(k) for k in key_cols])
     return _replace(cube, [value_col], lambda v: v >= WET_DAY_THRESHOLD, lambda v: draw)

@@ -38,7 +38,7 @@ def spread_to_blocks(cube: DataFrame, spec: PoolSpec, time_range: tuple | DataFr
     """Copy every row to the blocks whose pools may hold it.
 
     The ``date`` becomes ``_step``; ``_block`` is added, and ``_axis``: first step and length of the time
-    axis in one number, because every column handed to Python costs.
+    axis in one number, because every column handed to Python costs. Rows outside a stated axis are left out.
     """
     axis = timeaxis.time_axis(cube, time_range)
     packed = timeaxis.axis_value(
@@ -52,6 +52,7 @@ def spread_to_blocks(cube: DataFrame, spec: PoolSpec, time_range: tuple | DataFr
         cube.withColumn("_step", timeaxis.step(F.col("date"), spec.calendar))
         .drop("date")
         .withColumn("_axis", packed)
+        .where((F.col("_step") - F.shiftright("_axis", AXIS_BITS)).between(0, F.col("_axis").bitwiseAND((1 << AXIS_BITS) - 1)))
         .withColumn("_block", F.explode(F.array_distinct(F.array(*near))))
     )
 

@@ -78,18 +78,20 @@ def train_qdm(
     return both.groupBy(*cell_cols, "_block").applyInArrow(fit, schema)
 
 
-def sel_year_window(cube: DataFrame, first: int, last: int | None = None, half_years: int = 10) -> DataFrame:
-    """Days the pools of the years ``first..last`` draw on: ``half_years`` each side and 15 days more.
+def sel_year_window(cube: DataFrame, first: int, last: int | None = None, half_years: int = 10, half_days: int = 15) -> DataFrame:
+    """Days the pools of the years ``first..last`` draw on: ``half_years`` each side and ``half_days`` more, half a window.
 
     Years the cube lacks simply make the window shorter.
     """
     last = first if last is None else last
-    start, end = _window_ends(first, last, half_years)
+    start, end = _window_ends(first, last, half_years, half_days)
     return cube.filter(F.col("date").between(F.lit(start), F.lit(end)))
 
 
-def _window_ends(first: int, last: int, half_years: int) -> tuple[dt.date, dt.date]:
-    return dt.date(first - half_years - 1, 12, 17), dt.date(last + half_years + 1, 1, 15)
+def _window_ends(first: int, last: int, half_years: int, half_days: int) -> tuple[dt.date, dt.date]:
+    leap = dt.timedelta(days=half_days > 31)  # a pad that can hold a leap day the calendar lacks
+    pad = dt.timedelta(days=half_days) + leap
+    return dt.date(first - half_years, 1, 1) - pad, dt.date(last + half_years, 12, 31) + pad
 
 
 def sim_quantile(
@@ -199,9 +201,9 @@ def _rows_to_rank(cube, value_col, years, cell_cols, half_years, spec, time_rang
     """Days the pools of ``years`` need, spread to blocks. The years are cut before the shuffle: a filter
     on the output could not pass below the pools."""
     if time_range is not None:
-        time_range = timeaxis.clip_axis(time_range, *_window_ends(years[0], years[-1], half_years))
+        time_range = timeaxis.clip_axis(time_range, *_window_ends(years[0], years[-1], half_years, spec.half))
     picked = cube.select(*cell_cols, "date", F.col(value_col).cast("double").alias("_value"))
-    return pools.spread_to_blocks(sel_year_window(picked, years[0], years[-1], half_years), spec, time_range)
+    return pools.spread_to_blocks(sel_year_window(picked, years[0], years[-1], half_years, spec.half), spec, time_range)
 
 
 def _rank_group(table: pa.Table, block: int, spec: PoolSpec, years: list[int], half_years: int):

@@ -574,7 +574,8 @@ def _(spark, sf):
 
 # --- analog downscaling -----------------------------------------------------------------------------
 
-FULL_YEARS = range(1996, 2001)
+FULL_YEARS = range(1996, 2001)  # for training
+ALL_YEARS = range(1995, 2002)
 POOL_SIZE = len(FULL_YEARS) * 31
 
 
@@ -614,7 +615,7 @@ COARSE_RANKED = f"""ranked AS (
         FROM paired, (SELECT unnest(generate_series(-15, 15)) AS k) AS o, ends
         WHERE coarse IS NOT NULL AND s + k BETWEEN lo AND hi) AS m
     ON m.cell = t.cell AND m.doy = t.doy AND m.yr BETWEEN t.s // 365 - {HALF_YEARS} AND t.s // 365 + {HALF_YEARS}
-  WHERE t.coarse IS NOT NULL AND t.s // 365 BETWEEN {FULL_YEARS[0]} AND {FULL_YEARS[-1]}
+  WHERE t.coarse IS NOT NULL AND t.s // 365 BETWEEN {ALL_YEARS[0]} AND {ALL_YEARS[-1]}
   GROUP BY t.cell, t.date, t.doy, t.coarse),
 scaled AS (
   SELECT k.cell, k.date, k.v + q.af AS v
@@ -623,7 +624,7 @@ scaled AS (
 
 def downscaled_series(spark: SparkSession, sf: str, wet_days: bool = False) -> DataFrame:
     simulation = qdm.sim_quantile(
-        tiled_coarse(spark, sf), "v", FULL_YEARS, half_years=HALF_YEARS, time_range=cubes.ship_days(spark, sf)
+        tiled_coarse(spark, sf), "v", ALL_YEARS, half_years=HALF_YEARS, time_range=cubes.ship_days(spark, sf)
     )
     return qplad.apply_qplad(simulation, _downscaling_model(spark, sf), "v", "+", wet_day_post_correction=wet_days)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,7 +28,10 @@ def local_session(cores: int | str = 8, app: str = "gridmend", shuffle_partition
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder the cluster shares (``spark.checkpoint.dir``).
 
-    Only a session without that setting, as in tests, gets a temporary folder of the machine.
+    Only a local session without that setting, as in tests, gets a temporary folder of the machine; on a cluster
+    its executors could not share one, so that raises.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{shared or tempfile.mkdtemp(prefix='gridmend-')}/{name}-{uuid.uuid4().hex}"

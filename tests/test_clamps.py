@@ -51,3 +51,11 @@ def test_precipitation_units(spark):
     assert clamps.pr_to_mm_day(flux, "kg m-2 s-1").first()["pr"] == 86400
     with pytest.raises(ValueError):
         clamps.pr_to_mm_day(flux, "mm/day")
+
+
+def test_wet_day_draws_need_keys(spark):
+    cube = spark.createDataFrame([(1, 0.1), (2, 0.2)], "id long, pr double")
+    with pytest.raises(ValueError):
+        clamps.wet_day_pre(cube, [])
+    drawn = clamps.wet_day_pre(cube, ["id"]).select("pr").distinct().count()
+    assert drawn == 2

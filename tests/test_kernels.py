@@ -1,6 +1,7 @@
 """The array kernels against their definitions."""
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -51,3 +52,12 @@ def test_ratio_to_zero_has_no_value():
     assert np.isnan(kernels.factors(np.array([1.0, 0.0]), np.zeros(2), "*")).all()
     assert kernels.factors(np.array([3.0]), np.array([2.0]), "*")[0] == 1.5
     assert kernels.factors(np.array([3.0]), np.array([2.0]), "+")[0] == 1.0
+
+
+def test_days_that_would_be_lost_raise():
+    spec = kernels.PoolSpec()
+    ones = np.ones(2)
+    with pytest.raises(ValueError, match="outside"):
+        kernels.spread(np.array([4, 11]), ones, 0, 10, spec)
+    with pytest.raises(ValueError, match="two values"):
+        kernels.spread(np.array([4, 4]), ones, 0, 10, spec)
