@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmend.llm import words
-from gridmend.llm.tables import numbered
+from gridmend.llm.tables import numbered, saved
 from gridmend.shipping import ship
 
 CAPACITY, GROUPS, SMALL_PART, UNITS, MOST_COLUMNS = 4096, 40, 8, 512, 400
@@ -206,7 +206,9 @@ def pack(documents: DataFrame, tokenizer: str, end: int = 1, capacity: int = CAP
     as they occur; other columns are ignored; an empty table needs no sequence.
     """
     spark = documents.sparkSession
-    pieces = numbered(token_pieces(documents, tokenizer, end, capacity), ["length", "doc_id", "piece", "ids_crc32"], "pack-pieces")
+    # Written before they are numbered: a range shuffle reads its input twice, first for its bounds.
+    cut = saved(token_pieces(documents, tokenizer, end, capacity), "pack-cut")
+    pieces = numbered(cut, ["length", "doc_id", "piece", "ids_crc32"], "pack-pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     starts, position = {}, 0
     for s in sorted(histogram):
