@@ -25,7 +25,7 @@ from gridmend.shipping import ship
 
 GROWTH = 1.37
 CELL, PIVOTS, LEAF = 1000, 8, 64
-ROUND_PIVOTS, SMALL_ROWS = 1024, 500_000
+ROUND_PIVOTS, MOST_PARTS, SMALL_ROWS = 1024, 8, 500_000
 #: Shingles in ``COMMON`` of a hash sample of so many texts are left out of the slices, which no result depends on.
 SAMPLE, COMMON = 4000, 4
 ODD = tuple(np.uint64(m) for m in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
@@ -353,8 +353,8 @@ def meeting(found: DataFrame) -> DataFrame:
 def large_cells(members: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect the linked sets of cells too large for one task. Actions, some per round.
 
-    In a round every large cell has up to ``ROUND_PIVOTS`` pivots, and all its sets are compared with them, in
-    blocks of about ``CELL`` sets. What a pivot connects is never compared again: the next pivots are sets
+    In a round every large cell has up to ``ROUND_PIVOTS`` pivots, twice as many in the next up to ``MOST_PARTS`` times as
+    many, and all its sets are compared with them, in blocks of about ``CELL`` sets and parts of ``ROUND_PIVOTS`` pivots. What a pivot connects is never compared again: the next pivots are sets
     outside their cell's largest component that have not been pivots. It ends when there are none; then of any
     two sets in different components one has been compared with the whole cell. By the triangle
     inequality a set can only be linked to a pivot if their distances to the cell's first pivots differ
@@ -368,24 +368,28 @@ def large_cells(members: DataFrame, percent: int) -> DataFrame:
     sizes = members.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("blocks"))
     base = members.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     base = base.withColumns({"hash": F.xxhash64("node"), "to_first": F.lit(None).cast("array<double>")})
-    open_nodes, asked = base.select("cell", "node"), None
+    open_nodes, asked, parts = base.select("cell", "node"), None, 1
     while True:
         ranked = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("node"), "node"))
-        most = PIVOTS if asked is None else ROUND_PIVOTS
-        picked = saved(open_nodes.withColumn("rank", ranked).where(F.col("rank") <= most).select("cell", "node"), "join-picked")
+        most = PIVOTS if asked is None else ROUND_PIVOTS * parts
+        part = F.floor((F.col("rank") - 1) / ROUND_PIVOTS).cast("int").alias("part")
+        picked = saved(open_nodes.withColumn("rank", ranked).where(F.col("rank") <= most).select("cell", "node", part), "join-picked")
         if picked.isEmpty():
             return links
         pivots = saved(base.drop("block").join(picked, ["cell", "node"]), "join-pivots")
         pivots = pivots.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        both = base.groupBy("cell", "block").cogroup(pivots.groupBy("cell", "block"))
         if asked is None:  # the first pivots, to which every distance is kept
+            both = base.groupBy("cell", "block").cogroup(pivots.drop("part").groupBy("cell", "block"))
             base = saved(both.applyInArrow(measured(percent), base.schema), "join-base")
             near = base.select("cell", "node", F.posexplode("to_first").alias("at", "far")).where(F.col("far") <= 1 - percent / 100 + 1e-9)
             numbered = picked.withColumn("at", ranked - 1).withColumnRenamed("node", "a")
             found = near.join(numbered, ["cell", "at"]).select("a", F.col("node").alias("b"))
             asked = picked.select("node")
         else:
-            found = both.applyInArrow(compared(percent), "a long, b long")
+            last = picked.groupBy("cell").agg(F.max("part").alias("last"))
+            blocks = base.join(last, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("last")))).drop("last")
+            both = blocks.groupBy("cell", "block", "part").cogroup(pivots.groupBy("cell", "block", "part"))
+            found, parts = both.applyInArrow(compared(percent), "a long, b long"), min(2 * parts, MOST_PARTS)
             asked = saved(asked.unionAll(picked.select("node")), "join-asked")
         links = saved(links.unionAll(found.where("a != b")), "join-large-links")
         named = base.select("cell", "node").join(components(links, "join-large-components"), "node", "left")
