@@ -197,6 +197,28 @@ def overlaps(values: np.ndarray, sizes: np.ndarray, chosen: np.ndarray, rows: np
     return out
 
 
+class Shared:
+    """Numbers of shingles that sets share; sets are given by small shingle numbers, each also has the list of sets that hold it."""
+
+    def __init__(self, values: np.ndarray, sizes: np.ndarray):
+        self.values, self.sizes, self.at = values, sizes, words.offsets(sizes)
+        self.owner = np.repeat(np.arange(len(sizes)), sizes)[np.argsort(values, kind="stable")]
+        self.starts = words.offsets(np.bincount(values))
+        self.mark = np.zeros(len(self.starts), np.int32)
+
+    def counts(self, one: int, rows: np.ndarray) -> np.ndarray:
+        """Of set ``one`` with each of ``rows``, by the lists of its shingles or by theirs, whichever are fewer."""
+        held = self.values[self.at[one] : self.at[one + 1]]
+        starts, many = self.starts[held], self.starts[held + 1] - self.starts[held]
+        if many.sum() <= self.sizes[rows].sum():
+            return np.bincount(self.owner[words.ragged(starts, many)], minlength=len(self.sizes))[rows]
+        self.mark[held] = 1
+        theirs = self.values[words.ragged(self.at[:-1][rows], self.sizes[rows])]
+        out = np.add.reduceat(self.mark[theirs], words.offsets(self.sizes[rows])[:-1]) if len(rows) else np.zeros(0, np.int64)
+        self.mark[held] = 0
+        return out
+
+
 def linked(values: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
     """Labels of the connected components of a cell's sets, all comparable in one task.
 
@@ -207,7 +229,7 @@ def linked(values: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
     """
     m = len(sizes)
     values = np.unique(values, return_inverse=True)[1]
-    label = np.arange(m)
+    label, shared_by = np.arange(m), Shared(values, sizes)
     reach = 1 - percent / 100
 
     def unite(a: int, others: np.ndarray) -> None:
@@ -225,7 +247,8 @@ def linked(values: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
             others = others[label[others] != label[a]]
             others = others[np.minimum(sizes[others], sizes[a]) * 100 >= percent * np.maximum(sizes[others], sizes[a])]
             if len(others):
-                unite(a, others[similar(rows[i : i + 1], others)[0][0]])
+                shared = shared_by.counts(a, others)
+                unite(a, others[100 * shared >= percent * (sizes[others] + sizes[a] - shared)])
 
     def join(rows: np.ndarray) -> None:
         if len(rows) <= LEAF:
@@ -427,14 +450,14 @@ def compared(percent: int):
     """(pivot, set) of the linked ones, of those pairs that the first pivots leave possible."""
 
     def compare(block: pa.Table, pivots: pa.Table) -> pa.Table:
-        values, sizes = unpacked(block, pivots)
+        sizes = (shared_by := Shared(*unpacked(block, pivots))).sizes
         mine, theirs = (np.array(t["to_first"].to_pylist(), float) for t in (block, pivots))
         node, pivot, a, b = block["node"].to_numpy(), pivots["node"].to_numpy(), [], []
         for i in range(len(pivots) if len(block) else 0):
             size = sizes[len(block) + i]
             alike = np.minimum(sizes[: len(block)], size) * 100 >= percent * np.maximum(sizes[: len(block)], size)
             rows = np.flatnonzero(alike & (np.abs(mine - theirs[i]).max(axis=1) <= 1 - percent / 100 + 1e-9))
-            shared = overlaps(values, sizes, np.array([len(block) + i]), rows)[0]
+            shared = shared_by.counts(len(block) + i, rows)
             close = rows[100 * shared >= percent * (sizes[rows] + sizes[len(block) + i] - shared)]
             a.append(np.full(len(close), pivot[i]))
             b.append(node[close])

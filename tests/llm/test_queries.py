@@ -1,5 +1,7 @@
 """The operators on small tables with NULLs, empty and repeated rows, and extra columns."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,6 +41,31 @@ def test_join_of_odd_rows(docs):
     assert ngram_join.join(docs.limit(0)).count() == 0
 
 
+def test_join_of_cells_too_large_for_one_task(spark, monkeypatch):
+    """Chains of texts with ever more words changed, all in one cell, joined by rounds of few pivots in several parts."""
+    monkeypatch.setattr(ngram_join, "CELL", 20)
+    monkeypatch.setattr(ngram_join, "ROUND_PIVOTS", 8)
+    rnd = random.Random(5)
+    common = [f"c{i}" for i in range(40)]
+    texts = []
+    for chain in range(6):
+        text = common + [f"t{chain}x{i}" for i in range(30)]
+        for _ in range(25):
+            text = list(text)
+            text[rnd.randrange(len(text))] = f"n{rnd.randrange(10**6)}"
+            texts.append(" ".join(text))
+    shingles = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in map(str.split, texts)]
+    want = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(shingles[a] & shingles[b]) >= 90 * len(shingles[a] | shingles[b]) and want[a] != want[b]:
+                old, new = max(want[a], want[b]), min(want[a], want[b])
+                want = [new if x == old else x for x in want]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in ngram_join.join(table).collect()}
+    assert [found[i] for i in range(len(texts))] == want
+
+
 def test_shards_of_odd_rows(docs):
     rows = sharding.shard(docs, 4).collect()
     for s in range(4):
