@@ -12,10 +12,33 @@ from pyspark.sql import functions as F
 
 from gridmend.llm.tables import saved
 
-#: Runs of 12 or more characters of keys and hashes with a digit among them.
-CANDIDATE = r"(?=[A-Za-z+/_-]{0,64}[0-9])[A-Za-z0-9+/_-]{12,}"
 KEYWORD = r"(?i)(pass(word|wd|phrase)?|secret|token|api[_-]?key|access[_-]?key|auth|credential|bearer)"
-KNOWN = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^sk_live_[A-Za-z0-9]{16,}$"
+#: A secret's name up to its end (passwords, DB_PASSWORD_2, secretKey, but not author or compass) and what assigns its value.
+NAME = (
+    r"(?:(?i:passw(?:or)?d|passphrase|secret|token|api[_-]?key|access[_-]?key|credential|bearer)|(?<![A-Za-z])(?i:pass|o?auth)|(?<=[a-z])(?:Pass|Auth))"
+    r"(?:s|S|[0-9]{1,4}|[A-Z][a-z]{1,12})?" + "(?:[_.-][A-Za-z0-9]{1,12})?" * 2
+)
+ASSIGNED = NAME + r"[\\\"'`\])]{0,4}\s{0,16}(?::\s?[A-Za-z]{1,12}\s?)?[=:]{1,3}>?\s{0,16}"
+#: Runs of 12 or more characters of keys and hashes with a digit among them, from their first character on.
+RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}"
+
+
+def _quoted(q: str) -> str:
+    """What ``q`` encloses, with escapes; where it has spaces, only if no run is in it (the runs are candidates then)."""
+    plain, blank = rf"[^{q}\\\r\n]", rf"[^{q}\r\n]"
+    return rf"(?<={q})(?=[^{q}\s]++{q}|(?!{blank}*?{RUN}){blank}){plain}*+(?:\\.{plain}*+){{0,200}}(?={q})(?<!{q})"
+
+
+#: What is assigned to a secret's name, of any length and symbols: enclosed by quotes or by escaped ones, or up to a space or a separator.
+VALUE = (
+    r"(?<=[=:>\s\"'`])(?<=[=:]>?\s{0,16}\\?[\"'`]?)(?<=" + ASSIGNED + r"\\?[\"'`]?)(?!\w{2,12}://)(?!(?<=[=:])[=:])(?:"
+    r"(?<=\\[\"'`])[^\"'`\\\r\n]++(?=\\[\"'`])|" + "|".join(rf"(?<!\\{q}){_quoted(q)}" for q in "\"'`") + r"|[^\s\"'`,;&<>]*[^\s\"'`,;&<>.:)\]}\\])"
+)
+CANDIDATE = f"(?:{VALUE}|{RUN})"
+KNOWN = r"(?<![A-Za-z0-9+/_-])((AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})(?![A-Za-z0-9+/_-])"
+#: Values that stand for one given elsewhere: constants, types, placeholders; unquoted, also calls and attributes.
+REFERENCE = r"^((?i)none|null|nil|true|false|undefined|str|string|int|bool|boolean|\$\{.*\}|\{+[\w. ]+\}+|%[sd]|<[^>]*>|[*.xX]+)$"
+CODE = r"^[A-Za-z_]\w*([.]\w+)*[(\[]|^[A-Za-z_]+([.][A-Za-z_]+)+$|^\$[A-Z_]+$"
 BEFORE, AFTER, DICTIONARY = 40, 12, 1000
 #: The forest is trained on at most so many findings of each label.
 SAMPLE, TREES, DEPTH, SEED = 10_000, 25, 6, 3
@@ -42,10 +65,12 @@ def dictionary(hits: DataFrame, words: int = DICTIONARY) -> list[str]:
 
 def candidates(hits: DataFrame, pieces: Sequence[str]) -> DataFrame:
     """One row per candidate: _row, number, start (characters before it), candidate and the features."""
-    each = hits.select("_row", "_found", "_gaps", F.posexplode("_found").alias("number", "candidate"))
+    each = hits.select("_row", "_found", "_gaps", "text", F.posexplode("_found").alias("number", "candidate"))
     upto = F.aggregate(F.slice("_gaps", 1, F.col("number") + 1), F.lit(0), lambda n, g: n + F.length(g))
     upto = upto + F.aggregate(F.slice("_found", 1, F.col("number")), F.lit(0), lambda n, g: n + F.length(g))
-    each = each.withColumns({"start": upto, "before": F.expr(f"right(_gaps[number], {BEFORE})"), "after": F.expr(f"left(_gaps[number + 1], {AFTER})")})
+    each = each.withColumn("start", upto)
+    before = F.substring("text", F.greatest(F.col("start") - (BEFORE - 1), F.lit(1)), F.least("start", F.lit(BEFORE)))
+    each = each.withColumns({"before": before, "after": F.substring("text", F.col("start") + F.length("candidate") + 1, F.lit(AFTER))})
     text, length = F.col("candidate"), F.length("candidate")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "[0-9]", "\u0001"), "[A-Z]", "\u0002"), "[a-z]", "\u0003")
     triples = F.transform(F.sequence(F.lit(1), F.greatest(length - 2, F.lit(1))), lambda i: F.substring(F.lower(text), i, F.lit(3)))
@@ -59,20 +84,36 @@ def candidates(hits: DataFrame, pieces: Sequence[str]) -> DataFrame:
         "different": share(F.size(F.array_distinct(F.split(text, ""))), length),
         "hex": flag(text.rlike("^[0-9a-f]+$")),
         "coverage": share(F.size(known), F.size(triples)),
-        "path": flag(text.contains("/") | F.col("before").rlike(r"[/.@]$") | F.col("after").rlike(r"^[.@][a-z]")),
-        "assigned": flag(F.col("before").rlike(r"[=:]\s*[\"']?$")),
-        "quoted": flag(F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")),
-        "named": flag(F.col("before").rlike(KEYWORD + r"\W*$")),
+        "path": flag((text.contains("/") & ~encoded()) | F.col("before").rlike(r"[/.@]$") | F.col("after").rlike(r"^[.@][a-z]")),
+        "assigned": flag(F.col("before").rlike(r"[=:]>?\s*\\?[\"'`]?$")),
+        "quoted": flag(F.col("before").rlike("[\"'`]$") & F.col("after").rlike(r"^\\?[\"'`]")),
+        "named": flag(F.col("before").rlike(KEYWORD + r"\W*$") | F.col("before").rlike(ASSIGNED + r"\\?[\"'`]?$")),
         "near_name": flag(F.col("before").rlike(KEYWORD)),
     }
-    return each.withColumns({k: F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in features.items()}).drop("_found", "_gaps")
+    return each.withColumns({k: F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in features.items()}).drop("_found", "_gaps", "text")
+
+
+def is_name() -> Column:
+    """Whether a candidate is itself a secret's name that something is assigned to."""
+    return (F.col("assigned") == 0) & F.col("candidate").rlike(NAME + "$") & F.col("after").rlike(r"^[\\\"'`\])]{0,4}\s*[=:]")
+
+
+def encoded() -> Column:
+    """Whether a candidate with slashes reads as base64, not as a path: no path's start, all three kinds of characters, as secrets have them."""
+    text = F.col("candidate")
+    return ~text.rlike(r"^[~.]{0,2}/|[.][A-Za-z]{1,5}$") & text.rlike("[0-9]") & text.rlike("[A-Z].*[A-Z]") & text.rlike("[a-z]") & F.col("before").rlike(ASSIGNED + r"\\?[\"'`]?$")
 
 
 def weak_label() -> Column:
-    """1 for a provider's key format or a value assigned to a secret's name, 0 for digits or paths only, else NULL."""
-    sure = F.col("candidate").rlike(KNOWN) | ((F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("path") == 0))
+    """1 for a provider's key format or a value assigned to a secret's name, 0 for digits, paths or references only, else NULL."""
+    text, digit = F.col("candidate"), F.col("digits") > 0
+    given = text.rlike(REFERENCE) | ((F.col("quoted") == 0) & text.rlike(CODE))
+    quoted = (F.col("quoted") == 1) & (digit | (F.col("coverage") <= 0.8))
+    likely = quoted | (digit & ((F.col("digits") < 1) | (F.col("length") >= 12))) | (F.col("changes") > 0.3)
+    assigned = (F.col("named") == 1) & (F.col("assigned") == 1)
+    sure = text.rlike(KNOWN) | (assigned & (F.col("path") == 0) & (F.col("length") >= 6) & likely & ~given)
     never = (F.col("digits") == 1) | ((F.col("path") == 1) & (F.col("named") == 0)) | (F.col("coverage") > 0.8)
-    return F.when(sure, 1.0).when(never & (F.col("near_name") == 0), 0.0)
+    return F.when(sure, 1.0).when(is_name() | (assigned & given) | (never & (F.col("near_name") == 0)), 0.0)
 
 
 def judged(findings: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -99,7 +140,7 @@ def findings(documents: DataFrame, fold: int = 5, labelled: DataFrame | None = N
 
     ``labelled`` are findings (features and label) to train on; by default those of the table itself that
     ``weak_label`` can tell, outside the fold of every ``fold``-th document by hash of its text. Candidates in known
-    formats are secrets whatever the forest says. NULL and empty texts have none; repeated rows are scanned each.
+    formats are secrets whatever the forest says, names that something is assigned to are none. NULL and empty texts have none; repeated rows are scanned each.
     """
     hits = saved(with_hits(documents), "secret-hits")
     every = saved(candidates(hits, dictionary(hits)), "secret-candidates")
@@ -107,7 +148,7 @@ def findings(documents: DataFrame, fold: int = 5, labelled: DataFrame | None = N
         train = F.pmod(F.xxhash64("before", "candidate"), F.lit(fold)) != 0
         labelled = every.where(train).withColumn("label", weak_label())
     scored = judged(every, labelled)
-    secret = (F.col("score") >= 0.5) | F.col("candidate").rlike(KNOWN)
+    secret = ((F.col("score") >= 0.5) & ~is_name()) | F.col("candidate").rlike(KNOWN)
     return hits, scored.withColumn("secret", secret)
 
 

@@ -87,6 +87,31 @@ def test_secrets_are_masked_and_nothing_else(docs):
     assert all(out[i] == r[1] for i, r in enumerate(ROWS) if i != 8)
 
 
+ASSIGNED = [
+    ('s3_secret_access_key = "{}"', "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"), ('oauth2_client_secret: "{}"', "Zm9vYmFyYmF6cXV4MTIz"),
+    ('api_key = "{}"', "QwErTyUiOpAsDfGhJkLzXcVbNm"), ('password = "{}"', "hunter2!x9"), ("DB_PASSWORD={}", "hunter2!x9"), ('{{"apiKey": "{}", "user": 1}}', 'a\\"b#7'),
+    ("const secretKey = '{}';", "pq rs!7 tu"), ('token = "{}"', "a" * 100 + "7"), ("login(passwd={}, user=me)", "x9$Zq~w"), ('password: str = "{}"', "s3cr:t!"),
+]
+PLAIN = ["the author: Ann Lee wrote this", "compass = north", "password = None", "a token is a word", "see https://x.org/auth/path", "token = get_token()", "if password == other:"]
+
+
+def test_values_assigned_to_secret_names_are_found_whole(spark):
+    """Names that are candidates themselves, values without a digit, short, with other symbols or with a late digit, with and without a forest."""
+    noise = [f"see file /usr/lib/x{i}/module_{i}.py and order {10**12 + i} of today" for i in range(60)]
+    kept = [f'access_token = "Ab{i}cD9xQ{i * 7919}Zr_kP"' for i in range(60)]
+    texts = [(t.format(v), t.format(secret_scan.MASK)) for t, v in ASSIGNED] + [(t, t) for t in PLAIN]
+    for more in ([], [(t, t) for t in noise] + [(t, f'access_token = "{secret_scan.MASK}"') for t in kept]):
+        rows = [(i, t) for i, (t, _) in enumerate(texts + more)]
+        out = {r.doc_id: r.text for r in secret_scan.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert [out[i] for i, _ in rows] == [want for _, want in texts + more]
+
+
+def test_candidates_start_at_the_first_character_of_a_run(spark):
+    run = "x" * 100 + "7" + "y" * 30
+    row = spark.createDataFrame([(1, f"a {run} b ghp_{'a1' * 18}")], "doc_id long, text string")
+    assert [(r.start, r.length) for r in secret_scan.scan(row).orderBy("start").collect()] == [(2, 131), (136, 40)]
+
+
 def test_url_rules(spark):
     pages = [(1, "https://A.example.org/es/1"), (2, "http://x.org/es/1?q"), (3, "http://example.org/en/12"), (4, "http://a.com/fr/1"), (5, None), (6, "no url"), (7, "http://x.org?a")]
     rows = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(spark.createDataFrame(pages, "page_id long, url string")).collect()}
