@@ -1,7 +1,8 @@
 """Cubes on storage: partitioned Parquet, with attributes and time-only variables beside it.
 
-Below a cube's path, ``_attrs`` holds its attributes and ``_fixed`` the variables that do not vary along
-the region dimensions. Spark skips both when it reads the cube.
+Below a cube's path, ``_attrs`` holds its attributes, ``_fixed`` the variables that do not vary along
+the region dimensions, and ``_schema`` the columns of a primed store, in Parquet files without rows.
+Spark skips all three when it reads the cube.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from gridmend.operators.slicing import sel_slice
 from gridmend.sources.attrs import ATTRS_SCHEMA, attrs_table, merge_attrs
@@ -19,8 +20,10 @@ from gridmend.sources.attrs import ATTRS_SCHEMA, attrs_table, merge_attrs
 
 def read_cube(spark: SparkSession, path: str, value_cols: Sequence[str] | None = None) -> DataFrame:
     """Open a cube. NaN becomes NULL in ``value_cols`` (by default every floating column), so that missing
-    values compare, rank and aggregate as missing."""
+    values compare, rank and aggregate as missing. A primed store has all its columns, whatever its files hold."""
     cube = spark.read.parquet(path)
+    if "region_id" in cube.columns and (schema := primed_schema(spark, path)) is not None:
+        cube = spark.read.schema(schema).parquet(path)
     floating = [f.name for f in cube.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))]
     return nan_to_null(cube, floating if value_cols is None else value_cols)
 
@@ -50,6 +53,21 @@ def read_cube_attrs(spark: SparkSession, path: str) -> DataFrame:
         return attrs_table(spark, {})
 
 
+def primed_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The columns of a primed store without ``region_id``, its keys marked in their metadata; None for other paths."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(f"{path}/_schema").schema
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _add_to_schema(rows: DataFrame, path: str, key_cols: Sequence[str] = ()) -> None:
+    marked = [F.col(c).alias(c, metadata={"key": True}) if c in key_cols else F.col(c) for c in rows.columns]
+    rows.select(*marked).limit(0).write.mode("append").parquet(f"{path}/_schema")
+
+
 def region_of(region_sizes: Mapping[str, int]) -> Column:
     """Label of the region a row belongs to: its position along each region dimension, in steps of size."""
     steps = [F.floor(F.col(f"{dim}_idx") / size).cast("string") for dim, size in region_sizes.items()]
@@ -63,13 +81,37 @@ def write_region(
 
     Variables that lack a region dimension (``variable_dims``) are dropped; other regions stay as they
     are. Regions are replaced whole, so ``cube`` must hold all rows of each one it touches; a retried or
-    repeated write gives the same store.
+    repeated write gives the same store. In a primed store, columns that ``cube`` lacks keep the values they
+    have at its keys, and columns that the store lacks are added to it.
     """
     rows = cube.drop(*fixed_variables(variable_dims, region_sizes)).withColumn("region_id", region_of(region_sizes))
+    schema = primed_schema(cube.sparkSession, path)
+    if schema is not None:
+        rows = _with_all_columns(rows, path, schema)
     rows = rows.hint("rebalance", "region_id")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("region_id").parquet(path)
 
 
+def _with_all_columns(rows: DataFrame, path: str, schema: StructType) -> DataFrame:
+    """``rows`` with the store's columns and types, those they lack from the rows the store holds for their keys."""
+    types = {f.name: f.dataType for f in schema.fields}
+    keys = [f.name for f in schema.fields if f.metadata.get("key")]
+    keys = [k for k in keys if f"{k}_idx" not in keys]  # the others only label positions
+    if missing := [k for k in keys if k not in rows.columns]:
+        raise ValueError(f"the rows of a region lack the store's keys {missing}")
+    new = [c for c in rows.columns if c not in types and c != "region_id"]
+    if new:
+        _add_to_schema(rows.select(*new), path)
+    rows = rows.withColumns({c: F.col(c).cast(types[c]) for c in rows.columns if c in types})
+    lacking = [c for c in types if c not in rows.columns]
+    if lacking:
+        held = rows.sparkSession.read.schema(schema).parquet(path).select("region_id", *keys, *lacking)
+        held = held.withColumnsRenamed({k: f"_held_{k}" for k in ("region_id", *keys)})
+        same = [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in ("region_id", *keys)]
+        rows = rows.join(held, same, "left").drop(*(f"_held_{k}" for k in ("region_id", *keys)))
+    return rows.select(*types, *new, "region_id")
+
+
 def fixed_variables(variable_dims: Mapping[str, Sequence[str]] | None, region_sizes: Mapping[str, int]) -> list[str]:
     """Variables that lack any of the region dimensions."""
     return [v for v, dims in (variable_dims or {}).items() if not set(region_sizes) <= set(dims)]
@@ -121,8 +163,8 @@ def _prime(cube, path, region_sizes, key_cols, filled, variable_dims) -> None:
         if f.name not in {*key_cols, *filled, *fixed}
     }
     rows = cube.drop(*fixed).withColumns(empty).withColumn("region_id", region_of(region_sizes))
-    rows = rows.hint("rebalance", "region_id")
-    rows.write.mode("overwrite").partitionBy("region_id").parquet(path)
+    rows.hint("rebalance", "region_id").write.mode("overwrite").partitionBy("region_id").parquet(path)
+    _add_to_schema(rows.drop("region_id"), path, key_cols)
     for name in fixed:
         dims = [d if d == "date" else f"{d}_idx" for d in variable_dims[name]]
         cube.select(*dims, name).distinct().write.mode("overwrite").parquet(f"{path}/_fixed/{name}")

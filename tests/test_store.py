@@ -57,6 +57,27 @@ def test_regions_replace_only_themselves(spark, cube, tmp_path):
     assert spark.read.parquet(f"{path}/_fixed/index").count() == 2
 
 
+def test_region_writes_keep_the_other_variables(spark, cube, tmp_path):
+    """Writing some variables, one after the other, leaves all primed ones in the store, with their types and values."""
+    path, sizes = f"{tmp_path}/out", {"lat": 2, "lon": 2}
+    labelled = cube.withColumn("lat", F.col("lat_idx") * 10.0)
+    store.prime_qdm_output(labelled, "v", [2002], path, sizes, [*KEYS, "lat"])
+    columns = set(store.read_cube(spark, path).columns)
+    wanted = labelled.filter("year(date) = 2002").withColumn("sim_q", F.lit(0.5))
+    corner = wanted.filter("lat_idx < 2 AND lon_idx < 2")
+    store.write_region(wanted.select(*KEYS, "v", "sim_q"), path, sizes)  # every region lacks w, index and lat
+    after = store.read_cube(spark, path)
+    assert set(after.columns) == columns and dict(after.dtypes)["sim_q"] == "float"
+    assert values(after, "lat", "v", "sim_q") == values(wanted, "lat", "v", "sim_q") and after.filter("w IS NULL AND index IS NULL").count() == 32
+    for _ in range(2):
+        store.write_region(corner.select(*KEYS, "w", F.lit(7).alias("extra")), path, sizes)
+    after = store.read_cube(spark, path)
+    assert set(after.columns) == {*columns, "extra"} and values(after, "lat", "v", "sim_q") == values(wanted, "lat", "v", "sim_q")
+    assert values(after.filter("w IS NOT NULL AND extra = 7"), "w") == values(corner, "w")
+    with pytest.raises(ValueError, match="date"):
+        store.write_region(corner.select("lat_idx", "lon_idx", "v"), path, sizes)
+
+
 def test_priming_for_downscaling_keeps_the_variable_alone(spark, cube, tmp_path):
     table = attrs.attrs_table(spark, {"a": "1"}).unionByName(attrs.attrs_table(spark, {"units": "K"}, "v"))
     extra = attrs.attrs_table(spark, {"b": "2", "a": "3"})
