@@ -154,6 +154,50 @@ def _(spark, sf):
     return attrs.carry_attrs(facts.unionByName(as_quantile), ["click", "view", "sim_q"])
 
 
+# The queries above show a merge and a carry on part of the attributes; these take all three of every event type.
+EVENT_FACTS = """facts AS (
+  SELECT event_type AS variable, row_number() OVER (ORDER BY event_type) - 1 AS place, CAST(count(*) AS VARCHAR) AS n,
+         CAST(CAST(min(ts) AS DATE) AS VARCHAR) AS first_day, CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS last_day
+  FROM events GROUP BY event_type),
+entries AS (
+  SELECT variable, place, 0 AS pos, 'n' AS key, n AS value FROM facts
+  UNION ALL SELECT variable, place, 1, 'first_day', first_day FROM facts
+  UNION ALL SELECT variable, place, 2, 'last "day"', last_day FROM facts)"""
+
+
+@query(
+    "merge_attrs_all",
+    f"""WITH {EVENT_FACTS},
+sets AS (
+  SELECT 0 AS rank, place * 3 + pos AS pos, variable || ' ' || key AS key, value FROM entries
+  UNION ALL SELECT 1, place, variable || ' n', last_day FROM facts
+  UNION ALL SELECT 2, r_regionkey, r_name, CAST(r_regionkey AS VARCHAR) FROM region)
+SELECT CAST(row_number() OVER (ORDER BY min(rank * 1000 + pos)) - 1 AS INTEGER) AS pos, key,
+       arg_max(value, rank) AS value
+FROM sets GROUP BY key""",
+)
+def _(spark, sf):
+    no_variable = F.lit(None).cast("string").alias("variable")
+    facts = cubes.event_attrs(spark, sf)
+    place = F.row_number().over(attrs.Window.partitionBy("key").orderBy("variable")) - 1
+    placed = facts.withColumn("place", place)
+    whole = placed.select(no_variable, (F.col("place") * 3 + F.col("pos")).alias("pos"), F.concat_ws(" ", "variable", "key").alias("key"), "value")
+    changed = placed.filter("key = 'last \"day\"'").select(
+        no_variable, F.col("place").alias("pos"), F.concat("variable", F.lit(" n")).alias("key"), "value"
+    )
+    regions = cubes.table(spark, sf, "region").select(
+        no_variable, F.col("r_regionkey").alias("pos"), F.col("r_name").alias("key"), F.col("r_regionkey").cast("string").alias("value")
+    )
+    return attrs.merge_attrs(whole, changed, regions).select("pos", "key", "value")
+
+
+@query("carry_attrs_all", f"WITH {EVENT_FACTS} SELECT variable, pos, key, value FROM entries WHERE variable IN ('click', 'view')")
+def _(spark, sf):
+    facts = cubes.event_attrs(spark, sf)
+    as_quantile = facts.filter(F.col("variable") == "error").withColumn("variable", F.lit("sim_q"))
+    return attrs.carry_attrs(facts.unionByName(as_quantile), ["click", "view", "sim_q"])
+
+
 @query(
     "rechunk",
     f"""WITH {sql.GRID}
@@ -524,6 +568,53 @@ def _(spark, sf):
     return qdm.nearest_factor(_ranked(spark, sf), 100).select("cell", "date", "node")
 
 
+# The four queries above read line status O only; these read all of the line items, with a cell per flag and status.
+BOTH_POOLS = sql.pools(sql.FINE_CELL, False)
+
+
+def _both_ranked_sql(same_doy: bool = False) -> str:
+    return sql.ranked(1992, 2001, HALF_YEARS, same_doy).replace("'O'", "'*'")
+
+
+def _both_ranked(spark: SparkSession, sf: str, **options) -> DataFrame:
+    series, ends = cubes.fine_series(spark, sf).drop("coarse_cell"), cubes.ship_days(spark, sf)
+    return qdm.sim_quantile(series, "v", range(1992, 2002), half_years=HALF_YEARS, time_range=ends, **options)
+
+
+@query(
+    "doy_window_pool_both",
+    f"""WITH {BOTH_POOLS}
+SELECT cell, CAST(doy AS INTEGER) AS doy, CAST(count(v) AS INTEGER) AS n, round(sum(v), 6) AS total, round(min(v), 6) AS lowest, round(max(v), 6) AS highest
+FROM members GROUP BY cell, doy""",
+)
+def _(spark, sf):
+    series, ends = cubes.fine_series(spark, sf).drop("coarse_cell"), cubes.ship_days(spark, sf)
+    total = F.aggregate("pool", F.lit(0.0), lambda a, x: a + x)
+    return pools.doy_window_pool(series, "v", time_range=ends).select(
+        "cell", "doy", "n", rounded(total, "total"),
+        rounded(F.array_min("pool"), "lowest"), rounded(F.array_max("pool"), "highest"),
+    )
+
+
+@query("sim_quantile_both", f"WITH {BOTH_POOLS}, {_both_ranked_sql()} SELECT {RANKED_COLUMNS} FROM ranked")
+def _(spark, sf):
+    return _both_ranked(spark, sf).select("cell", "date", "sim_rank2", "sim_n", rounded("sim_q"))
+
+
+@query("sim_quantile_same_doy_both", f"WITH {BOTH_POOLS}, {_both_ranked_sql(True)} SELECT {RANKED_COLUMNS} FROM ranked")
+def _(spark, sf):
+    return _both_ranked(spark, sf, rank_scope=qdm.SAME_DOY).select("cell", "date", "sim_rank2", "sim_n", rounded("sim_q"))
+
+
+@query(
+    "nearest_node_both",
+    f"""WITH {BOTH_POOLS}, {_both_ranked_sql()}
+SELECT cell, date, CAST((100 * rank2 - 1) // (2 * n) AS INTEGER) AS node FROM ranked""",
+)
+def _(spark, sf):
+    return qdm.nearest_factor(_both_ranked(spark, sf), 100).select("cell", "date", "node")
+
+
 @query(
     "apply_correction",
     """SELECT l_orderkey, l_linenumber, l_extendedprice + l_discount AS added, l_extendedprice * l_discount AS multiplied FROM lineitem""",
@@ -810,3 +901,40 @@ def _(spark, sf):
 @query("validate", _rule_sql(DTR_YEARS, MISSING, *DTR_RULES))
 def _(spark, sf):
     return checks.validation_report(cubes.dtr_with_missing(spark, sf), "dtr", "downscaled")
+
+
+# The query above validates one variable; these the other two, each with every tenth value missing.
+ITEM_YEARS_MISSING = """y AS (
+  SELECT year(l_shipdate) AS year, count(*) FILTER (WHERE l_orderkey % 10 = 0) AS n_missing,
+         min(l_quantity * 8) FILTER (WHERE l_orderkey % 10 <> 0) AS low, max(l_quantity * 8) FILTER (WHERE l_orderkey % 10 <> 0) AS high,
+         count(*) FILTER (WHERE l_orderkey % 10 <> 0 AND l_extendedprice - 2000 < -0.001) AS n_negative,
+         count(*) FILTER (WHERE l_orderkey % 10 <> 0 AND l_extendedprice - 2000 > 3000) AS n_over,
+         max(l_extendedprice - 2000) FILTER (WHERE l_orderkey % 10 <> 0) AS wettest
+  FROM lineitem GROUP BY year(l_shipdate))"""
+
+
+def _some_missing(cube: DataFrame, value: Column, name: str) -> DataFrame:
+    return cube.withColumn(name, F.when(F.col("l_orderkey") % 10 != 0, value))
+
+
+@query(
+    "validate_pr",
+    _rule_sql(
+        ITEM_YEARS_MISSING, MISSING, ("negative", "n_negative > 0", "n_negative", "no value < -0.001"),
+        ("max_precip", "n_over > 0", "wettest", "no value > 3000"),
+    ),
+)
+def _(spark, sf):
+    cube = _some_missing(cubes.extreme_precipitation(spark, sf), F.col("pr") - 2000, "pr")
+    return checks.validation_report(cube, "pr", "downscaled")
+
+
+@query(
+    "validate_tasmax",
+    _rule_sql(
+        ITEM_YEARS_MISSING, MISSING, ("temp_range_min", "NOT low > 130", "low", "min > 130"),
+        ("temp_range_max", "NOT high < 377", "high", "max < 377"),
+    ),
+)
+def _(spark, sf):
+    return checks.validation_report(_some_missing(cubes.temperature(spark, sf), F.col("tasmax"), "tasmax"), "tasmax", "downscaled")

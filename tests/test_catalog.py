@@ -29,6 +29,21 @@ def test_query_agrees_with_sql(spark, con, name):
     assert problem is None and rows > 0
 
 
+def test_whole_tables_are_read(spark, con):
+    """No status, attribute or variable is left out of the queries as a group."""
+    cells = {f + s for f, s in con.execute("SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem").fetchall()}
+    days = con.execute("""SELECT count(*) FROM (SELECT DISTINCT l_returnflag, l_linestatus, CAST(l_shipdate AS DATE) AS day FROM lineitem)
+        WHERE NOT (month(day) = 2 AND day(day) = 29)""").fetchone()[0]
+    for name in ("sim_quantile_both", "sim_quantile_same_doy_both", "nearest_node_both"):
+        rows = catalog.QUERIES[name](spark, SMALL).select("cell").collect()
+        assert len(rows) == days and {r.cell for r in rows} == cells
+    assert {r.cell for r in catalog.QUERIES["doy_window_pool_both"](spark, SMALL).select("cell").distinct().collect()} == cells
+    for name in ("merge_attrs_all", "carry_attrs_all"):
+        keys = " ".join(r.key for r in catalog.QUERIES[name](spark, SMALL).collect())
+        assert "first_day" in keys and 'last "day"' in keys and "n" in keys.split()
+    assert {"validate", "validate_pr", "validate_tasmax"} <= set(catalog.QUERIES)
+
+
 def test_flagship(spark):
     assert entry.entry(spark).columns == ["cell", "date", "v", "sim_q"]
 
