@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -41,15 +41,20 @@ def offsets(lengths: np.ndarray) -> np.ndarray:
     return np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths, dtype=np.int64)])
 
 
-def pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, list[str]]:
+def pieces(texts: pa.Array, added: Sequence[str] = ()) -> tuple[np.ndarray, np.ndarray, pa.Array, list[str]]:
     """Texts cut before every space that stands alone: (piece numbers, pieces of each text, names, others).
 
     No token of the tokenizers used here reaches over such a cut: a space can only begin a token. Pieces
     are numbered by ``names``, which lack the space before them, and on from there by ``others``, which
-    are complete: those that begin a text and those of texts with odd white space.
+    are complete: those that begin a text and those of texts with odd white space. A text that holds one of
+    the strings ``added`` is one piece, and complete.
     """
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    wild = np.flatnonzero(pc.match_substring_regex(texts, GAP).to_numpy(zero_copy_only=False))
+    wild = pc.match_substring_regex(texts, GAP).to_numpy(zero_copy_only=False)
+    whole = np.zeros(len(texts), bool)
+    for token in added:
+        whole |= pc.match_substring(texts, token, ignore_case=True).to_numpy(zero_copy_only=False)
+    wild = np.flatnonzero(wild | whole)
     split = pc.split_pattern(texts, " ")
     counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = pc.dictionary_encode(pc.list_flatten(split))
@@ -62,7 +67,8 @@ def pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, list[str]
         known: dict[str, int] = {}
         parts, at, done, new = [], offsets(counts), 0, counts.copy()
         for i in wild.tolist():
-            words = [w if k == 0 else " " + w for k, w in enumerate(SAFE_SPACE.split(texts[i].as_py()))]
+            text = texts[i].as_py()
+            words = [text] if whole[i] else [w if k == 0 else " " + w for k, w in enumerate(SAFE_SPACE.split(text))]
             numbers = [known.setdefault(w, len(names) + len(others) + len(known)) for w in words]
             parts += [codes[at[done] : at[i]], np.array(numbers, dtype=np.int64)]
             done, new[i] = i + 1, len(words)
@@ -74,15 +80,15 @@ def pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, list[str]
 class Encoder:
     """Token ids of whole texts by the tokenizers library, asked once for each distinct piece.
 
-    ``spaces``: whether the vocabulary keeps spaces (byte-level) or drops them. Strings of special tokens
-    are ordinary text.
+    ``spaces``: whether the vocabulary keeps spaces (byte-level) or drops them. Texts that hold the string
+    of an added token, such as a special one, are given to the library whole.
     """
 
     def __init__(self, definition: str, spaces: bool):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.spaces = self.tokenizer.model, spaces
         self.model._resize_cache(0)  # every run of letters is asked for once
         self.words: dict[str, list[int]] = {}
@@ -121,7 +127,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(piece numbers, pieces of each text, ids of all distinct pieces, their offsets)."""
-        codes, counts, names, others = pieces(texts)
+        codes, counts, names, others = pieces(texts, self.added)
         plain = pc.match_substring_regex(names, rf"^[{LETTERS}]+[.,]?$").to_numpy(zero_copy_only=False)
         simple = names.filter(pa.array(plain))
         stems = pc.utf8_rtrim(simple, ".,")

@@ -35,6 +35,18 @@ def test_pieces_give_the_ids_of_whole_texts(name, end, spaces):
         assert ids[at[i] : at[i + 1]].tolist() == whole.encode(text or "", add_special_tokens=False).ids + [end]
 
 
+@pytest.mark.parametrize("name,end,spaces", [("byte_bpe_50k.json", 2, True), ("word_bpe_49k.json", 1, False)])
+def test_strings_of_special_tokens_give_the_ids_of_the_plain_library(name, end, spaces):
+    from tokenizers import Tokenizer
+
+    definition = words.definition(public_tokenizers.path(name))
+    plain = Tokenizer.from_str(definition)
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b  c", "x <|startoftext|> y", "<|ENDOFTEXT|> a b", "<|endof text|> a", "a b c", "", "a <|endoftext|><|startoftext|>"]
+    ids, at = words.Encoder(definition, spaces).ids(pa.array(texts), end)
+    for i, text in enumerate(texts):
+        assert ids[at[i] : at[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids + [end]
+
+
 def test_grammars_round_trip_and_give_any_part():
     encoder = words.Encoder(words.definition(public_tokenizers.path("byte_bpe_50k.json")), True)
     texts = pa.array([*odd_texts(50), "the same words again and again " * 400, "aaaa" * 500])
