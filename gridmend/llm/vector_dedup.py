@@ -15,8 +15,10 @@ from gridmend.llm import vectors
 from gridmend.llm.tables import components, saved
 from gridmend.shipping import ship
 
-#: The codebooks are fitted on at most so many vectors; every vector is indexed.
-SAMPLE, RECALL, MOST_VISITS, PER_CELL, MOST_CODES, BLOCK, SEED = 20_000, 0.95, 64, 256, 256, 1024, 11
+#: The codebooks are fitted on at most so many vectors; every vector is indexed. Visits are looked for among the first so many cells, then among more.
+SAMPLE, RECALL, FIRST_VISITS, PER_CELL, MOST_CODES, BLOCK, SEED = 20_000, 0.95, 64, 256, 256, 1024, 11
+#: Vectors are placed in parts of so many visits.
+PLACED = 1 << 20
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -63,6 +65,16 @@ class Grid:
         return np.take_along_axis(by_a[:, i] * len(self.second) + by_b[:, j], order, 1)
 
 
+def ranks(grid: Grid, x: np.ndarray, home: np.ndarray, most: int) -> np.ndarray:
+    """The place of cell ``home`` among the ``most`` cells nearest to each vector, or ``most``; in parts of bounded size."""
+    part = max(1, PLACED // most)
+    out = []
+    for i in range(0, len(x), part):
+        met = grid.cells(x[i : i + part], most) == home[i : i + part, None]
+        out.append(np.where(met.any(1), met.argmax(1), most))
+    return np.concatenate(out)
+
+
 def fit(sample: np.ndarray, rows: int, cosine: float, recall: float = RECALL) -> Grid:
     """Codebooks with about ``PER_CELL`` vectors per cell, and the visits at which ``recall`` of the hardest links are found:
     pairs of a sampled vector and one at exactly the linking cosine from it, either visiting the other's cell."""
@@ -76,10 +88,14 @@ def fit(sample: np.ndarray, rows: int, cosine: float, recall: float = RECALL) ->
     aside = aside - (aside * x).sum(1, keepdims=True) * x
     norm = np.sqrt((aside * aside).sum(1, keepdims=True))
     y = cosine * x + np.sqrt(1 - cosine**2) * np.where(norm > 0, aside / np.maximum(norm, 1e-300), 0)
-    mine, theirs = grid.cells(x, MOST_VISITS), grid.cells(y, MOST_VISITS)
-    rank = lambda seen, home: np.where((seen == home[:, None]).any(1), (seen == home[:, None]).argmax(1), MOST_VISITS)
-    needed = np.sort(np.minimum(rank(mine, theirs[:, 0]), rank(theirs, mine[:, 0])))
-    grid.visits = int(min(MOST_VISITS, needed[int(np.ceil(recall * len(needed))) - 1] + 1))
+    homes, whole, most = (grid.cells(x, 1)[:, 0], grid.cells(y, 1)[:, 0]), len(grid.first) * len(grid.second), FIRST_VISITS
+    while True:
+        needed = np.sort(np.minimum(ranks(grid, x, homes[1], most), ranks(grid, y, homes[0], most)))
+        last = int(needed[int(np.ceil(recall * len(needed))) - 1])
+        if last < most or most >= whole:
+            break
+        most *= 4
+    grid.visits = min(last + 1, whole)
     return grid
 
 
@@ -145,7 +161,8 @@ def near_duplicates(table: DataFrame, cosine: float = 0.93) -> DataFrame:
         dim = some.shape[1]
 
         def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            step = max(1, PLACED // grid.value.visits)
+            for batch in (whole.slice(i, step) for whole in batches for i in range(0, whole.num_rows, step)):
                 if batch.num_rows:
                     cells = grid.value.cells(unit(vectors.matrix(batch["embedding"])))
                     visits = pa.array(cells.tolist(), pa.list_(pa.int32()))

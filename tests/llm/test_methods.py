@@ -145,3 +145,17 @@ def test_misspelt_words_score_like_the_words_they_resemble():
     assert unseen.min() > np.percentile(usual, 99)
     assert model.score(pa.array(["", None, " .,"])).tolist() == [0, 0, 0]
     assert zlib.crc32(b"7") % 5 != 0
+
+
+def test_visits_grow_until_the_recall_is_met():
+    """Vectors far apart that link at a low cosine need more cells than are looked at first."""
+    rng = np.random.default_rng(2)
+    grid = vector_dedup.fit(rng.normal(size=(3000, 32)), 32 * 32 * vector_dedup.PER_CELL, 0.3)
+    assert grid.visits > 64
+    x = vector_dedup.unit(rng.normal(size=(1000, 32)))
+    aside = rng.normal(size=x.shape)
+    aside -= (aside * x).sum(1, keepdims=True) * x
+    y = 0.3 * x + np.sqrt(1 - 0.3**2) * vector_dedup.unit(aside)
+    mine, theirs = grid.cells(x), grid.cells(y)
+    met = (mine == theirs[:, :1]).any(1) | (theirs == mine[:, :1]).any(1)
+    assert met.mean() > vector_dedup.RECALL - 0.03
