@@ -55,7 +55,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Trained models, shingle links and token ids are beyond SQL; the tests hold run() against brute force.
+#: Trained models, shingle links and token ids are beyond SQL; the tests check single operators and two of the stages, none calls run().
 ORACLE_SQL = None
 
 
