@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmend.llm import hamming_search, mixing, ngram_join, packing, repair, secret_scan, sharding, toxicity, url_filter, vector_dedup
+from gridmend.llm import centroids, hamming_search, html_text, merkle, mixing, ngram_join, packing, repair, secret_scan, sharding, toxicity, url_filter, vector_dedup
 from gridmend.llm.tables import table
 from gridmend.session import scratch_path
 
@@ -62,6 +62,19 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    return merkle.manifest(documents.withColumn("tampered", merkle.tampered(F.col("doc_id"), F.col("text"))))
+
+
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_repair_ids": op1_repair_ids,
     "op2_mix_sources": op2_mix_sources,
@@ -73,8 +86,13 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_url_filter": op9_url_filter,
     "op10_shards": op10_shards,
+    "op11_centroids": op11_centroids,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_html_text": op13_html_text,
 }
 
 ORACLES = {
     "op2_mix_sources": mixing.MIX_SQL.format(documents="documents") + "SELECT doc_id, size, source_size, target, size * copies AS taken FROM mixed",
+    "op11_centroids": centroids.sql(),
+    "op12_merkle_manifest": merkle.sql(),
 }
