@@ -45,5 +45,30 @@ def nearest_node_by_quantile(q: Column, n: Column | int) -> Column:
     return F.greatest(F.lit(0).cast("bigint"), F.least(n.cast("bigint") - 1, raw)).cast("int")
 
 
+def nearest_node_uneven(q: Column, nodes: Column, n: Column | None = None) -> Column:
+    """0-based nearest node of a quantile among ascending ``nodes`` at any distances, the lower one on a tie.
+
+    A binary search in the array, so its cost grows with the logarithm of the nodes. NULL for a missing quantile
+    and for an empty array.
+    """
+    n = F.size(nodes) if n is None else n
+
+    def at(i: Column) -> Column:
+        return F.get(nodes, i)
+
+    def halve(ends: Column, _: Column) -> Column:
+        """``low`` is the last node known to be at most q, or 0; ``high`` lies after all such nodes."""
+        middle = F.floor((ends["low"] + ends["high"]) / 2).cast("int")
+        up = at(middle) <= q
+        return F.struct(F.when(up, middle).otherwise(ends["low"]).alias("low"), F.when(up, ends["high"]).otherwise(middle).alias("high"))
+
+    turns = F.sequence(F.lit(1), F.ceil(F.log2(F.greatest(n, F.lit(2)))).cast("int"))
+    start = F.struct(F.lit(0).alias("low"), n.cast("int").alias("high"))
+    low = F.aggregate(turns, start, halve)["low"]
+    above = F.least(low + 1, n - 1)
+    nearer = F.abs(at(above) - q) < F.abs(q - at(low))
+    return F.when(q.isNotNull() & (n > 0), F.when(nearer, above).otherwise(low)).cast("int")
+
+
 def apply_correction(value: Column, factor: Column, kind: str) -> Column:
     return value + factor if kind_symbol(kind) == ADDITIVE else value * factor

@@ -7,7 +7,7 @@ A cube on the 360-day calendar has no ``date`` column (30 February is not a date
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from gridmend.operators.clamps import pr_to_mm_day
 from gridmend.operators.slicing import squeeze_cruft
 
 BLOCK_360 = 72  # days of the 360-day year that share one inserted day
+BLOCK_DAYS = 8 * 366  # days of a series that are sorted together
 
 
 def detect_calendar(cube: DataFrame) -> DataFrame:
@@ -68,19 +69,7 @@ def densify(
 
     ``time_range`` states the ends of the axis (see ``timeaxis.time_axis``). Each row writes out the days up to its successor, so no scaffold is joined.
     """
-    axis = timeaxis.time_axis(cube, time_range)
-    lo = timeaxis.axis_value(axis, calendar, lambda first, _: first)
-    hi = timeaxis.axis_value(axis, calendar, lambda _, last: last)
-    by_day = Window.partitionBy(*cell_cols).orderBy("_step")
-    rows = cube.select(*cell_cols, *value_cols, timeaxis.step(F.col("date"), calendar).alias("_step"))
-    rows = rows.withColumn("_from", F.when(F.row_number().over(by_day) == 1, lo).otherwise(F.col("_step")))
-    rows = rows.withColumn("_until", F.coalesce(F.lead("_step").over(by_day) - 1, hi))
-    filled = rows.withColumn("_day", F.explode(F.sequence("_from", F.greatest("_from", "_until"))))
-    return filled.select(
-        *cell_cols,
-        timeaxis.date_of_step(F.col("_day"), calendar).alias("date"),
-        *[F.when(F.col("_day") == F.col("_step"), F.col(v)).alias(v) for v in value_cols],
-    )
+    return _filled(cube, value_cols, cell_cols, calendar, timeaxis.time_axis(cube, time_range), interpolate=False)
 
 
 def interpolate_gaps(
@@ -90,21 +79,62 @@ def interpolate_gaps(
     calendar: str = STANDARD,
 ) -> DataFrame:
     """Fill missing values linearly in time between their neighbours; gaps at the ends stay missing."""
-    keys = ", ".join(f"`{c}`" for c in cell_cols)
-    frame = f"OVER (PARTITION BY {keys} ORDER BY _step)"
+    return _filled(cube, value_cols, cell_cols, calendar, None, interpolate=True)
+
+
+def _filled(cube, value_cols, cell_cols, calendar, axis, interpolate: bool) -> DataFrame:
+    """A series per cell (one series without ``cell_cols``) filled in time: the days of ``axis`` it lacks, if given, and missing values.
+
+    A series is cut into blocks of ``BLOCK_DAYS`` that are sorted for themselves, so one long series is
+    many tasks. What a block must know of the others, its next first day and the known values nearest to its
+    ends, comes from one row per cell and block.
+    """
+    keys, values = [*cell_cols, "_block"], list(value_cols)
+    cells = ", ".join(f"`{c}`" for c in cell_cols)
+    by_block = f"OVER ({'PARTITION BY ' + cells if cells else ''} ORDER BY _block)"
+    by_day = f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)} ORDER BY _step)"
+
+    def known(value: str) -> str:
+        return f"CASE WHEN `{value}` IS NOT NULL THEN struct(_step AS t, `{value}` AS v) END"
+
     rows = cube.withColumn("_step", timeaxis.step(F.col("date"), calendar))
-    for value in value_cols:
-        point = f"CASE WHEN `{value}` IS NOT NULL THEN struct(_step AS t, `{value}` AS v) END"
-        rows = rows.withColumns(
-            {
-                "_before": F.expr(f"lag({point}) IGNORE NULLS {frame}"),
-                "_after": F.expr(f"lead({point}) IGNORE NULLS {frame}"),
-            }
-        )
-        weight = (F.col("_step") - F.col("_before.t")) / (F.col("_after.t") - F.col("_before.t"))
-        between = F.col("_before.v") + (F.col("_after.v") - F.col("_before.v")) * weight
-        rows = rows.withColumn(value, F.coalesce(F.col(value), between.cast(cube.schema[value].dataType)))
-    return rows.drop("_step", "_before", "_after")
+    rows = rows.withColumn("_block", F.floor(F.col("_step") / BLOCK_DAYS).cast("int"))
+    ends = [F.min("_step").alias("_first")]
+    for i, value in enumerate(values if interpolate else []):
+        ends += [F.expr(f"min({known(value)})").alias(f"_low_{i}"), F.expr(f"max({known(value)})").alias(f"_high_{i}")]
+    blocks = rows.groupBy(*keys).agg(*ends)
+    beyond = {"_next": F.expr(f"lead(_first) {by_block}"), "_opens": F.expr(f"row_number() {by_block} = 1")}
+    within = {"_follows": F.expr(f"lead(_step) {by_day}"), "_leads": F.expr(f"row_number() {by_day} = 1")}
+    for i, value in enumerate(values if interpolate else []):
+        beyond[f"_past_{i}"] = F.expr(f"lag(_high_{i}) IGNORE NULLS {by_block}")
+        beyond[f"_coming_{i}"] = F.expr(f"lead(_low_{i}) IGNORE NULLS {by_block}")
+        within[f"_before_{i}"] = F.expr(f"lag({known(value)}) IGNORE NULLS {by_day}")
+        within[f"_after_{i}"] = F.expr(f"lead({known(value)}) IGNORE NULLS {by_day}")
+    blocks = blocks.select(*keys, *[c.alias(name) for name, c in beyond.items()]).withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    rows = rows.withColumns(within).join(blocks, same)
+    day, step = F.col("_step"), F.col("_step")
+    if axis is not None:
+        lo = timeaxis.axis_value(axis, calendar, lambda first, _: first)
+        hi = timeaxis.axis_value(axis, calendar, lambda _, last: last)
+        since = F.when(F.col("_opens") & F.col("_leads"), lo).otherwise(step)
+        until = F.coalesce(F.col("_follows") - 1, F.col("_next") - 1, hi)
+        rows = rows.withColumn("_since", since).withColumn("_day", F.explode(F.sequence("_since", F.greatest("_since", until))))
+        day = F.col("_day")
+    filled = {}
+    for i, value in enumerate(values):
+        own = F.when(day == step, F.col(value))
+        if interpolate:
+            point = F.expr(known(value))
+            before = F.coalesce(F.when(day > step, point), F.col(f"_before_{i}"), F.col(f"_past_{i}"))
+            after = F.coalesce(F.when(day < step, point), F.col(f"_after_{i}"), F.col(f"_coming_{i}"))
+            weight = (day - before["t"]) / (after["t"] - before["t"])
+            between = before["v"] + (after["v"] - before["v"]) * weight
+            own = F.coalesce(own, between.cast(cube.schema[value].dataType))
+        filled[value] = own
+    if axis is None:
+        return rows.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in cube.columns])
+    return rows.select(*cell_cols, timeaxis.date_of_step(day, calendar).alias("date"), *[c.alias(v) for v, c in filled.items()])
 
 
 def inserted_mask(cube: DataFrame, value_cols: Sequence[str]) -> DataFrame:
@@ -197,8 +227,7 @@ def convert_360_day(
         last = F.when(timeaxis.is_leap_day(last), F.date_sub(last, 1)).otherwise(last)
     axis = cube.agg(F.min(first_of_month).alias("first"), last.alias("last"))
     moved = _move_360_days(cube, target, align_on, axis, seed).select(*cell_cols, "date", *value_cols)
-    out = densify(moved, value_cols, cell_cols, target, axis)
-    return interpolate_gaps(out, value_cols, cell_cols, target) if interpolation else out
+    return _filled(moved, value_cols, cell_cols, target, axis, interpolate=bool(interpolation))
 
 
 def standardize_gcm(
@@ -209,14 +238,15 @@ def standardize_gcm(
     units: dict[str, str] | None = None,
     leapday_removal: bool = True,
     seed: int = 0,
+    roles: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Clean a raw model run: leftover coordinates, precipitation units, calendar.
+    """Clean a raw model run: leftover dimensions and coordinates (see ``squeeze_cruft``), precipitation units, calendar.
 
     A 360-day run becomes noleap (standard if ``leapday_removal`` is off); any other loses its leap days
     if ``leapday_removal`` is on. ``units`` gives the units of each variable, and those of a ``time``
     column of whole days that stands in for dates.
     """
-    cube = squeeze_cruft(cube)
+    cube = squeeze_cruft(cube, roles=roles)
     if "time" in cube.columns and (calendar == DAY360 or leapday_removal):
         cube = decode_time(cube, "time", origin_of((units or {}).get("time", "")), calendar)
     if "pr" in value_cols:

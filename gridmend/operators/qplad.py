@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 import numpy as np
@@ -34,9 +35,18 @@ def check_qplad_inputs(coarse: DataFrame, fine: DataFrame, quantiles_n: int = 62
         )
 
     found = {r["side"]: r for r in axis(coarse, "coarse").unionByName(axis(fine, "fine")).collect()}
-    if found["coarse"]["days"] != found["fine"]["days"]:
+    _check_lengths(found["coarse"]["days"], found["fine"]["days"], found["fine"]["years"], quantiles_n, window)
+
+
+def check_axes(coarse_days: Sequence[dt.date], fine_days: Sequence[dt.date], quantiles_n: int = 620, window: int = 31) -> None:
+    """As ``check_qplad_inputs``, on stored time axes and so without reading data."""
+    _check_lengths(len(coarse_days), len(fine_days), len({d.year for d in fine_days}), quantiles_n, window)
+
+
+def _check_lengths(coarse_days: int, fine_days: int, fine_years: int, quantiles_n: int, window: int) -> None:
+    if coarse_days != fine_days:
         raise ValueError("coarse and fine reference data have different numbers of time steps")
-    years = found["fine"]["years"] - 2
+    years = fine_years - 2
     if years * window != quantiles_n:
         raise ValueError(
             f"{quantiles_n} quantiles need quantiles_n == full years * window, but the data have "

@@ -7,7 +7,12 @@ target cells it reaches, both sums stay within their task, and a key holds no mo
 one time step. To a coarser grid, rows are weighted first and summed map-side, so that at best only target
 values move.
 
-An axis table has ``idx``, ``center`` and, for conservative regridding, the cell edges ``lo`` and ``hi``.
+The output has every target cell at every time step. Each step and band has one marker row besides its source rows,
+placed on a line of its own (``FRAME``) that reaches all targets without a weight, so a target without any source
+comes out missing within the group that its band has anyway.
+
+An axis table has ``idx``, ``center`` and, for conservative regridding, the cell edges ``lo`` and ``hi``; its cells
+do not overlap. Axes are matched by sorting their lines together, however many they are.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from gridmend.functions.joins import BROADCAST_ROWS, broadcast_if, is_small, loc
 
 FULL_CIRCLE = 360.0
 BAND = 64  # target latitudes that share a shuffle key
+FRAME = -1  # position of the marker rows
 BILINEAR, CONSERVATIVE, CONSERVATIVE_NORMED = "bilinear", "conservative", "conservative_normed"
 
 
@@ -64,44 +70,36 @@ def _turns(period: float) -> Column:
     return F.explode(F.array(F.lit(-period), F.lit(0.0), F.lit(period))).alias("by")
 
 
-def bilinear_axis_weights(
-    source: DataFrame, target: DataFrame, period: float | None = None, small: bool = False
-) -> DataFrame:
+def bilinear_axis_weights(source: DataFrame, target: DataFrame, period: float | None = None) -> DataFrame:
     """``src``, ``dst``, ``label``, ``w``, ``parts``: the source points around every target centre.
 
     A target centre outside the source's hull gets one part without a weight, so its values come out
-    missing; with a ``period`` there is no outside. ``small`` says the source axis may be broadcast.
+    missing; with a ``period`` there is no outside.
     """
     points = source.select("idx", "center")
     if period is not None:
         points = points.select("idx", "center", _turns(period)).select("idx", (F.col("center") + F.col("by")).alias("center"))
-    along = Window.orderBy("center")  # an axis, not data: one row per grid line
-    following = points.select(
-        F.col("center").alias("c0"), F.col("idx").alias("i0"),
-        F.lead("center").over(along).alias("c1"), F.lead("idx").over(along).alias("i1"),
-    )
-    lowest = points.agg(F.min_by("idx", "center").alias("i1"), F.min("center").alias("c1"))
-    before = lowest.select(F.lit(None).cast("double").alias("c0"), F.lit(None).cast("int").alias("i0"), "c1", "i1")
-    brackets = following.unionByName(before)
-    at = F.col("center")
-    within = (F.col("c0").isNull() | (at >= F.col("c0"))) & (F.col("c1").isNull() | (at < F.col("c1")))
-    fraction = (at - F.col("c0")) / (F.col("c1") - F.col("c0"))
+    lines = points.select(F.col("center").alias("at"), F.struct("center", "idx").alias("point"), F.lit(None).cast("int").alias("dst"))
+    targets = target.select(F.col("center").alias("at"), F.lit(None).alias("point"), F.col("idx").alias("dst"))
+    merged = lines.unionAll(targets.withColumn("point", F.col("point").cast(lines.schema["point"].dataType)))
+    order = "OVER (ORDER BY at, dst NULLS FIRST)"  # axes, not data: one row per grid line
+    around = merged.select(
+        "at", "dst", F.expr(f"lag(point) IGNORE NULLS {order}").alias("p0"), F.expr(f"lead(point) IGNORE NULLS {order}").alias("p1")
+    ).where("dst IS NOT NULL")
+    fraction = (F.col("at") - F.col("p0.center")) / (F.col("p1.center") - F.col("p0.center"))
 
     def part(idx: str, weight: Column) -> Column:
         return F.struct(F.col(idx).cast("int").alias("src"), weight.cast("double").alias("w"))
 
     outside = F.lit(None)
     parts = (
-        F.when(F.col("c0").isNull(), F.array(part("i1", outside)))
-        .when(F.col("c1").isNull(), F.array(part("i0", F.when(at == F.col("c0"), 1.0))))
-        .when(fraction > 0, F.array(part("i0", 1 - fraction), part("i1", fraction)))
-        .otherwise(F.array(part("i0", F.lit(1.0))))
+        F.when(F.col("p0").isNull(), F.array(part("p1.idx", outside)))
+        .when(F.col("p1").isNull(), F.array(part("p0.idx", F.when(F.col("at") == F.col("p0.center"), 1.0))))
+        .when(fraction > 0, F.array(part("p0.idx", 1 - fraction), part("p1.idx", fraction)))
+        .otherwise(F.array(part("p0.idx", F.lit(1.0))))
     )
-    return (
-        target.select(F.col("idx").alias("dst"), "center")
-        .join(broadcast_if(small, brackets), within)  # at most 4 brackets per source point
-        .select("dst", F.col("center").alias("label"), F.size(parts).alias("parts"), F.explode(parts).alias("p"))
-        .select("p.src", "dst", "label", "p.w", "parts")
+    return around.select("dst", F.col("at").alias("label"), F.size(parts).alias("parts"), F.explode(parts).alias("p")).select(
+        "p.src", "dst", "label", "p.w", "parts"
     )
 
 
@@ -127,15 +125,34 @@ def conservative_axis_weights(
         cells = cells.select("idx", "lo", "hi", _turns(period)).select(
             "idx", (F.col("lo") + F.col("by")).alias("lo"), (F.col("hi") + F.col("by")).alias("hi")
         )
-    cells = cells.select(F.col("idx").alias("src"), F.col("lo").alias("s_lo"), F.col("hi").alias("s_hi"))
+    place = F.row_number().over(Window.orderBy("lo")).alias("place")  # axes, not data: one row per grid line
+    cells = cells.select(F.col("idx").alias("src"), F.col("lo").alias("s_lo"), F.col("hi").alias("s_hi"), place)
+    wanted = target.select(F.col("idx").alias("dst"), F.col("center").alias("label"), "lo", "hi")
+    lines = cells.select(F.col("s_lo").alias("at"), F.lit(1).alias("kind"), "place", F.lit(None).cast("int").alias("dst"))
+
+    def edges(name: str, kind: int) -> DataFrame:
+        return wanted.select(F.col(name).alias("at"), F.lit(kind).alias("kind"), F.lit(None).cast("int").alias("place"), "dst")
+
+    # The last source cell that begins at or before the lower edge, and the last that begins before the upper one.
+    merged = lines.unionAll(edges("lo", 2)).unionAll(edges("hi", 0))
+    found = merged.select("dst", "kind", F.expr("last_value(place) IGNORE NULLS OVER (ORDER BY at, kind ROWS UNBOUNDED PRECEDING)").alias("place"))
+    found = found.where("dst IS NOT NULL").groupBy("dst").agg(
+        F.max(F.when(F.col("kind") == 2, F.col("place"))).alias("first"), F.max(F.when(F.col("kind") == 0, F.col("place"))).alias("last")
+    )
+    between = F.sequence(F.coalesce("first", F.lit(1)), F.coalesce("last", F.lit(1)))
+    reached = F.when(F.coalesce("first", F.lit(1)) <= F.col("last"), between)
+    wanted = wanted.join(broadcast_if(small, found), "dst").withColumn("place", F.explode_outer(reached))
     shared = measure(F.least("hi", "s_hi")) - measure(F.greatest("lo", "s_lo"))
     overlap = F.when(F.col("src").isNotNull(), shared)
+    overlaps = (F.col("s_lo") < F.col("hi")) & (F.col("s_hi") > F.col("lo"))
+    cells = cells.withColumnRenamed("place", "_place")
     shares = (
-        target.select(F.col("idx").alias("dst"), F.col("center").alias("label"), "lo", "hi")
-        .join(broadcast_if(small, cells), (F.col("s_lo") < F.col("hi")) & (F.col("s_hi") > F.col("lo")), "left")
+        wanted.join(broadcast_if(small, cells), (F.col("place") == F.col("_place")) & overlaps, "left")
         .groupBy("dst", "label", F.coalesce("src", F.lit(0)).alias("src"))
         .agg(F.sum(overlap / (measure(F.col("hi")) - measure(F.col("lo")))).alias("w"))
     )
+    # A source beside a gap of the axis was reached without an overlap: no part of a target that has others.
+    shares = shares.withColumn("_any", F.max("w").over(Window.partitionBy("dst"))).where("w IS NOT NULL OR _any IS NULL").drop("_any")
     per_target = Window.partitionBy("dst")
     if renormalise:
         shares = shares.withColumn("w", F.col("w") / F.sum("w").over(per_target))
@@ -153,10 +170,12 @@ def regrid(
     time_cols: Sequence[str] = ("date",),
     periodic_lon: bool = False,
     astype: str | None = None,
+    time_steps: DataFrame | None = None,
 ) -> DataFrame:
     """Regrid to the (lat, lon) ``target_axes``: time columns, ``lat_idx``, ``lon_idx``, ``lat``, ``lon``, values.
 
-    ``conservative`` shares refer to whole target cells, ``conservative_normed`` to their covered part. A
+    There is a row for every target cell at every step of ``time_steps``, the distinct ``time_cols`` (by default those of the
+    cube, for which it is read once more). ``conservative`` shares refer to whole target cells, ``conservative_normed`` to their covered part. A
     target value is missing if any source value it needs is. Counts the axis tables (a small action): an
     axis has no more weights than three times its source and target points together, so axes small
     enough make their weights small enough to broadcast.
@@ -167,8 +186,8 @@ def regrid(
     small = sum(sizes) <= BROADCAST_ROWS
     coarser = 2 * sizes[2] * sizes[3] <= sizes[0] * sizes[1]
     if method == BILINEAR:
-        lat_w = bilinear_axis_weights(lat_from, lat_to, small=small)
-        lon_w = bilinear_axis_weights(lon_from, lon_to, period, small)
+        lat_w = bilinear_axis_weights(lat_from, lat_to)
+        lon_w = bilinear_axis_weights(lon_from, lon_to, period)
     elif method in (CONSERVATIVE, CONSERVATIVE_NORMED):
         renormalise = method == CONSERVATIVE_NORMED
         lat_w = conservative_axis_weights(lat_from, lat_to, None, True, renormalise, small)
@@ -182,8 +201,11 @@ def regrid(
             F.col("src").alias(f"{dim}_idx"), *target, F.col("w").alias(f"_w_{dim}"), F.col("parts").alias(f"_n_{dim}")
         )
 
-    lat_w, lon_w = named(lat_w, "lat"), named(lon_w, "lon")
+    lat_w, lon_w = named(_with_frame(lat_w, lat_to), "lat"), named(_with_frame(lon_w, lon_to), "lon")
     rows = cube.select(*time_cols, "lat_idx", "lon_idx", *[F.col(v).cast("double").alias(v) for v in value_cols])
+    steps = cube.select(*time_cols).distinct() if time_steps is None else time_steps.select(*time_cols)
+    nothing = [F.lit(None).cast("double").alias(v) for v in value_cols]
+    rows = rows.unionByName(steps.select(*time_cols, F.lit(FRAME).alias("lat_idx"), F.lit(FRAME).alias("lon_idx"), *nothing))
     if coarser:
         weighted = rows.join(broadcast_if(small, lat_w), "lat_idx").join(broadcast_if(small, lon_w), "lon_idx")
         weight, parts = F.col("_w_lat") * F.col("_w_lon"), F.col("_n_lat") * F.col("_n_lon")
@@ -213,6 +235,12 @@ def regrid(
     )
 
 
+def _with_frame(weights: DataFrame, target: DataFrame) -> DataFrame:
+    """Axis weights, and the marker line's reach: every target, without a weight."""
+    nothing = F.lit(None).cast("double").alias("w"), F.lit(None).cast("int").alias("parts")
+    return weights.unionByName(target.select(F.lit(FRAME).alias("src"), F.col("idx").alias("dst"), F.col("center").alias("label"), *nothing))
+
+
 def apply_weights(
     cube: DataFrame,
     weights: DataFrame,
@@ -224,12 +252,53 @@ def apply_weights(
 
     A target value is missing if any of its source values is. Counts the weights table (a small action).
     """
-    parts = F.count("*").over(Window.partitionBy("dst_cell")).alias("parts")
-    weighted = broadcast_if(is_small(weights), weights.select("src_cell", "dst_cell", "w", parts))
-    rows = cube.select(*time_cols, "src_cell", *[F.col(v).cast("double").alias(v) for v in value_cols])
-    sums = rows.join(weighted, "src_cell").groupBy(*time_cols, "dst_cell").agg(
-        *[_weighted_sum(v, F.col("w"), F.col("parts")) for v in value_cols]
-    )
+    return _product(cube, weights.select("src_cell", "dst_cell", "w"), value_cols, time_cols, astype, is_small(weights))
+
+
+def apply_grid_weights(
+    cube: DataFrame,
+    weights: DataFrame,
+    source_lons: int,
+    target_axes: tuple[DataFrame, DataFrame],
+    value_cols: Sequence[str],
+    time_cols: Sequence[str] = ("date",),
+    astype: str | None = None,
+    first_cell: int = 0,
+    time_steps: DataFrame | None = None,
+) -> DataFrame:
+    """Given weights on a cube with ``lat_idx`` and ``lon_idx``: the output has the positions and labels of ``target_axes``.
+
+    Weights number the cells of either grid row by row from ``first_cell``, longitudes fastest; the source has
+    ``source_lons`` of them in a row. Every target cell has a row at every step (see ``regrid``); one that the
+    weights do not reach is missing, and a weight to a cell beyond the target grid raises.
+    """
+    lats, lons = row_counts(*target_axes)
+    end = lats * lons + first_cell
+    beyond = F.raise_error(F.lit("a weight leads to a cell beyond the target grid")).cast("bigint")
+    inside = (F.col("dst_cell") >= first_cell) & (F.col("dst_cell") < end)
+    given = weights.select(F.col("src_cell").cast("bigint"), F.when(inside, F.col("dst_cell").cast("bigint")).otherwise(beyond).alias("dst_cell"), "w")
+    flat = (F.col("lat_idx") * source_lons + F.col("lon_idx") + first_cell).cast("bigint").alias("src_cell")
+    steps = cube.select(*time_cols).distinct() if time_steps is None else time_steps.select(*time_cols)
+    every = F.explode(F.sequence(F.lit(first_cell).cast("bigint"), F.lit(end - 1).cast("bigint"))).alias("dst_cell")
+    frame = steps.repartition(*time_cols).select(*time_cols, every) if end > first_cell else None
+    sums = _product(cube.select(*time_cols, flat, *value_cols), given, value_cols, time_cols, astype, is_small(weights), frame)
+    at = F.col("dst_cell") - first_cell
+    placed = sums.withColumns({"lat_idx": F.floor(at / lons).cast("int"), "lon_idx": (at % lons).cast("int")})
+    for dim, axis, size in zip(("lat", "lon"), target_axes, (lats, lons)):
+        labels = axis.select(F.col("idx").cast("int").alias(f"{dim}_idx"), F.col("center").alias(dim))
+        placed = placed.join(broadcast_if(size <= BROADCAST_ROWS, labels), f"{dim}_idx")
+    return placed.select(*time_cols, "lat_idx", "lon_idx", "lat", "lon", *value_cols)
+
+
+def _product(cube, weights, value_cols, time_cols, astype, small: bool, frame: DataFrame | None = None) -> DataFrame:
+    """The weighted sums, and a row without values for each row of ``frame`` that has none."""
+    parts = F.count("*").over(Window.partitionBy("dst_cell")).alias("_parts")
+    weighted = broadcast_if(small, weights.select("src_cell", "dst_cell", F.col("w").alias("_w"), parts))
+    rows = cube.select(*time_cols, "src_cell", *[F.col(v).cast("double").alias(v) for v in value_cols]).join(weighted, "src_cell")
+    rows = rows.select(*time_cols, "dst_cell", "_w", "_parts", *value_cols)
+    if frame is not None:
+        rows = rows.unionByName(frame, allowMissingColumns=True)
+    sums = rows.groupBy(*time_cols, "dst_cell").agg(*[_weighted_sum(v, F.col("_w"), F.col("_parts")) for v in value_cols])
     return sums.select(*time_cols, "dst_cell", *[F.col(v).cast(astype or cube.schema[v].dataType).alias(v) for v in value_cols])
 
 

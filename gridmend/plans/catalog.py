@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmend.functions import nodes, timeaxis
-from gridmend.operators import calendars, checks, clamps, pools, qdm, qplad, regrid, slicing, units
+from gridmend.functions import axes, nodes, timeaxis
+from gridmend.operators import calendars, checks, clamps, pools, qdm, qplad, quantiles, regrid, slicing, units
 from gridmend.plans import cubes
 from gridmend.plans import oracles as sql
 from gridmend.session import scratch_path
@@ -50,9 +50,9 @@ def _(spark, sf):
 
 @query(
     "write_region",
-    f"""WITH {sql.GRID}
-SELECT date, lat_idx, lon_idx, CASE WHEN lat_idx < 2 THEN v END AS v, 'lat' || CAST(lat_idx // 2 AS VARCHAR) AS region_id
-FROM grid""",
+    f"""WITH {sql.GRID}, {sql.FULL_GRID}
+SELECT date, lat_idx, lon_idx, v, 'lat0' AS region_id FROM grid WHERE lat_idx < 2
+UNION ALL SELECT date, lat_idx, lon_idx, NULL, 'lat' || CAST(lat_idx // 2 AS VARCHAR) FROM full_grid WHERE lat_idx >= 2""",
 )
 def _(spark, sf):
     grid, path = cubes.monthly_grid(spark, sf).drop("src_cell"), scratch_path(spark, "write_region")
@@ -63,10 +63,10 @@ def _(spark, sf):
 
 @query(
     "prime_qdm_output",
-    f"""WITH {sql.GRID}
+    f"""WITH {sql.GRID}, {sql.FULL_GRID}
 SELECT date, lat_idx, lon_idx, lat, lon, CAST(NULL AS DOUBLE) AS v, CAST(0 AS DOUBLE) AS sim_q,
        'lat' || CAST(lat_idx // 2 AS VARCHAR) AS region_id, CAST(month(date) AS INTEGER) AS month
-FROM grid WHERE year(date) BETWEEN 1996 AND 1999""",
+FROM full_grid WHERE year(date) BETWEEN 1996 AND 1999""",
 )
 def _(spark, sf):
     grid = cubes.monthly_grid(spark, sf).drop("src_cell").withColumn("month", F.month("date"))
@@ -81,9 +81,9 @@ def _(spark, sf):
 
 @query(
     "prime_qplad_output",
-    f"""WITH {sql.GRID}
+    f"""WITH {sql.GRID}, {sql.FULL_GRID}
 SELECT date, lat_idx, lon_idx, lat, lon, CAST(NULL AS DOUBLE) AS v, 'lat' || CAST(lat_idx // 2 AS VARCHAR) AS region_id
-FROM grid""",
+FROM full_grid""",
 )
 def _(spark, sf):
     grid, path = cubes.monthly_grid(spark, sf), scratch_path(spark, "prime_qplad_output")
@@ -91,6 +91,20 @@ def _(spark, sf):
     return store.read_cube(spark, path)
 
 
+@query(
+    "stored_axes",
+    f"""WITH {sql.GRID}
+SELECT 'lat' AS dim, lat_idx AS idx, CAST(lat AS VARCHAR) AS label FROM grid GROUP BY ALL
+UNION ALL SELECT 'lon', lon_idx, CAST(lon AS VARCHAR) FROM grid GROUP BY ALL
+UNION ALL SELECT 'date', CAST(row_number() OVER (ORDER BY date) - 1 AS INTEGER), CAST(date AS VARCHAR) FROM (SELECT DISTINCT date FROM grid) AS t
+UNION ALL SELECT 'calendar', 0, NULL""",
+)
+def _(spark, sf):
+    grid, path = cubes.monthly_grid(spark, sf).drop("src_cell"), scratch_path(spark, "stored_axes")
+    store.write_cube(grid, path)
+    return spark.read.schema(store.AXES_SCHEMA).parquet(f"{path}/_axes")
+
+
 TYPE_COUNTS = """counts AS (
   SELECT row_number() OVER (ORDER BY event_type) - 1 AS pos, event_type AS key, CAST(count(*) AS VARCHAR) AS value,
          CAST(CAST(min(ts) AS DATE) AS VARCHAR) AS first_day
@@ -117,13 +131,24 @@ def _(spark, sf):
     return attrs.attrs_json(cubes.event_attrs(spark, sf))
 
 
+EVENT_FACTS = """facts AS (
+  SELECT event_type AS variable, row_number() OVER (ORDER BY event_type) - 1 AS place, CAST(count(*) AS VARCHAR) AS n,
+         CAST(CAST(min(ts) AS DATE) AS VARCHAR) AS first_day, CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS last_day
+  FROM events GROUP BY event_type),
+entries AS (
+  SELECT variable, place, 0 AS pos, 'n' AS key, n AS value FROM facts
+  UNION ALL SELECT variable, place, 1, 'first_day', first_day FROM facts
+  UNION ALL SELECT variable, place, 2, 'last "day"', last_day FROM facts)"""
+
+
 @query(
     "merge_attrs",
-    f"""WITH {TYPE_COUNTS},
+    f"""WITH {EVENT_FACTS},
 sets AS (
-  SELECT 0 AS rank, pos, key, value FROM counts
-  UNION ALL SELECT 1, pos, key, first_day FROM counts WHERE key > 'd'
-  UNION ALL SELECT 2, r_regionkey, r_name, CAST(r_regionkey AS VARCHAR) FROM region)
+  SELECT 0 AS rank, place AS pos, variable AS key, n AS value FROM facts
+  UNION ALL SELECT 1, place, variable || ' since', first_day FROM facts
+  UNION ALL SELECT 2, place, variable, last_day FROM facts
+  UNION ALL SELECT 3, r_regionkey, r_name, CAST(r_regionkey AS VARCHAR) FROM region)
 SELECT CAST(row_number() OVER (ORDER BY min(rank * 1000 + pos)) - 1 AS INTEGER) AS pos, key,
        arg_max(value, rank) AS value
 FROM sets GROUP BY key""",
@@ -133,36 +158,22 @@ def _(spark, sf):
     facts = cubes.event_attrs(spark, sf)
     place = F.row_number().over(attrs.Window.partitionBy("key").orderBy("variable")) - 1
 
-    def of(fact: str) -> DataFrame:
-        return facts.filter(F.col("key") == fact).select(no_variable, place.alias("pos"), F.col("variable").alias("key"), "value")
+    def of(fact: str, suffix: str = "") -> DataFrame:
+        named = F.concat("variable", F.lit(suffix)).alias("key")
+        return facts.withColumn("pos", place).filter(F.col("key") == fact).select(no_variable, "pos", named, "value")
 
     regions = cubes.table(spark, sf, "region").select(
         no_variable, F.col("r_regionkey").alias("pos"), F.col("r_name").alias("key"), F.col("r_regionkey").cast("string").alias("value")
     )
-    changed = of("first_day").filter(F.col("key") > "d")
-    return attrs.merge_attrs(of("n"), changed, regions).select("pos", "key", "value")
+    return attrs.merge_attrs(of("n"), of("first_day", " since"), of('last "day"'), regions).select("pos", "key", "value")
 
 
-@query(
-    "carry_attrs",
-    """SELECT event_type AS variable, 0 AS pos, 'n' AS key, CAST(count(*) AS VARCHAR) AS value
-FROM events WHERE event_type IN ('click', 'view') GROUP BY event_type""",
-)
+@query("carry_attrs", f"WITH {EVENT_FACTS} SELECT variable, pos, key, value FROM entries")
 def _(spark, sf):
-    facts = cubes.event_attrs(spark, sf).filter(F.col("key") == "n")
-    as_quantile = facts.filter(F.col("variable") == "error").withColumn("variable", F.lit("sim_q"))
-    return attrs.carry_attrs(facts.unionByName(as_quantile), ["click", "view", "sim_q"])
-
-
-# The queries above show a merge and a carry on part of the attributes; these take all three of every event type.
-EVENT_FACTS = """facts AS (
-  SELECT event_type AS variable, row_number() OVER (ORDER BY event_type) - 1 AS place, CAST(count(*) AS VARCHAR) AS n,
-         CAST(CAST(min(ts) AS DATE) AS VARCHAR) AS first_day, CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS last_day
-  FROM events GROUP BY event_type),
-entries AS (
-  SELECT variable, place, 0 AS pos, 'n' AS key, n AS value FROM facts
-  UNION ALL SELECT variable, place, 1, 'first_day', first_day FROM facts
-  UNION ALL SELECT variable, place, 2, 'last "day"', last_day FROM facts)"""
+    facts = cubes.event_attrs(spark, sf)
+    variables = [r["variable"] for r in facts.select("variable").distinct().collect()]  # one per event type
+    as_quantile = facts.withColumn("variable", F.lit("sim_q"))
+    return attrs.carry_attrs(facts.unionByName(as_quantile), [*variables, "sim_q"])
 
 
 @query(
@@ -241,6 +252,32 @@ def _(spark, sf):
     return slicing.isel_slice(cubes.dtr(spark, sf), {"lat": (10, -20)}).select("event_id", "lat_idx", "dtr")
 
 
+@query(
+    "sel_slice_stored_axes",
+    f"""WITH {sql.DTR} SELECT event_id, CAST(lat_idx * 50 % 181 - 90 AS DOUBLE) AS lat, dtr FROM dtr
+WHERE lat_idx BETWEEN 20 AND 100""",
+)
+def _(spark, sf):
+    path = scratch_path(spark, "sel_slice_stored_axes")
+    store.write_cube(cubes.dtr_shuffled_axis(spark, sf), path)
+    cube = store.read_cube(spark, path)
+    axes = store.read_axes(spark, path, cube.schema)
+    return slicing.sel_slice(cube, {"lat": (5.0, 23.0)}, slicing.stored_axes(axes)).select("event_id", "lat", "dtr")
+
+
+@query(
+    "isel_slice_time",
+    f"""WITH {sql.DTR} SELECT event_id, date, dtr
+FROM (SELECT *, dense_rank() OVER (ORDER BY date) AS up, dense_rank() OVER (ORDER BY date DESC) AS down FROM dtr) AS d WHERE up > 3 AND down > 2""",
+)
+def _(spark, sf):
+    path = scratch_path(spark, "isel_slice_time")
+    store.write_cube(cubes.dtr(spark, sf), path)
+    cube = store.read_cube(spark, path)
+    axes = store.read_axes(spark, path, cube.schema)
+    return slicing.isel_slice(cube, {"time": (3, -2)}, slicing.stored_axes(axes)).select("event_id", "date", "dtr")
+
+
 TEMPERATURE = "SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS date, l_quantity * 8 AS tasmax FROM lineitem"
 
 
@@ -268,6 +305,12 @@ def _(spark, sf):
     return slicing.squeeze_cruft(raw)
 
 
+@query("squeeze_cruft_roles", f"WITH {sql.DTR} SELECT event_id, date, lat_idx, lat, dtr, dtr / 2 AS height FROM dtr")
+def _(spark, sf):
+    raw = cubes.dtr(spark, sf).withColumns({"member_id": F.lit("r1i1p1f1"), "height": F.col("dtr") / 2, "time_bnds": F.array("date", "date")})
+    return slicing.squeeze_cruft(raw, roles={"height": slicing.VARIABLE})
+
+
 @query("cast_values", f"WITH {sql.DTR} SELECT event_id, lat, CAST(dtr AS FLOAT) AS dtr FROM dtr")
 def _(spark, sf):
     return clamps.cast_values(cubes.dtr(spark, sf), ["dtr"], "float").select("event_id", "lat", "dtr")
@@ -422,6 +465,17 @@ def _(spark, sf):
     return calendars.interpolate_gaps(dense, ["v"], calendar=timeaxis.NOLEAP).withColumn("v", rounded("v"))
 
 
+@query(
+    "interpolate_gaps_series",
+    f"""WITH dense AS (
+  SELECT 'all' AS cell, date, date - DATE '1970-01-01' AS t, CASE WHEN dayofyear(date) % 10 >= 3 THEN v END AS v
+  FROM (SELECT CAST(l_shipdate AS DATE) AS date, avg(l_quantity) AS v FROM lineitem GROUP BY ALL) AS d),
+{sql.FILLED} SELECT date, round(v, 6) AS v FROM filled""",
+)
+def _(spark, sf):
+    return calendars.interpolate_gaps(cubes.holed_series(spark, sf), ["v"], []).withColumn("v", rounded("v"))
+
+
 @query("inserted_mask", f"WITH {sql.points_360('noleap')} SELECT cell, date, v IS NULL AS v FROM dense")
 def _(spark, sf):
     return calendars.inserted_mask(calendars.convert_360_day(cubes.points_360(spark, sf), ["v"], interpolation=None), ["v"])
@@ -452,14 +506,17 @@ YEARS = range(1995, 2002)
 HALF_YEARS = 1
 
 
+WHOLE_POOLS = sql.pools(by_status=False)
+
+
 @query(
     "doy_window_pool",
-    f"""WITH {sql.pools()}
+    f"""WITH {WHOLE_POOLS}
 SELECT cell, CAST(doy AS INTEGER) AS doy, CAST(count(v) AS INTEGER) AS n, round(sum(v), 6) AS total, round(min(v), 6) AS lowest, round(max(v), 6) AS highest
-FROM members WHERE side = 'O' GROUP BY cell, doy""",
+FROM members GROUP BY cell, doy""",
 )
 def _(spark, sf):
-    series, ends = cubes.daily_series(spark, sf, "O"), cubes.ship_days(spark, sf)
+    series, ends = cubes.daily_series(spark, sf, None), cubes.ship_days(spark, sf)
     total = F.aggregate("pool", F.lit(0.0), lambda a, x: a + x)
     return pools.doy_window_pool(series, "v", time_range=ends).select(
         "cell", "doy", "n", rounded(total, "total"),
@@ -481,9 +538,9 @@ FROM (SELECT l_returnflag, quantile_cont(l_extendedprice, [{', '.join(repr(p) fo
       FROM lineitem GROUP BY l_returnflag) AS t, (SELECT unnest(generate_series(0, 19)) AS i) AS o""",
 )
 def _(spark, sf):
-    quantiles = F.percentile("l_extendedprice", nodes.quantile_nodes(20))
-    items = cubes.table(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("cell")).agg(quantiles.alias("q"))
-    return items.select("cell", F.posexplode("q").alias("node", "q")).withColumn("q", rounded("q"))
+    items = cubes.table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("cell"), "l_extendedprice")
+    found = quantiles.exact_quantiles(items, "l_extendedprice", nodes.node_positions(20), ["cell"])
+    return found.withColumn("q", rounded("q"))
 
 
 def _model(
@@ -537,23 +594,30 @@ def _(spark, sf):
     )
 
 
+ALL_SHIP_YEARS = range(1992, 2002)
+
+
 def _ranked(spark: SparkSession, sf: str, **options) -> DataFrame:
-    return qdm.sim_quantile(
-        cubes.daily_series(spark, sf, "O"), "v", YEARS, half_years=HALF_YEARS, time_range=cubes.ship_days(spark, sf), **options
-    )
+    series, ends = cubes.daily_series(spark, sf, None), cubes.ship_days(spark, sf)
+    return qdm.sim_quantile(series, "v", ALL_SHIP_YEARS, half_years=HALF_YEARS, time_range=ends, **options)
+
+
+def _ranked_sql(same_doy: bool = False) -> str:
+    """Ranks of the days of both line statuses."""
+    return sql.ranked(ALL_SHIP_YEARS[0], ALL_SHIP_YEARS[-1], HALF_YEARS, same_doy).replace("'O'", "'*'")
 
 
 RANKED_COLUMNS = "cell, date, rank2 AS sim_rank2, n AS sim_n, round(rank2 / (2.0 * n), 6) AS sim_q"
 
 
-@query("sim_quantile", f"WITH {sql.pools()}, {sql.ranked(1995, 2001, HALF_YEARS)} SELECT {RANKED_COLUMNS} FROM ranked")
+@query("sim_quantile", f"WITH {WHOLE_POOLS}, {_ranked_sql()} SELECT {RANKED_COLUMNS} FROM ranked")
 def _(spark, sf):
     return _ranked(spark, sf).select("cell", "date", "sim_rank2", "sim_n", rounded("sim_q"))
 
 
 @query(
     "sim_quantile_same_doy",
-    f"WITH {sql.pools()}, {sql.ranked(1995, 2001, HALF_YEARS, True)} SELECT {RANKED_COLUMNS} FROM ranked",
+    f"WITH {WHOLE_POOLS}, {_ranked_sql(True)} SELECT {RANKED_COLUMNS} FROM ranked",
 )
 def _(spark, sf):
     return _ranked(spark, sf, rank_scope=qdm.SAME_DOY).select("cell", "date", "sim_rank2", "sim_n", rounded("sim_q"))
@@ -561,24 +625,32 @@ def _(spark, sf):
 
 @query(
     "nearest_node",
-    f"""WITH {sql.pools()}, {sql.ranked(1995, 2001, HALF_YEARS)}
+    f"""WITH {WHOLE_POOLS}, {_ranked_sql()}
 SELECT cell, date, CAST((100 * rank2 - 1) // (2 * n) AS INTEGER) AS node FROM ranked""",
 )
 def _(spark, sf):
     return qdm.nearest_factor(_ranked(spark, sf), 100).select("cell", "date", "node")
 
 
-# The four queries above read line status O only; these read all of the line items, with a cell per flag and status.
-BOTH_POOLS = sql.pools(sql.FINE_CELL, False)
+@query(
+    "nearest_node_uneven",
+    f"""SELECT l_orderkey, l_linenumber, CAST(list_position(d, list_min(d)) - 1 AS INTEGER) AS node
+FROM (SELECT l_orderkey, l_linenumber, list_transform([{', '.join(repr(((i + 0.5) / 40) ** 2) for i in range(40))}], lambda x: abs(x - (l_quantity - 0.5) / 50)) AS d
+      FROM lineitem) AS t""",
+)
+def _(spark, sf):
+    positions = F.array(*[F.lit(((i + 0.5) / 40) ** 2) for i in range(40)])
+    node = nodes.nearest_node_uneven((F.col("l_quantity") - 0.5) / 50, positions)
+    return cubes.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", node.alias("node"))
 
 
-def _both_ranked_sql(same_doy: bool = False) -> str:
-    return sql.ranked(1992, 2001, HALF_YEARS, same_doy).replace("'O'", "'*'")
+# The same with a cell per flag and status.
+BOTH_POOLS = sql.pools(sql.FINE_CELL, False)
 
 
 def _both_ranked(spark: SparkSession, sf: str, **options) -> DataFrame:
     series, ends = cubes.fine_series(spark, sf).drop("coarse_cell"), cubes.ship_days(spark, sf)
-    return qdm.sim_quantile(series, "v", range(1992, 2002), half_years=HALF_YEARS, time_range=ends, **options)
+    return qdm.sim_quantile(series, "v", ALL_SHIP_YEARS, half_years=HALF_YEARS, time_range=ends, **options)
 
 
 @query(
@@ -596,19 +668,19 @@ def _(spark, sf):
     )
 
 
-@query("sim_quantile_both", f"WITH {BOTH_POOLS}, {_both_ranked_sql()} SELECT {RANKED_COLUMNS} FROM ranked")
+@query("sim_quantile_both", f"WITH {BOTH_POOLS}, {_ranked_sql()} SELECT {RANKED_COLUMNS} FROM ranked")
 def _(spark, sf):
     return _both_ranked(spark, sf).select("cell", "date", "sim_rank2", "sim_n", rounded("sim_q"))
 
 
-@query("sim_quantile_same_doy_both", f"WITH {BOTH_POOLS}, {_both_ranked_sql(True)} SELECT {RANKED_COLUMNS} FROM ranked")
+@query("sim_quantile_same_doy_both", f"WITH {BOTH_POOLS}, {_ranked_sql(True)} SELECT {RANKED_COLUMNS} FROM ranked")
 def _(spark, sf):
     return _both_ranked(spark, sf, rank_scope=qdm.SAME_DOY).select("cell", "date", "sim_rank2", "sim_n", rounded("sim_q"))
 
 
 @query(
     "nearest_node_both",
-    f"""WITH {BOTH_POOLS}, {_both_ranked_sql()}
+    f"""WITH {BOTH_POOLS}, {_ranked_sql()}
 SELECT cell, date, CAST((100 * rank2 - 1) // (2 * n) AS INTEGER) AS node FROM ranked""",
 )
 def _(spark, sf):
@@ -628,8 +700,8 @@ def _(spark, sf):
     )
 
 
-def _adjusted_sql(cell: str, first: int, last: int, n: int) -> str:
-    return f"""WITH {sql.pools(cell)}, {sql.model(n, '+')}, {sql.ranked(first, last, HALF_YEARS)}
+def _adjusted_sql(cell: str, first: int, last: int, n: int, pools_sql: str | None = None) -> str:
+    return f"""WITH {pools_sql or sql.pools(cell)}, {sql.model(n, '+')}, {sql.ranked(first, last, HALF_YEARS)}
 SELECT r.cell, r.date, round(r.v + m.af[({n} * rank2 - 1) // (2 * n) + 1], 6) AS v, round(rank2 / (2.0 * n), 6) AS sim_q
 FROM ranked AS r JOIN model AS m ON r.cell = m.cell AND r.doy = m.doy"""
 
@@ -654,6 +726,39 @@ def _(spark, sf):
     return adjusted_series(spark, sf, "l_suppkey", 20)
 
 
+def _standard_model(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, str]:
+    """Model and simulation on the calendar that their days show."""
+    reference, historical = (cubes.daily_series(spark, sf, status, leap_days=True) for status in ("F", "O"))
+    calendar = axes.common_calendar(*[axes.resolved_calendar(cube, None, None) for cube in (reference, historical)])
+    ends = cubes.ship_days(spark, sf)
+    model = qdm.train_qdm(reference, historical, "v", "+", calendar=calendar, reference_range=ends, historical_range=ends)
+    return model, historical, calendar
+
+
+@query(
+    "train_qdm_standard",
+    f"""WITH {sql.STANDARD_POOLS}, {sql.model(100, '+')}
+SELECT cell, CAST(doy AS INTEGER) AS doy, CAST(n_hist AS INTEGER) AS n_hist, CAST(n_ref AS INTEGER) AS n_ref, CAST(i AS INTEGER) AS node,
+       round(hist_q[i + 1], 7) AS hist_q, round(af[i + 1], 7) AS af
+FROM model, (SELECT unnest(generate_series(0, 99)) AS i) AS o""",
+)
+def _(spark, sf):
+    long = _standard_model(spark, sf)[0].select(
+        "cell", "doy", "n_hist", "n_ref", F.posexplode(F.arrays_zip("hist_q", "af")).alias("node", "q")
+    )
+    hist_q, af = (F.round(f"q.{name}", 7).alias(name) for name in ("hist_q", "af"))
+    return long.select("cell", "doy", "n_hist", "n_ref", "node", hist_q, af)
+
+
+@query("apply_qdm_standard", _adjusted_sql("l_returnflag", 1995, 2001, 100, sql.STANDARD_POOLS))
+def _(spark, sf):
+    model, simulation, calendar = _standard_model(spark, sf)
+    out = qdm.apply_qdm(
+        simulation, model, "v", YEARS, "+", half_years=HALF_YEARS, calendar=calendar, time_range=cubes.ship_days(spark, sf)
+    )
+    return out.select("cell", "date", rounded("v"), rounded("sim_q"))
+
+
 @query("apply_qdm_year", _adjusted_sql("l_returnflag", 1998, 1998, 100))
 def _(spark, sf):
     out = qdm.apply_qdm_year(
@@ -811,6 +916,28 @@ def _(spark, sf):
     return regrid.apply_weights(cubes.monthly_grid(spark, sf), shares, ["v"]).withColumn("v", rounded("v"))
 
 
+@query(
+    "apply_weights_grid",
+    f"""WITH {sql.GRID},
+sums AS (
+  SELECT g.date, n_regionkey AS dst_cell, CASE WHEN count(*) = max(parts) THEN round(sum(v * 0.2), 6) END AS v
+  FROM grid AS g JOIN (SELECT *, count(*) OVER (PARTITION BY n_regionkey) AS parts FROM nation) AS n
+    ON g.lat_idx * 5 + g.lon_idx = n_nationkey
+  GROUP BY g.date, n_regionkey)
+SELECT t.date, CAST(c // 3 AS INTEGER) AS lat_idx, CAST(c % 3 AS INTEGER) AS lon_idx, CAST(c // 3 * 90 - 45 AS DOUBLE) AS lat,
+       CAST(c % 3 * 120 + 60 AS DOUBLE) AS lon, s.v
+FROM (SELECT DISTINCT date FROM grid) AS t CROSS JOIN (SELECT unnest(generate_series(0, 5)) AS c) AS d
+LEFT JOIN sums AS s ON s.date = t.date AND s.dst_cell = d.c""",
+)
+def _(spark, sf):
+    shares = cubes.table(spark, sf, "nation").select(
+        F.col("n_nationkey").alias("src_cell"), F.col("n_regionkey").alias("dst_cell"), F.lit(0.2).alias("w")
+    )
+    target = regrid.global_axis(spark, -90, 90, 90), regrid.global_axis(spark, 0, 360, 120)
+    out = regrid.apply_grid_weights(cubes.monthly_grid(spark, sf).drop("src_cell"), shares, 5, target, ["v"])
+    return out.withColumn("v", rounded("v"))
+
+
 @query(
     "regrid_cast_attrs",
     f"WITH {sql.GRID}, {sql.BILINEAR_WEIGHTS}, whole AS ({sql.REGRIDDED}) SELECT * REPLACE (CAST(v AS FLOAT) AS v) FROM whole",
@@ -898,12 +1025,7 @@ def _(spark, sf):
     return checks.violations(cubes.extreme_precipitation(spark, sf), "pr", ["max_precip"])
 
 
-@query("validate", _rule_sql(DTR_YEARS, MISSING, *DTR_RULES))
-def _(spark, sf):
-    return checks.validation_report(cubes.dtr_with_missing(spark, sf), "dtr", "downscaled")
-
-
-# The query above validates one variable; these the other two, each with every tenth value missing.
+# Every tenth value of the two variables from line items is missing.
 ITEM_YEARS_MISSING = """y AS (
   SELECT year(l_shipdate) AS year, count(*) FILTER (WHERE l_orderkey % 10 = 0) AS n_missing,
          min(l_quantity * 8) FILTER (WHERE l_orderkey % 10 <> 0) AS low, max(l_quantity * 8) FILTER (WHERE l_orderkey % 10 <> 0) AS high,
@@ -917,24 +1039,45 @@ def _some_missing(cube: DataFrame, value: Column, name: str) -> DataFrame:
     return cube.withColumn(name, F.when(F.col("l_orderkey") % 10 != 0, value))
 
 
-@query(
-    "validate_pr",
-    _rule_sql(
-        ITEM_YEARS_MISSING, MISSING, ("negative", "n_negative > 0", "n_negative", "no value < -0.001"),
-        ("max_precip", "n_over > 0", "wettest", "no value > 3000"),
-    ),
+PR_RULES = (
+    MISSING, ("negative", "n_negative > 0", "n_negative", "no value < -0.001"),
+    ("max_precip", "n_over > 0", "wettest", "no value > 3000"),
 )
-def _(spark, sf):
-    cube = _some_missing(cubes.extreme_precipitation(spark, sf), F.col("pr") - 2000, "pr")
-    return checks.validation_report(cube, "pr", "downscaled")
+TEMPERATURE_RULES = (
+    MISSING, ("temp_range_min", "NOT low > 130", "low", "min > 130"), ("temp_range_max", "NOT high < 377", "high", "max < 377"),
+)
+
+
+def _report(spark: SparkSession, sf: str, variable: str) -> DataFrame:
+    """The validation report of one variable."""
+    if variable == "dtr":
+        cube = cubes.dtr_with_missing(spark, sf)
+    elif variable == "pr":
+        cube = _some_missing(cubes.extreme_precipitation(spark, sf), F.col("pr") - 2000, "pr")
+    else:
+        cube = _some_missing(cubes.temperature(spark, sf), F.col("tasmax"), "tasmax")
+    return checks.validation_report(cube, variable, "downscaled")
 
 
 @query(
-    "validate_tasmax",
-    _rule_sql(
-        ITEM_YEARS_MISSING, MISSING, ("temp_range_min", "NOT low > 130", "low", "min > 130"),
-        ("temp_range_max", "NOT high < 377", "high", "max < 377"),
+    "validate",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS variable, * FROM ({_rule_sql(years, *rules)}) AS {name}_report"
+        for name, years, rules in (
+            ("dtr", DTR_YEARS, (MISSING, *DTR_RULES)), ("pr", ITEM_YEARS_MISSING, PR_RULES), ("tasmax", ITEM_YEARS_MISSING, TEMPERATURE_RULES),
+        )
     ),
 )
 def _(spark, sf):
-    return checks.validation_report(_some_missing(cubes.temperature(spark, sf), F.col("tasmax"), "tasmax"), "tasmax", "downscaled")
+    parts = [_report(spark, sf, name).withColumn("variable", F.lit(name)) for name in ("dtr", "pr", "tasmax")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("validate_pr", _rule_sql(ITEM_YEARS_MISSING, *PR_RULES))
+def _(spark, sf):
+    return _report(spark, sf, "pr")
+
+
+@query("validate_tasmax", _rule_sql(ITEM_YEARS_MISSING, *TEMPERATURE_RULES))
+def _(spark, sf):
+    return _report(spark, sf, "tasmax")

@@ -56,14 +56,21 @@ def temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_series(
-    spark: SparkSession, sf_dir: str, status: str | None, cell: str = "l_returnflag", value: str = "l_quantity"
+    spark: SparkSession, sf_dir: str, status: str | None, cell: str = "l_returnflag", value: str = "l_quantity", leap_days: bool = False
 ) -> DataFrame:
-    """Daily mean of ``value`` per cell of one line status (or of both), on the noleap calendar."""
+    """Daily mean of ``value`` per cell of one line status (or of both), on the noleap calendar or, with ``leap_days``, the standard one."""
     items = table(spark, sf_dir, "lineitem")
     if status is not None:
         items = items.filter(F.col("l_linestatus") == status)
     days = items.groupBy(F.col(cell).alias("cell"), F.to_date("l_shipdate").alias("date"))
-    return remove_leap_days(days.agg(F.avg(value).alias("v")))
+    series = days.agg(F.avg(value).alias("v"))
+    return series if leap_days else remove_leap_days(series)
+
+
+def holed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily mean quantity of all line items, a single series, missing on the first days of every ten."""
+    days = table(spark, sf_dir, "lineitem").groupBy(F.to_date("l_shipdate").alias("date")).agg(F.avg("l_quantity").alias("v"))
+    return days.withColumn("v", F.when(F.dayofyear("date") % 10 >= 3, F.col("v")))
 
 
 def ship_days(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ ENDS = f"""ends AS (
 def series(cell: str = "l_returnflag", by_status: bool = True, value: str = "l_quantity") -> str:
     """``line``: the daily series with their step and calendar fields."""
     status = "l_linestatus" if by_status else "'*'"
-    return f"""line AS (
+    return f"""line AS MATERIALIZED (
   SELECT *, {step('date')} AS s, {step('date')} // 365 AS yr, {step('date')} % 365 + 1 AS doy
   FROM (SELECT {cell} AS cell, {status} AS side, CAST(l_shipdate AS DATE) AS date, avg({value}) AS v
         FROM lineitem
@@ -51,12 +51,24 @@ def series(cell: str = "l_returnflag", by_status: bool = True, value: str = "l_q
         GROUP BY ALL) AS d)"""
 
 
-POOLS = """members AS (
+POOLS = """members AS MATERIALIZED (
   SELECT cell, side, (s + k) // 365 AS yr, (s + k) % 365 + 1 AS doy, s, v
   FROM line, (SELECT unnest(generate_series(-15, 15)) AS k) AS o, ends
   WHERE s + k BETWEEN lo AND hi)"""
 
 
+STANDARD_POOLS = """ends AS (
+  SELECT min(CAST(l_shipdate AS DATE)) - DATE '1970-01-01' AS lo, max(CAST(l_shipdate AS DATE)) - DATE '1970-01-01' AS hi FROM lineitem),
+line AS MATERIALIZED (
+  SELECT *, date - DATE '1970-01-01' AS s, year(date) AS yr, dayofyear(date) AS doy
+  FROM (SELECT l_returnflag AS cell, l_linestatus AS side, CAST(l_shipdate AS DATE) AS date, avg(l_quantity) AS v
+        FROM lineitem GROUP BY ALL) AS d),
+members AS MATERIALIZED (
+  SELECT cell, side, year(DATE '1970-01-01' + CAST(s + k AS INTEGER)) AS yr, dayofyear(DATE '1970-01-01' + CAST(s + k AS INTEGER)) AS doy, s, v
+  FROM line, (SELECT CAST(unnest(generate_series(-15, 15)) AS INTEGER) AS k) AS o, ends
+  WHERE s + k BETWEEN lo AND hi)"""
+
+
 def pools(cell: str = "l_returnflag", by_status: bool = True, value: str = "l_quantity") -> str:
     return f"{ENDS},\n{series(cell, by_status, value)},\n{POOLS}"
 
@@ -65,9 +77,9 @@ def model(n: int, kind: str) -> str:
     """``model``: quantiles and factors per (cell, doy) as lists, F against O."""
     nodes = ", ".join(repr((i + 0.5) / n) for i in range(n))
     factor = "p[1] - p[2]" if kind == "+" else "CASE WHEN p[2] <> 0 THEN p[1] / p[2] END"
-    return f"""sides AS (
+    return f"""sides AS MATERIALIZED (
   SELECT cell, doy, side, count(*) AS n, quantile_cont(v, [{nodes}]) AS q FROM members GROUP BY cell, doy, side),
-model AS (
+model AS MATERIALIZED (
   SELECT h.cell, h.doy, h.n AS n_hist, r.n AS n_ref, h.q AS hist_q,
          [{factor} FOR p IN list_zip(r.q, h.q)] AS af
   FROM sides AS h JOIN sides AS r ON h.cell = r.cell AND h.doy = r.doy AND h.side = 'O' AND r.side = 'F')"""
@@ -142,13 +154,21 @@ lon_w AS (
   WHERE least({east}, 72 + 72 * j) > greatest({west}, 72 * j))"""
 
 
-REGRIDDED = """SELECT g.date, CAST(lat_to AS INTEGER) AS lat_idx, CAST(lon_to AS INTEGER) AS lon_idx,
-       CAST(max(lat_w.lat) AS DOUBLE) AS lat, CAST(max(lon_w.lon) AS DOUBLE) AS lon,
-       CASE WHEN count(*) = max(ny * nx) THEN round(sum(v * wy * wx), 6) END AS v
-FROM grid AS g
-JOIN (SELECT *, count(*) OVER (PARTITION BY lat_to) AS ny FROM lat_w) AS lat_w ON g.lat_idx = lat_w.lat_idx
-JOIN (SELECT *, count(*) OVER (PARTITION BY lon_to) AS nx FROM lon_w) AS lon_w ON g.lon_idx = lon_w.lon_idx
-GROUP BY g.date, lat_to, lon_to"""
+# Every cell of the grid's axes on every day of its time axis.
+FULL_GRID = """full_grid AS (
+  SELECT date, lat_idx, lon_idx, lat, lon
+  FROM (SELECT DISTINCT date FROM grid) AS t, (SELECT DISTINCT lat_idx, lat FROM grid) AS y, (SELECT DISTINCT lon_idx, lon FROM grid) AS x)"""
+
+REGRIDDED = """SELECT t.date, CAST(y.lat_to AS INTEGER) AS lat_idx, CAST(x.lon_to AS INTEGER) AS lon_idx,
+       CAST(y.lat AS DOUBLE) AS lat, CAST(x.lon AS DOUBLE) AS lon, s.v
+FROM (SELECT DISTINCT date FROM grid) AS t CROSS JOIN (SELECT DISTINCT lat_to, lat FROM lat_w) AS y
+CROSS JOIN (SELECT DISTINCT lon_to, lon FROM lon_w) AS x
+LEFT JOIN (
+  SELECT g.date, lat_to, lon_to, CASE WHEN count(*) = max(ny * nx) THEN round(sum(v * wy * wx), 6) END AS v
+  FROM grid AS g
+  JOIN (SELECT *, count(*) OVER (PARTITION BY lat_to) AS ny FROM lat_w) AS lat_w ON g.lat_idx = lat_w.lat_idx
+  JOIN (SELECT *, count(*) OVER (PARTITION BY lon_to) AS nx FROM lon_w) AS lon_w ON g.lon_idx = lon_w.lon_idx
+  GROUP BY g.date, lat_to, lon_to) AS s ON s.date = t.date AND s.lat_to = y.lat_to AND s.lon_to = x.lon_to"""
 
 
 def points_360(target: str, seed: int = 0, align_on: str = "random") -> str:

@@ -133,3 +133,65 @@ def test_cleaning_a_model_run(spark, two_years):
     two_members = raw.withColumn("member_id", (F.col("day360") % 2).cast("string"))
     with pytest.raises(Exception, match="more than one value"):
         slicing.squeeze_cruft(two_members).collect()
+
+
+def filled_plainly(rows):
+    """Linear interpolation of (day, value) rows, one after the other."""
+    known = [(d, v) for d, v in rows if v is not None]
+    out = []
+    for d, v in rows:
+        before = [k for k in known if k[0] < d]
+        after = [k for k in known if k[0] > d]
+        if v is None and before and after:
+            (d0, v0), (d1, v1) = before[-1], after[0]
+            v = v0 + (v1 - v0) * ((d - d0).days / (d1 - d0).days)
+        out.append((d, v))
+    return out
+
+
+def test_one_long_series_is_filled_by_blocks(spark):
+    """Gaps within, over and as long as blocks, in a cube without cells and in cells with a NULL key."""
+    import random
+
+    rnd = random.Random(3)
+    days = [dt.date(1900, 1, 1) + dt.timedelta(days=i) for i in range(0, 40_000, 37)]
+    rows = [(d, rnd.uniform(-5, 5) if rnd.random() < 0.3 and not dt.date(1930, 1, 1) < d < dt.date(1960, 1, 1) else None) for d in days]
+    want = {d: v for d, v in filled_plainly(rows)}
+    series = spark.createDataFrame(rows, "date date, v double").repartition(5)
+    out = calendars.interpolate_gaps(series, ["v"], [])
+    found = {r["date"]: r["v"] for r in out.collect()}
+    assert found.keys() == want.keys()
+    assert all((found[d] is None) == (want[d] is None) and (want[d] is None or abs(found[d] - want[d]) < 1e-9) for d in want)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "hashpartitioning(_block" in plan and plan.count("SinglePartition") == 1  # the row per block, not the days
+    cells = spark.createDataFrame([(c, d, v) for c in (None, 1) for d, v in rows], "cell int, date date, v double")
+    found = {(r["cell"], r["date"]): r["v"] for r in calendars.interpolate_gaps(cells, ["v"]).collect()}
+    assert len(found) == 2 * len(rows) and all(found[None, d] == found[1, d] for d in days)
+
+
+def test_days_of_a_series_without_cells_are_added_over_blocks(spark):
+    rows = [(dt.date(1950, 6, 1), 1.0, None), (dt.date(1990, 6, 1), 2.0, 5.0), (dt.date(1990, 6, 3), None, 6.0)]
+    cube = spark.createDataFrame(rows, "date date, v double, w double")
+    dense = calendars.densify(cube, ["v", "w"], [], "noleap", ("1950-01-01", "1999-12-31"))
+    assert dense.count() == 50 * 365 and dense.filter("v IS NOT NULL").count() == 2 and dense.filter("w IS NOT NULL").count() == 2
+    assert dense.select("date").distinct().count() == 50 * 365
+    one_year = spark.range(720).select((F.lit(1951) + F.floor(F.col("id") / 360)).cast("int").alias("year"), (F.col("id") % 360).cast("int").alias("day360"), F.col("id").cast("double").alias("tas"))
+    clean = calendars.standardize_gcm(one_year, ["tas"], "360_day", [])
+    assert clean.columns == ["date", "tas"] and clean.count() == 730
+    whole = calendars.convert_360_day(one_year, ["tas"], [], interpolation=None)
+    stepwise = calendars.interpolate_gaps(whole, ["tas"], [], "noleap")
+    assert clean.exceptAll(stepwise).count() == 0 and stepwise.exceptAll(clean).count() == 0
+
+
+def test_leftovers_go_by_their_roles(spark):
+    for name in ("height", "member_id", "time_bnds"):
+        one = spark.createDataFrame([(1, 2.0), (2, 2.0)], f"id int, {name} double")
+        two = spark.createDataFrame([(1, 2.0), (2, 3.0)], f"id int, {name} double")
+        assert slicing.squeeze_cruft(one, roles={name: "dimension"}).columns == ["id"]
+        with pytest.raises(Exception, match="more than one value"):
+            slicing.squeeze_cruft(two, roles={name: "dimension"}).collect()
+        assert slicing.squeeze_cruft(two, roles={name: "coordinate"}).columns == ["id"]
+        kept = slicing.squeeze_cruft(two, roles={name: "variable"})
+        assert [r[name] for r in kept.orderBy("id").collect()] == [2.0, 3.0]
+    with pytest.raises(ValueError, match="role"):
+        slicing.squeeze_cruft(two, roles={"height": "axis"})

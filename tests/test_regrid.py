@@ -98,12 +98,84 @@ def test_given_weights(spark):
 def test_one_shuffle_of_the_cube(spark, tmp_path):
     cube, axes = globe(spark, 30, F.lit(1.0))
     cube.write.parquet(f"{tmp_path}/cube")
-    out = regrid.regrid(spark.read.parquet(f"{tmp_path}/cube"), axes, axes, ["v"])
+    steps = spark.range(1).select(F.lit("2000-01-01").cast("date").alias("date"))
+    out = regrid.regrid(spark.read.parquet(f"{tmp_path}/cube"), axes, axes, ["v"], time_steps=steps)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_COL") == 1
     assert plan.count("hashpartitioning(date") == 1
     assert "SortMergeJoin" not in plan
     coarse = regrid.global_axis(spark, -90, 90, 60), regrid.global_axis(spark, 0, 360, 60)
-    out = regrid.regrid(spark.read.parquet(f"{tmp_path}/cube"), axes, coarse, ["v"])
+    out = regrid.regrid(spark.read.parquet(f"{tmp_path}/cube"), axes, coarse, ["v"], time_steps=steps)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_COL") == 0 and plan.count("hashpartitioning(date") == 1
+
+
+@pytest.mark.parametrize("method", ["bilinear", "conservative"])
+@pytest.mark.parametrize("step", [10, 60])
+def test_every_target_has_a_row_at_every_step(spark, method, step):
+    """Absent source rows, a step with a single one and a step without any."""
+    cube, axes = globe(spark, 20, F.lit(7.0))
+    days = ["2000-01-01", "2000-01-02", "2000-01-03"]
+    first = cube.filter("lat_idx < 3")
+    second = cube.filter("lat_idx = 8 AND lon_idx = 0").withColumn("date", F.lit(days[1]).cast("date"))
+    steps = spark.createDataFrame([(d,) for d in days], "day string").select(F.to_date("day").alias("date"))
+    target = regrid.global_axis(spark, -90, 90, step), regrid.global_axis(spark, 0, 360, step)
+    sparse = first.unionByName(second)
+    size = (180 // step) * (360 // step)
+    out = regrid.regrid(sparse, axes, target, ["v"], method, periodic_lon=True, time_steps=steps)
+    assert {str(r["date"]): r["count"] for r in out.groupBy("date").count().collect()} == dict.fromkeys(days, size)
+    assert out.groupBy("date", "lat_idx", "lon_idx", "lat", "lon").count().filter("count > 1").count() == 0
+    known = out.filter("v IS NOT NULL")
+    assert known.filter("abs(v - 7) > 1e-9").count() == 0 and known.filter("date = '2000-01-03'").count() == 0
+    own_steps = regrid.regrid(sparse, axes, target, ["v"], method, periodic_lon=True)
+    assert own_steps.count() == 2 * size and own_steps.filter("v IS NOT NULL").count() == known.count()
+
+
+def test_weights_on_a_lat_lon_grid(spark):
+    """Flat cell numbers from 0 or 1, a target cell without weights, missing and absent sources, a weight off the grid."""
+    rows = [(d, i, j, float(10 * i + j)) for d in ("a", "b") for i in range(2) for j in range(3) if (d, i, j) != ("b", 1, 2)]
+    cube = spark.createDataFrame(rows, "date string, lat_idx int, lon_idx int, v double")
+    target = regrid.axis_table(spark, [5.0, -5.0], [10, 0, -10]), regrid.axis_table(spark, [100.0, 200.0], [50, 150, 250])
+    for base in (0, 1):
+        weights = [(0, 0, 0.5), (1, 0, 0.5), (5, 1, 1.0), (4, 3, 0.25), (3, 3, 0.75)]
+        table = spark.createDataFrame([(s + base, d + base, w) for s, d, w in weights], "src_cell long, dst_cell long, w double")
+        out = regrid.apply_grid_weights(cube, table, 3, target, ["v"], first_cell=base)
+        found = {(r["date"], r["lat_idx"], r["lon_idx"]): (r["lat"], r["lon"], r["v"]) for r in out.collect()}
+        assert len(found) == 8 and found["a", 0, 0] == (5.0, 100.0, 0.5) and found["a", 0, 1] == (5.0, 200.0, 12.0)
+        assert found["b", 0, 1][2] is None and found["a", 1, 0] == (-5.0, 100.0, None) and found["b", 1, 1] == (-5.0, 200.0, 10.25)
+    off = spark.createDataFrame([(0, 4, 1.0)], "src_cell long, dst_cell long, w double")
+    with pytest.raises(Exception, match="beyond the target grid"):
+        regrid.apply_grid_weights(cube, off, 3, target, ["v"]).collect()
+
+
+def test_fine_axes_are_matched_without_comparing_all_lines(spark):
+    n = 36_000
+    fine = regrid.global_axis(spark, 0, 360, 360 / n)
+    other = regrid.global_axis(spark, 0, 360, 360 / (n - 1))
+    for weights in (regrid.bilinear_axis_weights(fine, other, 360.0), regrid.conservative_axis_weights(fine, other, 360.0, small=True)):
+        assert "NestedLoop" not in weights._jdf.queryExecution().executedPlan().toString()
+        sums = weights.groupBy("dst").agg(F.sum("w").alias("w"), F.max("parts").alias("parts"), F.count("*").alias("n"))
+        ends = sums.agg(F.count("*"), F.min("w"), F.max("w"), F.max(F.abs(F.col("parts") - F.col("n")))).first()
+        assert ends[0] == n - 1 and abs(ends[1] - 1) < 1e-6 and abs(ends[2] - 1) < 1e-6 and ends[3] == 0
+
+
+def test_axis_weights_against_all_pairs(spark):
+    """Source cells with a gap between them, in no order, and targets that touch, span and miss them."""
+    lo = [40.0, 0.0, 10.0, 70.0, 15.0]
+    hi = [55.0, 10.0, 15.0, 80.0, 30.0]
+    source = spark.createDataFrame([(i, (a + b) / 2, a, b) for i, (a, b) in enumerate(zip(lo, hi))], "idx int, center double, lo double, hi double")
+    edges = [(-5.0, 0.0), (-5.0, 3.0), (0.0, 10.0), (10.0, 45.0), (30.0, 40.0), (31.0, 39.0), (5.0, 90.0), (80.0, 95.0), (55.0, 70.0)]
+    target = spark.createDataFrame([(i, (a + b) / 2, a, b) for i, (a, b) in enumerate(edges)], "idx int, center double, lo double, hi double")
+    found = {}
+    for r in regrid.conservative_axis_weights(source, target, small=True).collect():
+        if r["w"] is not None:
+            found[r["dst"], r["src"]] = (round(r["w"], 9), r["parts"])
+    want = {}
+    for d, (a, b) in enumerate(edges):
+        shares = {s: round((min(b, y) - max(a, x)) / (b - a), 9) for s, (x, y) in enumerate(zip(lo, hi)) if min(b, y) > max(a, x)}
+        want |= {(d, s): (w, len(shares)) for s, w in shares.items()}
+    assert found == want
+    centers = sorted((a + b) / 2 for a, b in zip(lo, hi))
+    for r in regrid.bilinear_axis_weights(source, target).groupBy("dst", "label").agg(F.sum("w").alias("w"), F.collect_list("src").alias("src")).collect():
+        inside = centers[0] <= r["label"] <= centers[-1]
+        assert (abs(r["w"] - 1) < 1e-12) if inside else r["w"] is None
