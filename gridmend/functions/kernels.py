@@ -75,7 +75,7 @@ def spread(steps: np.ndarray, values: np.ndarray, lo: int, hi: int, spec: PoolSp
     """
     if len(steps) and (steps.min() < lo or steps.max() > hi):
         raise ValueError(f"days outside the time axis: steps {steps.min()}..{steps.max()}, axis {lo}..{hi}")
-    if len(np.unique(steps)) < len(steps):
+    if len(steps) and np.bincount(steps - lo).max() > 1:
         raise ValueError(f"a cell has two values for one day of the {spec.calendar} calendar (leap days or duplicates)")
     series = np.full(hi - lo + 1 + 4 * spec.half + 1, np.nan)
     series[steps - lo + spec.half] = values

@@ -24,9 +24,8 @@ AXIS_BITS = 24
 
 
 def pool_spec(calendar: str, window: int) -> PoolSpec:
-    longest = 2 * (365 - LAST_BLOCK * DAYS_IN_BLOCK) + 1  # a row must not reach past a whole block
-    if window % 2 == 0 or not 0 < window <= longest:
-        raise ValueError(f"window must be odd and at most {longest}, got {window}")
+    if window % 2 == 0 or window < 1:
+        raise ValueError(f"window must be odd and positive, got {window}")
     return PoolSpec(calendar, window)
 
 
@@ -44,10 +43,9 @@ def spread_to_blocks(cube: DataFrame, spec: PoolSpec, time_range: tuple | DataFr
     packed = timeaxis.axis_value(
         axis, spec.calendar, lambda lo, hi: F.shiftleft(lo.cast("bigint"), AXIS_BITS) + (hi - lo)
     )
-    near = [
-        block_of_doy(timeaxis.doy_of_step(F.col("_step") + offset, spec.calendar))
-        for offset in (-spec.half, 0, spec.half)
-    ]
+    shortest = 365 - LAST_BLOCK * DAYS_IN_BLOCK  # steps of this size skip no block
+    reached = sorted({*range(-spec.half, spec.half, shortest), 0, spec.half})
+    near = [block_of_doy(timeaxis.doy_of_step(F.col("_step") + offset, spec.calendar)) for offset in reached]
     return (
         cube.withColumn("_step", timeaxis.step(F.col("date"), spec.calendar))
         .drop("date")
@@ -89,7 +87,8 @@ def doy_window_pool(
 ) -> DataFrame:
     """Pool of every (cell, day of year): ``doy``, ``n`` and the ascending values ``pool``.
 
-    Windows wrap over New Year through the series and are cut at its ends; missing values are left out.
+    Windows, of any odd number of days, wrap over New Year through the series and are cut at its ends; missing values are left out.
+    One longer than a year holds a day once for each window that reaches it.
     """
     spec, cell_cols = pool_spec(calendar, window), list(cell_cols)
     rows = spread_to_blocks(

@@ -89,7 +89,7 @@ def sel_year_window(cube: DataFrame, first: int, last: int | None = None, half_y
 
 
 def _window_ends(first: int, last: int, half_years: int, half_days: int) -> tuple[dt.date, dt.date]:
-    leap = dt.timedelta(days=half_days > 31)  # a pad that can hold a leap day the calendar lacks
+    leap = dt.timedelta(days=0 if half_days <= 31 else 1 + half_days // 365)  # leap days a pad can hold that the calendar lacks
     pad = dt.timedelta(days=half_days) + leap
     return dt.date(first - half_years, 1, 1) - pad, dt.date(last + half_years, 12, 31) + pad
 

@@ -70,7 +70,8 @@ def train_qplad(
     ``coarse`` holds the coarse value tiled onto the fine cells (``broadcast_coarse``). The days pooled
     for a day of the year are those around it in all full years; sorted by coarse value, then by time, the
     factor at each rank is fine minus (``+``) or over (``*``) coarse *of the same day*. Days without a
-    coarse value rank last, with no factor. A pool of a size other than ``quantiles_n`` is an error.
+    coarse value rank last, with no factor. A pool of a size other than ``quantiles_n`` is an error. Cells that
+    only one side knows, and blocks of days of the year in which one side has none, are left out.
     """
     spec, symbol, cell_cols = pools.pool_spec(calendar, window), kind_symbol(kind), list(cell_cols)
 
@@ -98,7 +99,7 @@ def train_qplad(
             sides.append(pool.transpose(2, 1, 0).reshape(pool.shape[2], -1))
         by_coarse = np.argsort(sides[0], axis=1, kind="stable")
         low, high = (np.take_along_axis(s, by_coarse, axis=1) for s in sides)
-        n_days = low.shape[0] if low.shape[1] else 0
+        n_days = low.shape[0] if low.shape[1] and 0 < np.count_nonzero(is_fine) < len(is_fine) else 0
         return pa.table(
             {
                 **pools.repeat_key(key, cell_cols, n_days),

@@ -126,6 +126,23 @@ def test_pools_ranks_and_quantiles_match_brute_force(spark, calendar):
     assert factors.filter(F.abs(F.col("af") - F.col("hist_q") - 1) > 1e-9).count() == 0
 
 
+@pytest.mark.parametrize("window", [1, 245, 301, 731])
+def test_windows_of_any_odd_length(spark, window):
+    cube = noleap_series(spark, 2000, 3 * 365 + 40, F.col("id") % 97, start_doy=300).withColumn("v", F.when(F.col("v") % 5 > 0, F.col("v")))
+    values = [(r["s"], r["v"]) for r in cube.select(timeaxis.step(F.col("date")).alias("s"), "v").orderBy("s").collect()]
+    lo, hi = values[0][0], values[-1][0]
+    expected = {}
+    for s, v in values:
+        for centre in range(max(lo, s - window // 2), min(hi, s + window // 2) + 1):
+            if v is not None:
+                expected.setdefault(centre % 365 + 1, []).append(v)
+    found = {r["doy"]: r["pool"] for r in pools.doy_window_pool(cube, "v", window=window).collect()}
+    assert found == {d: sorted(vs) for d, vs in expected.items()}
+    for wrong in (0, 4, -3):
+        with pytest.raises(ValueError, match="odd"):
+            pools.doy_window_pool(cube, "v", window=wrong)
+
+
 def test_same_doy_scope_ranks_among_equal_days(spark):
     cube = noleap_series(spark, 2000, 5 * 365, F.floor(F.col("id") / 365))
     out = qdm.sim_quantile(cube, "v", [2002], half_years=2, rank_scope=qdm.SAME_DOY)

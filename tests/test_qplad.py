@@ -93,3 +93,12 @@ def test_inputs_are_checked(spark):
         qplad.apply_qplad(fine, fine, "v", "+")
     with pytest.raises(Exception, match="not 600"):
         qplad.train_qplad(fine, fine, "v", "+", quantiles_n=600).select(F.max(F.size("af"))).collect()
+
+
+def test_cells_that_one_side_knows_get_no_model(spark):
+    fine = fine_pair(spark, lambda _: F.lit(1.0))
+    only_coarse = tiled(fine).unionByName(noleap_series(spark, 1994, DAYS, F.lit(1.0), cell="coarse", start_doy=351))
+    both = fine.unionByName(noleap_series(spark, 1994, DAYS, F.lit(2.0), cell="fine", start_doy=351))
+    model = qplad.train_qplad(only_coarse, both, "v", "+")
+    assert {(r["cell"], r["count"]) for r in model.groupBy("cell").count().collect()} == {("a", 365), ("b", 365)}
+    assert model.filter(F.exists("af", lambda f: f.isNull())).isEmpty()
