@@ -29,7 +29,8 @@ def configurations(sizes: list[int], needs: list[int], capacity: int) -> list[tu
 
     Column generation: the linear programme over the known configurations is solved by pivoting, its prices
     make a knapsack that finds a better configuration, until there is none. Sizes are rounded up to
-    1/``UNITS`` of the capacity there. The result is rounded down; what that leaves is packed by best fit.
+    1/``UNITS`` of the capacity there. The result is rounded down; what that leaves is packed by best fit. After
+    ``MOST_COLUMNS`` configurations it goes on with those it has: pieces are packed all the same, perhaps less tightly.
     """
     n, unit = len(sizes), max(1, -(-capacity // UNITS))
     heavy = np.array([-(-s // unit) for s in sizes])
@@ -113,6 +114,14 @@ class Plan:
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> Plan:
+    """The plan of linear grouping, or that of best fit in descending length alone where it takes fewer sequences."""
+    grouped, plain = linear_grouping(histogram, capacity, groups), Plan(capacity)
+    for length in sorted(histogram, reverse=True):
+        plain.best_fit(length, 0, histogram[length])
+    return plain if plain.sequences < grouped.sequences else grouped
+
+
+def linear_grouping(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> Plan:
     """Linear grouping: large lengths are rounded up within ``groups`` groups of equally many pieces, sequences are
     filled by configurations of the rounded sizes, the real lengths take their places, and what is left goes by
     best fit in descending length, the pieces of up to capacity / ``SMALL_PART`` tokens last."""
