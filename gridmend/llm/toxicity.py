@@ -17,8 +17,8 @@ from gridmend.llm import words
 from gridmend.llm.tables import saved
 from gridmend.shipping import ship
 
-#: The classifier is fitted on at most so many labelled documents of each label, none longer than this.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 2_000, 4_000, 100_000
+#: The classifier is fitted on at most so many labelled documents of each label.
+SAMPLE_TOXIC, SAMPLE_CLEAN = 2_000, 4_000
 BUCKETS, DIMENSIONS, GRAMS, LONG = 1 << 16, 8, (3, 4, 5), 40
 EPOCHS, STEPS, BATCH, RATE, DECAY, SEED = 10, 800, 32, 0.05, 1e-5, 7
 MARKS = " .,;:!?\"'()[]{}<>"
@@ -43,8 +43,9 @@ def subwords(names: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(word numbers, buckets) of the n-grams of ``<word>`` and of the whole, in vectorised portions."""
     lengths = np.fromiter(map(len, names), dtype=np.int64, count=len(names)) + 2
     short = np.flatnonzero(lengths <= LONG)
-    portions = [short[lengths[short] <= 12], short[lengths[short] > 12], *([i] for i in np.flatnonzero(lengths > LONG))]
-    for rows in portions:
+    for i in np.flatnonzero(lengths > LONG):
+        yield from _long_word(int(i), f"<{names[i]}>")
+    for rows in (short[lengths[short] <= 12], short[lengths[short] > 12]):
         if not len(rows):
             continue
         width = int(lengths[rows].max())
@@ -59,8 +60,24 @@ def subwords(names: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 for k in range(span.shape[1]):
                     value = (value ^ span[:, k]) * np.uint64(1099511628211)
                 inside = np.flatnonzero(long >= j + n) if n else np.arange(len(rows))
-                value = (value ^ (value >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-                yield np.asarray(rows)[inside], (value[inside] >> np.uint64(48)).astype(np.int64) % BUCKETS
+                yield np.asarray(rows)[inside], _buckets(value[inside])
+
+
+def _long_word(number: int, word: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """As ``subwords`` for one word of any length, all its n-grams of a size at once."""
+    chars = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    for n in GRAMS:
+        value = np.full(len(chars) - n + 1, 1469598103934665603 + n, np.uint64)
+        for k in range(n):
+            value = (value ^ chars[k : k + len(value)]) * np.uint64(1099511628211)
+        yield np.full(len(value), number), _buckets(value)
+    places = (np.arange(len(chars), dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    yield np.array([number]), _buckets(((chars * np.uint64(1099511628211)) ^ places).sum(keepdims=True) * np.uint64(0x94D049BB133111EB))
+
+
+def _buckets(value: np.ndarray) -> np.ndarray:
+    value = (value ^ (value >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (value >> np.uint64(48)).astype(np.int64) % BUCKETS
 
 
 @dataclass
@@ -73,6 +90,10 @@ class Model:
     def word_scores(self, names: list[str]) -> np.ndarray:
         total, count = np.zeros(len(names)), np.zeros(len(names))
         for rows, buckets in subwords(names):
+            if len(rows) > 1 and rows[0] == rows[-1]:  # the n-grams of one long word
+                total[rows[0]] += self.weights[buckets].sum()
+                count[rows[0]] += len(rows)
+                continue
             total[rows] += self.weights[buckets]  # every portion has a word once
             count[rows] += 1
         return total / np.maximum(count, 1)
@@ -85,7 +106,13 @@ class Model:
         mean = np.where(counts > 0, sums / n, 0.0)
         return np.stack([mean, mean * np.sqrt(n) / 10, np.log(n), np.ones(len(n))], axis=1), counts
 
+    @property
+    def usable(self) -> bool:
+        return bool(self.weights.any())
+
     def score(self, texts: pa.Array) -> np.ndarray:
+        if not self.usable:
+            return np.zeros(len(texts))
         terms, counts = self.terms_of(texts)
         return np.where(counts > 0, 1 / (1 + np.exp(-np.clip(terms @ self.terms, -40, 40))), 0.0)
 
@@ -98,7 +125,11 @@ def calibrated(texts: pa.Array, labels: np.ndarray, toxic_share: float) -> Model
     where ``toxic_share`` of the documents are toxic.
     """
     rest = np.arange(len(labels)) % 5 == 0
-    model = Model(train(texts.filter(pa.array(~rest)), labels[~rest]), np.zeros(4))
+    if len(set(labels[rest])) < 2 or len(set(labels[~rest])) < 2:  # too few of a label to part them
+        rest = np.ones(len(labels), bool)
+        model = Model(train(texts, labels), np.zeros(4))
+    else:
+        model = Model(train(texts.filter(pa.array(~rest)), labels[~rest]), np.zeros(4))
     terms, counts = model.terms_of(texts.filter(pa.array(rest)))
     terms, toxic = terms[counts > 0], labels[rest][counts > 0]
     share = np.where(toxic == 1, toxic_share, 1 - toxic_share) / np.maximum(np.bincount(toxic, minlength=2), 1)[toxic]
@@ -168,8 +199,8 @@ def in_fold(doc_id, fold: int = 5):
 def fit(documents: DataFrame, labels: DataFrame, fold: int = 5) -> Model:
     """A model from labelled documents outside the held-out fold. Actions.
 
-    The sample is bounded (``SAMPLE_TOXIC``, ``SAMPLE_CLEAN``, ``SAMPLE_BYTES``) and chosen by a hash of doc_id; one task trains on it
-    in numpy and returns the table of bucket weights. Where no label can be used, all scores are 0.5.
+    The sample is bounded (``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN`` documents) and chosen by a hash of doc_id; one task trains on it
+    in numpy and returns the table of bucket weights. Labels of one value only, or none, give a model that scores every document 0.
     """
     spark = documents.sparkSession
     ship(spark)
@@ -178,7 +209,7 @@ def fit(documents: DataFrame, labels: DataFrame, fold: int = 5) -> Model:
     many = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = [F.xxhash64("doc_id"), "doc_id"]
     chosen = usable.where("toxic = 1").orderBy(*order).limit(SAMPLE_TOXIC).unionAll(usable.where("toxic = 0").orderBy(*order).limit(SAMPLE_CLEAN))
-    texts = documents.select("doc_id", "text").where((F.octet_length("text") <= SAMPLE_BYTES) & F.col("doc_id").isNotNull())
+    texts = documents.select("doc_id", "text").where("text IS NOT NULL AND doc_id IS NOT NULL")
     sample = texts.join(F.broadcast(chosen.withColumnRenamed("doc_id", "_id")), F.col("doc_id") == F.col("_id"))
     # A repeated doc_id must not bring more documents than the bound.
     sample = sample.groupBy("_id", "toxic").agg(F.min("text").alias("text"))
@@ -198,7 +229,7 @@ def fit(documents: DataFrame, labels: DataFrame, fold: int = 5) -> Model:
 
 
 def score(documents: DataFrame, model: Model, column: str = "score") -> DataFrame:
-    """``documents`` and the chance that each is toxic, from its whole text; 0 for a NULL text and one without words.
+    """``documents`` and the chance that each is toxic, from its whole text; 0 for a NULL text, one without words and a model without labels.
 
     A column called ``column`` is replaced; all others are kept as they are.
     """
