@@ -39,8 +39,11 @@ def fitting(rules: Sequence[tuple[str, str]]) -> tuple[Column, Column]:
 
 def grams(url: Column, order: int) -> Column:
     """Every character of a url, and its end, after the ``order`` characters before it."""
-    padded = F.concat(F.lit(START * order), F.coalesce(url, F.lit("")), F.lit(END))
-    return F.transform(F.sequence(F.lit(1), F.length(padded) - order), lambda i: F.substring(padded, i, F.lit(order + 1)))
+    chars = F.split(F.concat(F.lit(START * order), F.coalesce(url, F.lit("")), F.lit(END)), "")
+    n = F.size(chars) - order
+    # All characters beside the next ones: cut once, where substrings at every place would each walk there.
+    beside = F.slice(F.arrays_zip(*[F.slice(chars, F.lit(k + 1), F.size(chars)) for k in range(order + 1)]), F.lit(1), n)
+    return F.transform(beside, lambda g: F.concat_ws("", *[g[str(k)] for k in range(order + 1)]))
 
 
 def log_ratios(counts: DataFrame, order: int) -> DataFrame:
