@@ -73,7 +73,10 @@ def candidates(hits: DataFrame, pieces: Sequence[str]) -> DataFrame:
     each = each.withColumns({"before": before, "after": F.substring("text", F.col("start") + F.length("candidate") + 1, F.lit(AFTER))})
     text, length = F.col("candidate"), F.length("candidate")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "[0-9]", "\u0001"), "[A-Z]", "\u0002"), "[a-z]", "\u0003")
-    triples = F.transform(F.sequence(F.lit(1), F.greatest(length - 2, F.lit(1))), lambda i: F.substring(F.lower(text), i, F.lit(3)))
+    # All characters beside the next two: cut once, where substrings at every place would each walk there.
+    chars = F.split(F.lower(text), "")
+    beside = F.arrays_zip(*[F.slice(chars, F.lit(k), F.size(chars)) for k in (1, 2, 3)])
+    triples = F.transform(F.slice(beside, F.lit(1), F.greatest(length - 2, F.lit(1))), lambda t: F.concat_ws("", t["0"], t["1"], t["2"]))
     known = F.filter(triples, lambda t: t.isin(list(pieces))) if pieces else F.array()
     flag = lambda c: c.cast("double")
     features = {
@@ -161,11 +164,12 @@ def scan(documents: DataFrame) -> DataFrame:
 
 
 def redact(documents: DataFrame) -> DataFrame:
-    """``documents``, all columns, with every secret in ``text`` replaced by a mark. Actions."""
+    """``documents``, all columns whatever their names, with every secret in ``text`` replaced by a mark. Actions."""
     columns = documents.columns
-    hits, found = findings(documents)
+    apart = documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("document"), "text")
+    hits, found = findings(apart)
     verdicts = found.groupBy("_row").agg(F.transform(F.array_sort(F.collect_list(F.struct("number", "secret"))), lambda v: v.secret).alias("_secret"))
     masked = F.zip_with("_found", "_secret", lambda f, s: F.when(s, F.lit(MASK)).otherwise(f))
     rebuilt = F.array_join(F.zip_with("_gaps", masked, lambda g, f: F.concat(g, F.coalesce(f, F.lit("")))), "")
-    changed = hits.join(verdicts, "_row").withColumn("text", rebuilt).select(*columns)
+    changed = hits.join(verdicts, "_row").select(F.col("document").withField("text", rebuilt).alias("document")).select("document.*")
     return documents.where(~F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))).unionByName(changed)
