@@ -47,16 +47,16 @@ SIBLINGS = {
 }
 #: Words of class, id and role that name what is not the article.
 BOILERPLATE = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense adslot adbox sponsor sponsored promo promotion promoted banner "
+    "ad ads adsbygoogle adv advert adverts advertisement advertising adsense adslot adbox sponsor sponsored promo promotion promoted banner "
     "nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager toc sitemap skip header masthead topbar footer "
     "colophon copyright legal sidebar side aside rail widget widgets related recommended recommendations recirc trending popular "
     "teaser notice notices alert cookie cookies consent gdpr privacy disclaimer popup modal overlay lightbox toast paywall "
     "newsletter subscribe subscription signup login share sharing social comment comments commentlist disqus respond replies "
-    "reply discussion feedback complementary contentinfo search form hidden".split()
+    "reply responses discussion feedback complementary contentinfo search form hidden".split()
 )
 #: Words that name the article itself; on one element they outweigh those of TITLE_WORDS, as in ``entry-header``.
 ARTICLE_WORDS = frozenset("article articlebody post postbody entry story".split())
-TITLE_WORDS = frozenset(["header", "masthead", "banner", "side", "popular", "trending", "legal"])
+TITLE_WORDS = frozenset(["header", "masthead"])
 #: Words that say what a page's layout has, not what the element is.
 LAYOUT_WORDS = frozenset("has with no without wrapper layout grid row container".split())
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
@@ -121,7 +121,8 @@ class _Lines(HTMLParser):
             return
         if tag in ("td", "th"):
             self.parts.append(" ")
-        drops = tag in DROPPED or (tag == "header" and not self.articles) or _hidden(attrs) or (self.by_name and _boilerplate(tag, attrs))
+        drops = (tag in DROPPED and (self.by_name or tag != "form")) or (tag == "header" and not self.articles) or _hidden(attrs)
+        drops = drops or (self.by_name and _boilerplate(tag, attrs, bool(self.articles)))
         container = 0
         if tag in CONTAINERS:
             container = len(self.kinds)
@@ -185,14 +186,17 @@ def _hidden(attrs: list[tuple[str, str | None]]) -> bool:
     return "hidden" in given or given.get("aria-hidden") == "true" or ("none" in style and bool(re.search(r"display\s*:\s*none", style)))
 
 
-def _boilerplate(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """Whether an element's names say that it is not the article, such as ``cookie-notice`` but not ``has-sidebar``."""
+def _boilerplate(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+    """Whether an element's names say that it is not the article, such as ``cookie-notice`` but not ``has-sidebar``.
+
+    A header in an article, or named as an article's, is its title.
+    """
     if not attrs or tag in ("html", "body", "main"):
         return False
     names = _names(attrs, ("class", "id", "role"))
     if not names & BOILERPLATE or names & LAYOUT_WORDS:
         return False
-    return not names & ARTICLE_WORDS or bool(names & BOILERPLATE - TITLE_WORDS)
+    return bool(names & BOILERPLATE - TITLE_WORDS) or not (in_article or names & ARTICLE_WORDS)
 
 
 def _is_article(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
@@ -259,7 +263,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     parser = _parsed(html)
-    if not parser.lines:  # a name such as "sidebar" on an element around the whole article
+    if not parser.lines:  # a form, or a name such as "sidebar", around the whole article
         parser = _parsed(html, by_name=False)
         parser.lines = [line for line in parser.lines if line.article]
     lines = [line for line, menu in zip(parser.lines, _menus(parser.lines)) if not menu]

@@ -26,6 +26,10 @@ PAGES = {
     "sidebar layout": f'<body><div class="page has-sidebar"><article class="post">{ARTICLE}</article></div></body>',
     "article in a named element": f'<body><div class="sidebar"><article>{ARTICLE}</article></div></body>',
     "entry header": f'<body><div class="main-header">{LONG}</div><article><div class="entry-header">{ARTICLE[: ARTICLE.index("<p>")]}</div>{ARTICLE[ARTICLE.index("<p>") :]}</article></body>',
+    "header in the article": f'<body><div class="header">{LONG}</div><article><div class="header">{ARTICLE[: ARTICLE.index("<p>")]}</div>{ARTICLE[ARTICLE.index("<p>") :]}<div class="banner">{LONG}</div></article></body>',
+    "form around the page": f'<body><form id="page"><nav>{MENU}</nav><article>{ARTICLE}</article><footer>{LONG}</footer></form></body>',
+    "thread of comments": f'<body><article>{ARTICLE}<ol class="commentlist"><li>{LONG}<li>{LONG}</ol></article><div id="disqus_thread"><p>{LONG}</p></div></body>',
+    "notices": f'<body><div role="alert"><p>{LONG}</p></div><p class="notice">{LONG}</p><article>{ARTICLE}<div class="newsletter-signup"><p>{LONG}</p></div></article></body>',
     "hidden": f'<body><article>{ARTICLE}<p style="display: none">{LONG}</p><p hidden>{LONG}</p></article></body>',
     "comment markup": f"<body><!-- {LONG} --><article>{ARTICLE}</article></body>",
     "upper case": f"<BODY><NAV>{MENU}</NAV><ARTICLE>{ARTICLE}</ARTICLE></BODY>",
