@@ -3,7 +3,6 @@
 import hashlib
 import zlib
 
-import pytest
 from pyspark.sql import functions as F
 
 from gridmend.llm import merkle
@@ -75,9 +74,10 @@ def test_odd_rows(spark):
     assert found(spark, rows) == brute_force(rows)
 
 
-@pytest.mark.parametrize("n", [1, 2, 16, 17, 256, 257, 4097])
-def test_trees_of_every_height(spark, n):
-    rows = [(i, f"Text {i}", "en", "s", i) for i in range(n)]
+def test_trees_of_every_height(spark):
+    """Sources of many sizes, so that levels end within, at and after the stored ones."""
+    sizes = [1, 2, 16, 17, 256, 257, 4097]
+    rows = [(i, f"Text {i}", "en", f"s{n}", i) for n in sizes for i in range(n)]
     assert found(spark, rows) == brute_force(rows)
 
 
