@@ -26,91 +26,112 @@ from gridmend.llm.tables import partitions
 from gridmend.shipping import ship
 
 SHARD_BYTES = 16 << 20
-TABLE_BITS, ROUND_RULES, MIN_COUNT, MIN_GAIN, MOST_ROUNDS = 20, 2048, 4, 0.02, 24
+MIN_COUNT = 4
 SCHEMA = (
     "part int, shard int, at long, doc_ids array<bigint>, n_tokens array<bigint>, symbol_ends array<bigint>, width int, symbols binary, "
     "terminals array<int>, left array<int>, right array<int>, lengths array<bigint>"
 )
-MIX = np.uint64(0x9E3779B97F4A7C15)
+MIXES = tuple(np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
 
 
 def replace_pairs(symbols: np.ndarray, ends: np.ndarray, weights: np.ndarray | None, first: int) -> tuple:
-    """One round: (symbols, ends, left, right, share of symbols saved) after replacing the most frequent pairs.
+    """(symbols, ends, lefts, rights by round) once no pair is left that occurs ``MIN_COUNT`` times without overlap.
 
-    ``ends`` are the ends of the sequences no pair may leave; a sequence counts ``weights`` times. Pairs are
-    found by a histogram of their hashes and then counted exactly. Where occurrences overlap, the more
-    frequent pair wins, and the first of equal ones in a row.
+    ``ends`` are the ends of the sequences no pair may leave; a sequence counts ``weights`` times. A round replaces
+    many pairs at once: where occurrences of different pairs overlap, those of the more frequent pair are taken, so the
+    most frequent one is replaced everywhere. A place is looked at again only if its pair is frequent or new:
+    other pairs can only become rarer. Pairs are counted in a hash table that they enter alone; those that meet
+    another pair in it wait for a round with another hash, at last for one that sorts.
     """
-    n, none = len(symbols), np.zeros(0, np.int64)
-    if n < 2:
-        return symbols, ends, none, none, 0.0
-    inside = np.ones(n, bool)
-    inside[ends[ends > 0] - 1] = False
-    each = None if weights is None else np.repeat(weights, np.diff(ends, prepend=0))
-    key = np.where(inside[:-1], symbols[:-1].astype(np.int64) * first + symbols[1:], -1)
-    slot = ((key.astype(np.uint64) * MIX) >> np.uint64(64 - TABLE_BITS)).astype(np.int32)
-    slot[key < 0] = 1 << TABLE_BITS
-    histogram = np.bincount(slot, weights=None if each is None else each[:-1], minlength=(1 << TABLE_BITS) + 1)[:-1]
-    limit = max(MIN_COUNT, np.partition(histogram, -ROUND_RULES)[-ROUND_RULES])
-    at = np.flatnonzero(np.append(histogram >= limit, False)[slot])
-    if not len(at):
-        return symbols, ends, none, none, 0.0
-    pairs, back = np.unique(key[at], return_inverse=True)
-    counts = np.bincount(back, weights=None if each is None else each[at])
-    rank = np.empty(len(pairs), np.int64)
-    rank[np.argsort(-counts, kind="stable")] = np.arange(len(pairs))
-    worst = len(pairs)
-    rank[counts < limit] = worst
-    order = np.full(n + 1, worst, np.int32)  # of the pair that begins at each place, shifted by one
-    order[at + 1] = rank[back]
-    here, before, after = order[1:], order[:-1], np.append(order[2:], worst)
-    starts = np.flatnonzero(np.append(True, here[1:] != here[:-1]))
-    odd = (np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))) % 2 == 1
-    take = (here < worst) & (before >= here) & (after >= here) & ~odd
-    used = np.bincount(here[take], weights=None if each is None else each[take], minlength=worst)
-    number = np.cumsum(used >= MIN_COUNT) - 1
-    take &= np.append(used >= MIN_COUNT, False)[here]
-    places = np.flatnonzero(take)
-    if not len(places):
-        return symbols, ends, none, none, 0.0
-    best = np.empty(worst, np.int64)
-    best[rank[rank < worst]] = pairs[rank < worst]
-    rules = best[used >= MIN_COUNT]
-    out = symbols.copy()
-    out[places] = first + number[here[places]]
-    gone = np.zeros(n, bool)
-    gone[places + 1] = True
-    left_over = np.cumsum(~gone)
-    new_ends = np.where(ends > 0, left_over[np.maximum(ends, 1) - 1], 0)
-    total = n if each is None else each.sum()
-    saved = (len(places) if each is None else each[places].sum()) / total
-    return out[~gone], new_ends, rules // first, rules % first, float(saved)
+    n = len(symbols)
+    symbols = symbols.astype(np.int64)
+    following, before = np.arange(1, n + 1), np.arange(-1, n - 1)  # n stands for none
+    starts = np.append(0, ends)[:-1][np.diff(ends, prepend=0) > 0]
+    following[ends[ends > 0] - 1] = n
+    before[starts] = n
+    each = None if weights is None else np.repeat(weights, np.diff(ends, prepend=0)).astype(np.float64)
+    rank, alive, marked = np.zeros(n + 1), np.ones(n, bool), np.zeros(n, bool)
+    active, lefts, rights, turn = np.flatnonzero(following < n), [], [], 0
+    while len(active):
+        key = symbols[active] * first + symbols[following[active]]
+        slot, size = _slots(key, turn)
+        often = np.bincount(slot, None if each is None else each[active], size)[slot] >= MIN_COUNT
+        active, key, slot = active[often], key[often], slot[often]
+        if not len(active):
+            break
+        owner = np.zeros(size, np.int64)
+        owner[slot] = key
+        alone = owner[slot] == key
+        repeats = np.append(False, (active[1:] == following[active[:-1]]) & (key[1:] == key[:-1]))
+        run = np.flatnonzero(~repeats)
+        odd = (np.arange(len(active)) - np.repeat(run, np.diff(np.append(run, len(active))))) % 2 == 1
+        counts = np.bincount(slot, (alone & ~odd) * (1.0 if each is None else each[active]), size)
+        good = alone & ~odd & (counts[slot] >= MIN_COUNT)
+        places, pair = active[good], slot[good]
+        priority = counts[pair] * size + pair
+        rank[places] = priority
+        take = (priority >= rank[before[places]]) & (priority >= rank[following[places]])
+        rank[places] = 0
+        used = np.bincount(pair[take], None if each is None else each[places[take]], size) >= MIN_COUNT
+        number = np.cumsum(used) - 1
+        take &= used[pair]
+        taken = places[take]
+        if not len(taken):
+            if turn < 0:
+                break  # counted exactly, and none is frequent
+            turn = -1 if turn + 1 == len(MIXES) else turn + 1
+            continue
+        rules = np.zeros(int(used.sum()), np.int64)
+        rules[number[pair[take]]] = key[good][take]
+        lefts.append(rules // first)
+        rights.append(rules % first)
+        gone = following[taken]
+        symbols[taken] = first + number[pair[take]]
+        alive[gone] = False
+        after = following[gone]
+        following[taken] = after
+        inside = after < n
+        before[after[inside]] = taken[inside]
+        first, turn = first + len(rules), 0
+        marked[active], marked[taken] = True, True
+        previous = before[taken]
+        marked[previous[previous < n]] = True
+        active = np.flatnonzero(marked & alive)
+        marked[active] = False
+        marked[gone] = False
+        active = active[following[active] < n]
+    kept = np.cumsum(alive)
+    new_ends = np.where(ends > 0, kept[np.maximum(ends, 1) - 1], 0) if n else ends
+    return symbols[alive], new_ends, lefts, rights
+
+
+def _slots(key: np.ndarray, turn: int) -> tuple[np.ndarray, int]:
+    """(slot of each pair, number of slots): by one of the hashes or, for a negative turn, a slot for each pair."""
+    if turn < 0:
+        pairs, slot = np.unique(key, return_inverse=True)
+        return slot, len(pairs)
+    bits = min(max(int(len(key)).bit_length() + 1, 8), 22)
+    return ((key.astype(np.uint64) * MIXES[turn]) >> np.uint64(64 - bits)).astype(np.int64), 1 << bits
 
 
 def compress(codes: np.ndarray, counts: np.ndarray, ids: np.ndarray, at: np.ndarray, end: int) -> dict:
     """A shard's grammar and symbols from its distinct pieces (see ``words.Encoder.encode``).
 
-    Rounds of Re-Pair first run on the distinct pieces, weighted by how often each occurs, which counts
-    all pairs inside pieces; then on the whole sequence, for pairs across pieces. A rule needs ``MIN_COUNT``
-    uses; each phase ends when a round saves less than ``MIN_GAIN`` of the symbols.
+    Re-Pair first runs on the distinct pieces, weighted by how often each occurs, which counts all pairs inside
+    pieces; then on the whole sequence, for pairs across pieces. Both go on until no pair has ``MIN_COUNT`` uses.
     """
-    terminals, symbols = np.unique(np.append(ids, np.uint32(end)), return_inverse=True)
-    stop, symbols = int(symbols[-1]), symbols[:-1].astype(np.int64)
-    lefts, rights, first, ends = [], [], len(terminals), at[1:]
-    weights = np.bincount(codes, minlength=len(ends)).astype(np.float64)
-    sequences = None
-    for phase in ("pieces", "documents"):
-        for _ in range(MOST_ROUNDS):
-            symbols, ends, left, right, gain = replace_pairs(symbols, ends, weights, first)
-            lefts.append(left)
-            rights.append(right)
-            first += len(left)
-            if gain < MIN_GAIN:
-                break
-        if phase == "pieces":
-            symbols, sequences = words.joined(codes, counts, symbols, np.append(0, ends), stop)
-            ends, weights = sequences[1:], None
-    left, right = np.concatenate(lefts), np.concatenate(rights)
+    present = np.zeros(max(int(ids.max(initial=0)), end) + 1, bool)
+    present[ids], present[end] = True, True
+    terminals, number = np.flatnonzero(present), np.cumsum(present) - 1
+    stop, symbols, ends = int(number[end]), number[ids], at[1:]
+    symbols, ends, lefts, rights = replace_pairs(symbols, ends, np.bincount(codes, minlength=len(ends)), len(terminals))
+    symbols, sequences = words.joined(codes, counts, symbols, np.append(0, ends), stop)
+    first = len(terminals) + sum(map(len, lefts))
+    symbols, ends, more_lefts, more_rights = replace_pairs(symbols, sequences[1:], None, first)
+    lefts, rights = [*lefts, *more_lefts], [*rights, *more_rights]
+    first = len(terminals) + sum(map(len, lefts))
+    none = [np.zeros(0, np.int64)]
+    left, right = np.concatenate(lefts or none), np.concatenate(rights or none)
     lengths = np.ones(first, np.int64)
     done = len(terminals)
     for part_left, part_right in zip(lefts, rights):  # a round's rules only use symbols of earlier rounds
@@ -127,32 +148,58 @@ def compress(codes: np.ndarray, counts: np.ndarray, ids: np.ndarray, at: np.ndar
 def decode(shard: Mapping, document: int | None = None, start: int = 0, stop: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(ids, ends of the documents in them) of a shard, or ids ``start`` to ``stop`` of one of its documents.
 
-    For a part of a document only the symbols that hold it are expanded.
+    For a part of a document only the rules on the way to its ids are opened, as ``lengths`` steers.
     """
     symbols = np.frombuffer(shard["symbols"], f"<u{shard['width']}").astype(np.int64)
     lengths, ends = np.asarray(shard["lengths"], np.int64), np.asarray(shard["symbol_ends"], np.int64)
-    skip = 0
-    if document is not None:
-        symbols = symbols[ends[document - 1] if document else 0 : ends[document]]
-        sums = words.offsets(lengths[symbols])
-        stop = int(sums[-1]) if stop is None else min(stop, int(sums[-1]))
-        low, high = np.searchsorted(sums, start, "right") - 1, np.searchsorted(sums, max(stop, start), "left")
-        symbols, skip = symbols[low:high], start - int(sums[low]) if low < len(sums) else 0
-    expanded = [np.array([t], np.uint32) for t in shard["terminals"]]
-    for a, b in zip(shard["left"], shard["right"]):
-        expanded.append(np.concatenate([expanded[a], expanded[b]]))
-    flat, at = np.concatenate(expanded), words.offsets(lengths)
-    ids = flat[words.ragged(at[symbols], lengths[symbols])]
-    if document is not None:
-        return ids[skip : skip + max(stop - start, 0)], np.array([max(stop - start, 0)])
-    return ids, words.offsets(lengths[symbols])[ends]
+    terminals = np.asarray(shard["terminals"], np.int64).astype(np.uint32)
+    left, right = np.asarray(shard["left"], np.int64), np.asarray(shard["right"], np.int64)
+    if document is None:
+        flat, at = expansions(terminals, left, right, lengths)
+        return flat[words.ragged(at[symbols], lengths[symbols])], words.offsets(lengths[symbols])[ends]
+    symbols = symbols[ends[document - 1] if document else 0 : ends[document]]
+    places = words.offsets(lengths[symbols])
+    stop = int(places[-1]) if stop is None else min(stop, int(places[-1]))
+    places = places[:-1]
+    while True:
+        wanted = (places < stop) & (places + lengths[symbols] > start)
+        symbols, places = symbols[wanted], places[wanted]
+        rule = symbols - len(terminals)
+        if not (rule >= 0).any():
+            return terminals[symbols], np.array([len(symbols)])
+        opened = np.flatnonzero(rule >= 0)
+        into = np.repeat(np.arange(len(symbols)), 1 + (rule >= 0))
+        second = np.append(False, into[1:] == into[:-1])
+        symbols, places, at = symbols[into], places[into], opened + np.arange(len(opened))
+        symbols[at], symbols[at + 1] = left[rule[opened]], right[rule[opened]]
+        places[second] += lengths[symbols[at]]
+
+
+def expansions(terminals: np.ndarray, left: np.ndarray, right: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all symbols one after the other, where each begins), built from the shallow rules to the deep ones."""
+    at, t = words.offsets(lengths), len(terminals)
+    flat = np.empty(int(at[-1]), np.uint32)
+    flat[:t] = terminals
+    depth = np.zeros(len(lengths), np.int32)
+    rules = np.arange(t, len(lengths))
+    while True:
+        deeper = np.maximum(depth[left], depth[right]) + 1
+        if np.array_equal(deeper, depth[t:]):
+            break
+        depth[t:] = deeper
+    order = rules[np.argsort(depth[t:], kind="stable")]
+    for some in np.split(order, np.flatnonzero(np.diff(depth[order])) + 1):
+        for half, shift in ((left[some - t], 0), (right[some - t], lengths[left[some - t]])):
+            flat[words.ragged(at[some] + shift, lengths[half])] = flat[words.ragged(at[half], lengths[half])]
+    return flat, at
 
 
 def write_ids(documents: DataFrame, path: str, tokenizer: str, end: int = 2, shard_bytes: int = SHARD_BYTES) -> None:
     """Tokenize (doc_id, text) and write the format above. ``tokenizer`` is a path of the tokenizers library's JSON.
 
     One range shuffle brings documents into ascending order; a frequent doc_id is spread by its texts. A shard
-    takes texts of about ``shard_bytes``, one document at least. NULL texts are empty and
+    takes texts of about ``shard_bytes``, one document at least, and no more rows than an Arrow batch holds (10,000 by
+    default), so short texts make smaller shards. NULL texts are empty and
     have the end id only; rows repeat as they come; other columns are ignored; an empty table makes no shard.
     """
     spark = documents.sparkSession

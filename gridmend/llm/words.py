@@ -10,7 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES, CACHE_WORDS = 6 << 20, 200_000
+#: Words that an encoder keeps for its next texts: those asked for in bulk, and those within other pieces.
+SLICE_BYTES, CACHE_WORDS, CACHE_PARTS = 6 << 20, 500_000, 100_000
 #: Two characters in a row that some reading of Unicode takes as white space (RE2 syntax).
 GAP = r"[\s\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]{2}"
 SAFE_SPACE = re.compile(r"(?<=[^\s᠎​-‏﻿]) (?=[^\s᠎​-‏﻿])")
@@ -92,24 +93,42 @@ class Encoder:
         self.model, self.spaces = self.tokenizer.model, spaces
         self.model._resize_cache(0)  # every run of letters is asked for once
         self.words: dict[str, list[int]] = {}
+        self.numbers: dict[str, int] = {}  # of the words whose ids are kept one after the other
+        self.kept, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         self.bytes = {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}  # the byte-level alphabet
 
-    def _word(self, word: str) -> list[int]:
+    def _asked(self, word: str) -> list[int]:
         """Ids of a run of letters, or a mark, that is one token of the pre-tokenizer."""
+        if not self.spaces:
+            return [t.id for t in self.model.tokenize(word.lower())] if word.isascii() else self.tokenizer.encode(word, add_special_tokens=False).ids
+        if word.isascii() and word != "\n":  # only the space has another character in the byte-level alphabet
+            return [t.id for t in self.model.tokenize(word.replace(" ", "Ġ"))]
+        return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.bytes))]
+
+    def _word(self, word: str) -> list[int]:
         ids = self.words.get(word)
         if ids is None:
-            if self.spaces:
-                ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.bytes))]
-            elif word.isascii():
-                ids = [t.id for t in self.model.tokenize(word.lower())]
-            else:
-                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            if len(self.words) < CACHE_WORDS:
+            ids = self._asked(word)
+            if len(self.words) < CACHE_PARTS:
                 self.words[word] = ids
         return ids
 
+    def _many(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of distinct words one after the other, their numbers), the known ones by a gather."""
+        known = self.numbers.get
+        numbers = np.fromiter((known(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(numbers < 0)
+        ids, lengths = flattened([self._asked(words[i]) for i in new])
+        first, room = len(self.numbers), max(CACHE_WORDS - len(self.numbers), 0)
+        kept, all_lengths = np.concatenate([self.kept, ids]), np.concatenate([self.lengths, lengths])
+        numbers[new] = first + np.arange(len(new))
+        self.numbers.update((words[i], first + k) for k, i in enumerate(new[:room]))
+        self.lengths = all_lengths[: first + room]
+        self.kept = kept[: int(self.lengths.sum())].copy()
+        return kept[ragged(offsets(all_lengths)[:-1][numbers], all_lengths[numbers])], all_lengths[numbers]
+
     def _piece(self, piece: str) -> list[int]:
         body = piece[1:] if piece.startswith(" ") else piece
         plain = PLAIN.fullmatch(body)
@@ -135,7 +154,7 @@ class Encoder:
         stops = pc.ends_with(simple, ".").to_numpy(zero_copy_only=False)
         distinct = pc.dictionary_encode(stems)
         lead = " " if self.spaces else ""
-        stem_ids, stem_lengths = flattened([self._word(lead + w) for w in distinct.dictionary.to_pylist()])
+        stem_ids, stem_lengths = self._many([lead + w for w in distinct.dictionary.to_pylist()])
         which = distinct.indices.to_numpy(zero_copy_only=False)
         rest, rest_lengths = flattened([self._piece(" " + p) for p in names.filter(pa.array(~plain)).to_pylist()] + [self._piece(p) for p in others])
         # All names in their order, then the others.
