@@ -20,11 +20,11 @@ from pyspark.sql.window import Window
 
 from gridmend.functions.joins import broadcast_if, is_small
 from gridmend.llm import words
-from gridmend.llm.tables import components, saved
+from gridmend.llm.tables import Scratch, components
 from gridmend.shipping import ship
 
 GROWTH = 1.37
-CELL, PIVOTS, LEAF = 1000, 8, 64
+CELL, CELL_BYTES, PIVOTS, LEAF = 1000, 8 << 20, 8, 64
 ROUND_PIVOTS, MOST_PARTS, SMALL_ROWS = 1024, 8, 500_000
 #: Shingles in ``COMMON`` of a hash sample of so many texts are left out of the slices, which no result depends on.
 SAMPLE, COMMON = 4000, 4
@@ -279,20 +279,27 @@ def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     shingles and no links. Equal sets are one node, its number 63 bits of a hash of the set.
     Documents with a NULL doc_id link as others do, but give no component its number. Rows may repeat; other columns are ignored.
     """
-    spark = documents.sparkSession
+    spark, scratch = documents.sparkSession, Scratch(documents.sparkSession)
     ship(spark)
     texts = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     common = spark.sparkContext.broadcast(common_shingles(texts, n))
 
+    def node_of(grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        return (mixed(sums_by(row, mixed(grams), len(sizes)) ^ sizes.astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
+
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches, "text"):
             grams, sizes = shingle_sets(batch["text"], n)
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            node = (mixed(sums_by(row, mixed(grams), len(sizes)) ^ sizes.astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
-            none = pa.nulls(len(sizes), pa.int64())
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.zeros(len(sizes), np.int8)), batch["doc_id"].cast(pa.int64()), batch["text_hash"], pa.array(sizes, pa.int64()), pa.array(node), none,
-            ], names=NAMES)
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"].cast(pa.int64()), batch["text_hash"], pa.array(sizes, pa.int64()), pa.array(node_of(grams, sizes))],
+                names=["doc_id", "text_hash", "n_shingles", "node"],
+            )
+
+    def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in words.slices(batches, "text"):
+            grams, sizes = shingle_sets(batch["text"], n)
+            node = node_of(grams, sizes)
             _, once = np.unique(node, return_index=True)
             some = np.zeros(len(sizes), bool)
             some[once] = True
@@ -305,16 +312,16 @@ def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
             first[1:] = keys[1:] != keys[:-1]
             heads = nodes[first][np.cumsum(first) - 1] if len(keys) else nodes
             pairs = np.unique(np.stack([heads[~first], nodes[~first]]), axis=1) if len(keys) else np.zeros((2, 0), np.int64)
-            for kind, a, b in ((1, keys[first], nodes[first]), (2, pairs[0], pairs[1])):
-                nothing = pa.nulls(len(a), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), nothing, nothing, nothing, pa.array(b), pa.array(a)], names=NAMES)
+            for kind, a, b in ((KEY, keys[first], nodes[first]), (PAIR, pairs[0], pairs[1])):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(b), pa.array(a)], names=["kind", "node", "other"])
 
-    found = saved(texts.mapInArrow(digests, SCHEMA), "join-digests")
-    rows = found.where("kind = 0").select("doc_id", "text_hash", F.col("size").alias("n_shingles"), "node")
-    cells = components(meeting(found).unionAll(found.where("kind = 2").select(F.col("other").alias("a"), F.col("node").alias("b"))), "join-cells")
+    rows = scratch.saved(texts.mapInArrow(digests, "doc_id long, text_hash long, n_shingles long, node long"), "join-rows")
+    # Most keys occur once, so they are never written: each goes through one shuffle, and only meetings come out.
+    cells = components(meeting(texts.select("text").mapInArrow(keys_of, "kind tinyint, node long, other long")), "join-cells", scratch)
     # One text of every set that shares a cell with another.
     wanted = rows.where("n_shingles > 0").groupBy("node").agg(F.min("text_hash").alias("text_hash")).join(cells.withColumnRenamed("component", "cell"), "node")
-    wanted = saved(wanted.select("cell", "node", "text_hash"), "join-wanted")
+    wanted = scratch.saved(wanted.select("cell", "node", "text_hash"), "join-wanted")
+    scratch.drop("join-cells-labels")
     held = texts.select("text", "text_hash").join(broadcast_if(is_small(wanted, SMALL_ROWS), wanted), "text_hash")
     held = held.groupBy("cell", "node").agg(F.min("text").alias("text"))
 
@@ -324,9 +331,12 @@ def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
             data, at = grams.tobytes(), words.offsets(sizes) * 8
             yield pa.RecordBatch.from_arrays([batch["cell"], batch["node"], pa.array([data[a:b] for a, b in zip(at, at[1:])], pa.binary())], names=["cell", "node", "grams"])
 
-    members = saved(held.mapInArrow(sets, "cell long, node long, grams binary"), "join-sets")
-    counts = saved(members.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "join-counts")
-    small = members.join(counts.where(F.col("n") <= CELL), "cell")
+    members = scratch.saved(held.mapInArrow(sets, "cell long, node long, grams binary"), "join-sets")
+    scratch.drop("join-wanted")
+    sizes_of = members.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("grams")).alias("bytes"))
+    counts = scratch.saved(sizes_of.where("n > 1"), "join-counts")
+    fits = (F.col("n") <= CELL) & (F.col("bytes") <= CELL_BYTES)
+    small = members.join(counts.where(fits), "cell")
 
     def within(batch: pa.Table) -> pa.Table:
         node, grams = batch["node"].to_numpy(), [np.frombuffer(g, np.uint64) for g in batch["grams"].to_pylist()]
@@ -334,24 +344,26 @@ def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         return pa.table({"a": pa.array(node[label]), "b": pa.array(node)})
 
     links = small.select("cell", "node", "grams").groupBy("cell").applyInArrow(within, "a long, b long")
-    large = members.join(counts.where(F.col("n") > CELL).select("cell"), "cell")
-    links = saved(links.where("a != b").unionAll(large_cells(large, percent)), "join-links")
-    found_components = components(links, "join-components")
+    large = members.join(counts.where(~fits).select("cell"), "cell")
+    links = scratch.saved(links.where("a != b").unionAll(large_cells(large, percent, scratch)), "join-links")
+    del small, large, members, held
+    scratch.drop("join-sets", "join-counts", *LARGE_TABLES)
+    found_components = components(links, "join-components", scratch)
     nodes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
     grouped = nodes.join(found_components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = saved(grouped.join(least, "component").select(F.col("node").alias("_node"), "component_id", "component"), "join-named")
+    named = scratch.saved(grouped.join(least, "component").select(F.col("node").alias("_node"), "component_id", "component"), "join-named")
+    scratch.drop("join-links", "join-components-labels")
     linked_rows = (F.col("node") == F.col("_node")) & (F.col("n_shingles") > 0)
     alone = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     return rows.join(named, linked_rows, "left").select("doc_id", "n_shingles", alone, "text_hash", "component")
 
 
-NAMES = ["kind", "doc_id", "text_hash", "size", "node", "other"]
-SCHEMA = "kind tinyint, doc_id long, text_hash long, size long, node long, other long"
+KEY, PAIR = 1, 2
 
 
 def meeting(found: DataFrame) -> DataFrame:
-    """(a, b) of nodes that have a slice in common: each key's nodes with its first, from rows sorted by key.
+    """(a, b) of nodes that have a slice in common: each key's nodes with its first, from rows sorted by key, and the pairs found before.
 
     A key has one row per batch at most that holds it, and a task keeps nothing but the key it is at.
     """
@@ -359,6 +371,9 @@ def meeting(found: DataFrame) -> DataFrame:
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key = head = None
         for batch in batches:
+            pairs = batch.filter(pa.array(batch["kind"].to_numpy() == PAIR))
+            yield pa.RecordBatch.from_arrays([pairs["other"], pairs["node"]], names=["a", "b"])
+            batch = batch.filter(pa.array(batch["kind"].to_numpy() == KEY))
             key, node = batch["other"].to_numpy(), batch["node"].to_numpy()
             if not len(key):
                 continue
@@ -369,11 +384,14 @@ def meeting(found: DataFrame) -> DataFrame:
             other = np.unique(np.stack([first, node])[:, first != node], axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(other[0]), pa.array(other[1])], names=["a", "b"])
 
-    keys = found.where("kind = 1").select("other", "node").repartition("other").sortWithinPartitions("other", "node")
-    return keys.mapInArrow(heads, "a long, b long")
+    return found.repartition("other").sortWithinPartitions("kind", "other", "node").mapInArrow(heads, "a long, b long")
+
+
+#: What ``large_cells`` leaves in its scratch tables.
+LARGE_TABLES = tuple(f"join-{t}" for t in ("large", "picked", "pivots", "base", "asked", "large-links", "large-named", "large-components-labels"))
 
 
-def large_cells(members: DataFrame, percent: int) -> DataFrame:
+def large_cells(members: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) that connect the linked sets of cells too large for one task. Actions, some per round.
 
     In a round every large cell has up to ``ROUND_PIVOTS`` pivots, twice as many in the next up to ``MOST_PARTS`` times as
@@ -385,38 +403,42 @@ def large_cells(members: DataFrame, percent: int) -> DataFrame:
     """
     spark = members.sparkSession
     links = spark.createDataFrame([], "a long, b long")
-    members = saved(members, "join-large")
+    members = scratch.saved(members, "join-large")
     if members.isEmpty():
         return links
-    sizes = members.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("blocks"))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / CELL), F.ceil(F.sum(F.octet_length("grams")) / CELL_BYTES))
+    sizes = members.groupBy("cell").agg(blocks.cast("int").alias("blocks"))
     base = members.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     base = base.withColumns({"hash": F.xxhash64("node"), "to_first": F.lit(None).cast("array<double>")})
     open_nodes, asked, parts = base.select("cell", "node"), None, 1
     while True:
         ranked = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("node"), "node"))
         most = PIVOTS if asked is None else ROUND_PIVOTS * parts
-        part = F.floor((F.col("rank") - 1) / ROUND_PIVOTS).cast("int").alias("part")
-        picked = saved(open_nodes.withColumn("rank", ranked).where(F.col("rank") <= most).select("cell", "node", part), "join-picked")
+        picked = scratch.saved(open_nodes.withColumn("rank", ranked).where(F.col("rank") <= most).select("cell", "node", "rank"), "join-picked")
         if picked.isEmpty():
             return links
-        pivots = saved(base.drop("block").join(picked, ["cell", "node"]), "join-pivots")
+        # Parts of so many pivots, and of about so many bytes of them.
+        upto = F.sum(F.octet_length("grams")).over(Window.partitionBy("cell").orderBy("rank"))
+        part = F.greatest(F.floor((F.col("rank") - 1) / ROUND_PIVOTS), F.floor(upto / CELL_BYTES)).cast("int")
+        pivots = base.drop("block").join(picked, ["cell", "node"]).withColumn("part", part).drop("rank")
+        pivots = scratch.saved(pivots, "join-pivots")
         pivots = pivots.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         if asked is None:  # the first pivots, to which every distance is kept
             both = base.groupBy("cell", "block").cogroup(pivots.drop("part").groupBy("cell", "block"))
-            base = saved(both.applyInArrow(measured(percent), base.schema), "join-base")
+            base = scratch.saved(both.applyInArrow(measured(percent), base.schema), "join-base")
             near = base.select("cell", "node", F.posexplode("to_first").alias("at", "far")).where(F.col("far") <= 1 - percent / 100 + 1e-9)
-            numbered = picked.withColumn("at", ranked - 1).withColumnRenamed("node", "a")
+            numbered = picked.select("cell", F.col("node").alias("a"), (F.col("rank") - 1).alias("at"))
             found = near.join(numbered, ["cell", "at"]).select("a", F.col("node").alias("b"))
-            asked = picked.select("node")
+            asked = scratch.saved(picked.select("node"), "join-asked")
         else:
-            last = picked.groupBy("cell").agg(F.max("part").alias("last"))
+            last = pivots.groupBy("cell").agg(F.max("part").alias("last"))
             blocks = base.join(last, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("last")))).drop("last")
             both = blocks.groupBy("cell", "block", "part").cogroup(pivots.groupBy("cell", "block", "part"))
             found, parts = both.applyInArrow(compared(percent), "a long, b long"), min(2 * parts, MOST_PARTS)
-            asked = saved(asked.unionAll(picked.select("node")), "join-asked")
-        links = saved(links.unionAll(found.where("a != b")), "join-large-links")
-        named = base.select("cell", "node").join(components(links, "join-large-components"), "node", "left")
-        named = saved(named.select("cell", "node", F.coalesce("component", "node").alias("component")), "join-large-named")
+            asked = scratch.saved(asked.unionAll(picked.select("node")), "join-asked")
+        links = scratch.saved(links.unionAll(found.where("a != b")), "join-large-links")
+        named = base.select("cell", "node").join(components(links, "join-large-components", scratch), "node", "left")
+        named = scratch.saved(named.select("cell", "node", F.coalesce("component", "node").alias("component")), "join-large-named")
         counted = named.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("n"))
         largest = counted.groupBy("cell").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
         outside = named.join(largest, "cell").where("component != largest").select("cell", "node")

@@ -36,6 +36,27 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+class Scratch:
+    """Intermediate tables by name. Saving under a name again removes the table that had it, once the new one is written."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def saved(self, df: DataFrame, name: str) -> DataFrame:
+        table, path = saved_at(df, name)
+        old, self.paths[name] = self.paths.get(name), path
+        if old:
+            remove(self.spark, old)
+        return table
+
+    def drop(self, *names: str) -> None:
+        """Remove tables that nothing reads any more, and let Spark's cleaner find the shuffles behind them."""
+        for name in names:
+            if path := self.paths.pop(name, None):
+                remove(self.spark, path)
+        self.spark._jvm.System.gc()  # the cleaner drops the shuffle files of plans that were collected
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -63,26 +84,30 @@ def hex_bits(column: Column, digits: int = 15) -> Column:
     return F.conv(F.substring(F.md5(column), 1, digits), 16, 10).cast("long")
 
 
-def components(edges: DataFrame, name: str) -> DataFrame:
+def components(edges: DataFrame, name: str, scratch: Scratch | None = None) -> DataFrame:
     """(node, component) of every node of ``edges`` (a long, b long), component being its smallest node. Actions.
 
     Each round takes the smallest label among a node and its neighbours and then that label's own label,
-    so paths halve at least; a round's labels are written and read back, which keeps plans short.
+    so paths halve at least; a round's labels are written and read back, which keeps plans short, and those before
+    them removed. The result stays in ``scratch`` as ``name``-labels.
     """
-    both = saved(
+    scratch = Scratch(edges.sparkSession) if scratch is None else scratch
+    both = scratch.saved(
         edges.where("a != b").select(F.col("a").alias("node"), F.col("b").alias("other"))
         .unionAll(edges.where("a != b").select(F.col("b"), F.col("a")))
         .distinct(), f"{name}-edges",
     )
-    labels = saved(both.groupBy("node").agg(F.least("node", F.min("other")).alias("component")), f"{name}-labels")
+    labels = scratch.saved(both.groupBy("node").agg(F.least("node", F.min("other")).alias("component")), f"{name}-labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("component").alias("near"))
         hop = labels.join(near, "node").select("node", F.least("component", "near").alias("next"), F.col("component").alias("old"))
         over = labels.select(F.col("node").alias("next"), F.col("component").alias("beyond"))
-        moved = saved(
+        moved = scratch.saved(
             hop.join(over, "next", "left").select("node", F.least("next", F.coalesce("beyond", "next")).alias("component"), "old"),
             f"{name}-labels",
         )
         labels = moved.select("node", "component")
         if moved.where("component != old").isEmpty():
+            del both, near, hop, over
+            scratch.drop(f"{name}-edges")
             return labels

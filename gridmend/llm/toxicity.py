@@ -42,7 +42,7 @@ def bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
 def subwords(names: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(word numbers, buckets) of the n-grams of ``<word>`` and of the whole, in vectorised portions."""
     lengths = np.fromiter(map(len, names), dtype=np.int64, count=len(names)) + 2
-    short = np.flatnonzero(lengths <= LONG)
+    short = np.flatnonzero(lengths <= LONG).astype(np.int32)
     for i in np.flatnonzero(lengths > LONG):
         yield from _long_word(int(i), f"<{names[i]}>")
     for rows in (short[lengths[short] <= 12], short[lengths[short] > 12]):
@@ -70,14 +70,14 @@ def _long_word(number: int, word: str) -> Iterator[tuple[np.ndarray, np.ndarray]
         value = np.full(len(chars) - n + 1, 1469598103934665603 + n, np.uint64)
         for k in range(n):
             value = (value ^ chars[k : k + len(value)]) * np.uint64(1099511628211)
-        yield np.full(len(value), number), _buckets(value)
+        yield np.full(len(value), number, np.int32), _buckets(value)
     places = (np.arange(len(chars), dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    yield np.array([number]), _buckets(((chars * np.uint64(1099511628211)) ^ places).sum(keepdims=True) * np.uint64(0x94D049BB133111EB))
+    yield np.array([number], np.int32), _buckets(((chars * np.uint64(1099511628211)) ^ places).sum(keepdims=True) * np.uint64(0x94D049BB133111EB))
 
 
 def _buckets(value: np.ndarray) -> np.ndarray:
     value = (value ^ (value >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (value >> np.uint64(48)).astype(np.int64) % BUCKETS
+    return (value >> np.uint64(48)).astype(np.uint16)  # BUCKETS of them
 
 
 @dataclass
@@ -153,10 +153,10 @@ def train(texts: pa.Array, labels: np.ndarray) -> np.ndarray:
     rng = np.random.default_rng(SEED)
     table = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS))
     soft, bias = rng.normal(0, 0.1, (DIMENSIONS, 2)), np.zeros(2)
-    parts = list(subwords(names))
-    word, bucket = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    order = np.argsort(word, kind="stable")
-    bucket, per_word = bucket[order], np.bincount(word, minlength=len(names))
+    word, bucket = (np.concatenate(p) for p in zip(*subwords(names)))
+    per_word = np.bincount(word, minlength=len(names))
+    bucket = bucket[np.argsort(word, kind="stable")]
+    del word
     word_at, text_at = words.offsets(per_word), words.offsets(counts)
     balance = len(labels) / 2 / np.maximum(np.bincount(labels, minlength=2), 1)
     moments = [np.zeros_like(table), np.zeros_like(table)], [np.zeros_like(soft), np.zeros_like(soft)], [np.zeros(2), np.zeros(2)]
