@@ -9,10 +9,16 @@ from gridmend.llm import mixing, ngram_join, packing, queries, secret_scan, toxi
 from gridmend.llm.tables import saved, table
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """The documents as one column ``document``, so that what a stage adds cannot clash with theirs."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below 0.5. A text without words scores 0 and stays."""
+    """Documents scored below 0.5. A text without words scores 0 and stays; so do all where the labels cannot train a model."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, "_toxic").where("_toxic < 0.5").drop("_toxic")
+    texts = _apart(docs).withColumn("text", F.col("document.text"))
+    return toxicity.score(texts, model, "toxic").where("toxic < 0.5").select("document.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,14 +26,13 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Texts without words are linked with nothing and stay, all of them.
     """
-    names = ("_id", "_hash")
-    of_group = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))).alias("first")
-    firsts = ngram_join.join(docs, n=5, percent=80).where("component IS NOT NULL").groupBy("component").agg(of_group).select("first._id", "first._hash")
-    marked = docs.withColumns({"_words": mixing.word_count(F.col("text")) > 0, "_text_hash": F.xxhash64("text")})
-    same = F.col("doc_id").eqNullSafe(F.col(names[0])) & (F.col("_text_hash") == F.col(names[1]))
-    held = marked.where("_words").join(firsts, same, "left_semi")
-    one = held.groupBy(F.col("doc_id").alias("_id"), "_text_hash").agg(F.min(F.struct(*docs.columns)).alias("_document"))
-    return marked.where("NOT _words").select(*docs.columns).unionByName(one.select("_document.*"))
+    of_group = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))).alias("first")
+    firsts = ngram_join.join(docs, n=5, percent=80).where("component IS NOT NULL").groupBy("component").agg(of_group).select("first.id", "first.hash")
+    text = F.col("document.text")
+    marked = _apart(docs).withColumns({"words": mixing.word_count(text) > 0, "text_hash": F.xxhash64(text), "doc_id": F.col("document.doc_id")})
+    held = marked.where("words").join(firsts, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")), "left_semi")
+    one = held.groupBy("doc_id", "text_hash").agg(F.min("document").alias("document"))
+    return marked.where("NOT words").select("document.*").unionByName(one.select("document.*"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it; documents of no words once."""
     mixed = mixing.mix(docs, keep=docs.columns)
     times = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(F.lit(1))
-    return mixed.where(times > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).select("document.*")
+    return mixed.where(times > 0).select("document", F.explode(F.sequence(F.lit(1), times))).select("document.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
