@@ -44,19 +44,23 @@ def replace_pairs(symbols: np.ndarray, ends: np.ndarray, weights: np.ndarray | N
     another pair in it wait for a round with another hash, at last for one that sorts.
     """
     n = len(symbols)
-    symbols = symbols.astype(np.int64)
-    following, before = np.arange(1, n + 1), np.arange(-1, n - 1)  # n stands for none
+    symbols = symbols.astype(np.int32)
+    following, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)  # n stands for none
     starts = np.append(0, ends)[:-1][np.diff(ends, prepend=0) > 0]
     following[ends[ends > 0] - 1] = n
     before[starts] = n
-    each = None if weights is None else np.repeat(weights, np.diff(ends, prepend=0)).astype(np.float64)
-    rank, alive, marked = np.zeros(n + 1), np.ones(n, bool), np.zeros(n, bool)
-    active, lefts, rights, turn = np.flatnonzero(following < n), [], [], 0
+    each = None if weights is None else np.repeat(weights.astype(np.int32), np.diff(ends, prepend=0))
+    rank, alive, marked = np.zeros(n + 1, np.int32), np.ones(n, bool), np.zeros(n, bool)
+    active, lefts, rights, turn, idle = np.flatnonzero(following < n).astype(np.int32), [], [], 0, 0
     while len(active):
-        key = symbols[active] * first + symbols[following[active]]
-        slot, size = _slots(key, turn)
-        often = np.bincount(slot, None if each is None else each[active], size)[slot] >= MIN_COUNT
-        active, key, slot = active[often], key[often], slot[often]
+        key = symbols[active].astype(np.int64) * first + symbols[following[active]]
+        exact = idle == len(MIXES)
+        for mix in () if exact else (turn, turn + 1):  # rare pairs go, most of them by the first count
+            slot, size = _slots(key, mix)
+            often = np.bincount(slot, None if each is None else each[active], size)[slot] >= MIN_COUNT
+            active, key, slot = active[often], key[often], slot[often]
+        if exact:
+            slot, size = _slots(key, None)
         if not len(active):
             break
         owner = np.zeros(size, np.int64)
@@ -64,25 +68,28 @@ def replace_pairs(symbols: np.ndarray, ends: np.ndarray, weights: np.ndarray | N
         alone = owner[slot] == key
         repeats = np.append(False, (active[1:] == following[active[:-1]]) & (key[1:] == key[:-1]))
         run = np.flatnonzero(~repeats)
-        odd = (np.arange(len(active)) - np.repeat(run, np.diff(np.append(run, len(active))))) % 2 == 1
-        counts = np.bincount(slot, (alone & ~odd) * (1.0 if each is None else each[active]), size)
-        good = alone & ~odd & (counts[slot] >= MIN_COUNT)
-        places, pair = active[good], slot[good]
-        priority = counts[pair] * size + pair
-        rank[places] = priority
-        take = (priority >= rank[before[places]]) & (priority >= rank[following[places]])
+        good = alone & ((np.arange(len(active)) - np.repeat(run, np.diff(np.append(run, len(active))))) % 2 == 0)
+        counts = np.bincount(slot[good], None if each is None else each[active[good]], size)
+        frequent = np.flatnonzero(counts >= MIN_COUNT)
+        order = np.zeros(size, np.int32)
+        order[frequent[np.argsort(counts[frequent], kind="stable")]] = np.arange(1, len(frequent) + 1)
+        good &= order[slot] > 0
+        places, pair, key = active[good], slot[good], key[good]
+        mine = order[pair]
+        rank[places] = mine
+        take = (mine >= rank[before[places]]) & (mine >= rank[following[places]])
         rank[places] = 0
         used = np.bincount(pair[take], None if each is None else each[places[take]], size) >= MIN_COUNT
-        number = np.cumsum(used) - 1
         take &= used[pair]
-        taken = places[take]
+        taken, turn = places[take], turn + 1
         if not len(taken):
-            if turn < 0:
-                break  # counted exactly, and none is frequent
-            turn = -1 if turn + 1 == len(MIXES) else turn + 1
+            if exact:
+                break  # counted by sorting, and none is frequent
+            idle += 1
             continue
+        number = (np.cumsum(used) - 1).astype(np.int32)
         rules = np.zeros(int(used.sum()), np.int64)
-        rules[number[pair[take]]] = key[good][take]
+        rules[number[pair[take]]] = key[take]
         lefts.append(rules // first)
         rights.append(rules % first)
         gone = following[taken]
@@ -92,26 +99,29 @@ def replace_pairs(symbols: np.ndarray, ends: np.ndarray, weights: np.ndarray | N
         following[taken] = after
         inside = after < n
         before[after[inside]] = taken[inside]
-        first, turn = first + len(rules), 0
+        first, idle = first + len(rules), 0
         marked[active], marked[taken] = True, True
         previous = before[taken]
         marked[previous[previous < n]] = True
-        active = np.flatnonzero(marked & alive)
+        active = np.flatnonzero(marked & alive).astype(np.int32)
         marked[active] = False
         marked[gone] = False
         active = active[following[active] < n]
     kept = np.cumsum(alive)
     new_ends = np.where(ends > 0, kept[np.maximum(ends, 1) - 1], 0) if n else ends
-    return symbols[alive], new_ends, lefts, rights
+    return symbols[alive].astype(np.int64), new_ends, lefts, rights
 
 
-def _slots(key: np.ndarray, turn: int) -> tuple[np.ndarray, int]:
-    """(slot of each pair, number of slots): by one of the hashes or, for a negative turn, a slot for each pair."""
-    if turn < 0:
+def _slots(key: np.ndarray, turn: int | None) -> tuple[np.ndarray, int]:
+    """(slot of each pair, number of slots): by one of the hashes or, without a turn, a slot for each pair."""
+    if turn is None:
         pairs, slot = np.unique(key, return_inverse=True)
         return slot, len(pairs)
-    bits = min(max(int(len(key)).bit_length() + 1, 8), 22)
-    return ((key.astype(np.uint64) * MIXES[turn]) >> np.uint64(64 - bits)).astype(np.int64), 1 << bits
+    bits = min(max(int(len(key)).bit_length() + 1, 8), 20)
+    hashed = key.astype(np.uint64)
+    hashed *= MIXES[turn % len(MIXES)]
+    hashed >>= np.uint64(64 - bits)
+    return hashed.astype(np.int32), 1 << bits
 
 
 def compress(codes: np.ndarray, counts: np.ndarray, ids: np.ndarray, at: np.ndarray, end: int) -> dict:

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words that an encoder keeps for its next texts: those asked for in bulk, and those within other pieces.
-SLICE_BYTES, CACHE_WORDS, CACHE_PARTS = 6 << 20, 500_000, 100_000
+SLICE_BYTES, CACHE_WORDS, CACHE_PARTS = 6 << 20, 250_000, 50_000
 #: Two characters in a row that some reading of Unicode takes as white space (RE2 syntax).
 GAP = r"[\s\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]{2}"
 SAFE_SPACE = re.compile(r"(?<=[^\s᠎​-‏﻿]) (?=[^\s᠎​-‏﻿])")
