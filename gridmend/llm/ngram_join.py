@@ -20,11 +20,12 @@ from pyspark.sql.window import Window
 
 from gridmend.functions.joins import broadcast_if, is_small
 from gridmend.llm import words
-from gridmend.llm.tables import Scratch, components
+from gridmend.llm.tables import Scratch, components, small_batches
 from gridmend.shipping import ship
 
 GROWTH = 1.37
 CELL, CELL_BYTES, PIVOTS, LEAF = 1000, 8 << 20, 8, 64
+TEXT_BYTES = 4 << 20  # texts cut into shingles at once
 ROUND_PIVOTS, MOST_PARTS, SMALL_ROWS = 1024, 8, 500_000
 #: Shingles in ``COMMON`` of a hash sample of so many texts are left out of the slices, which no result depends on.
 SAMPLE, COMMON = 4000, 4
@@ -279,6 +280,11 @@ def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     shingles and no links. Equal sets are one node, its number 63 bits of a hash of the set.
     Documents with a NULL doc_id link as others do, but give no component its number. Rows may repeat; other columns are ignored.
     """
+    with small_batches(documents.sparkSession):
+        return _joined(documents, n, percent)
+
+
+def _joined(documents: DataFrame, n: int, percent: int) -> DataFrame:
     spark, scratch = documents.sparkSession, Scratch(documents.sparkSession)
     ship(spark)
     texts = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
@@ -289,7 +295,7 @@ def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         return (mixed(sums_by(row, mixed(grams), len(sizes)) ^ sizes.astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.slices(batches, "text"):
+        for batch in words.slices(batches, "text", TEXT_BYTES):
             grams, sizes = shingle_sets(batch["text"], n)
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"].cast(pa.int64()), batch["text_hash"], pa.array(sizes, pa.int64()), pa.array(node_of(grams, sizes))],
@@ -297,7 +303,7 @@ def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
             )
 
     def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.slices(batches, "text"):
+        for batch in words.slices(batches, "text", TEXT_BYTES):
             grams, sizes = shingle_sets(batch["text"], n)
             node = node_of(grams, sizes)
             _, once = np.unique(node, return_index=True)
@@ -326,7 +332,7 @@ def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     held = held.groupBy("cell", "node").agg(F.min("text").alias("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.slices(batches, "text"):
+        for batch in words.slices(batches, "text", TEXT_BYTES):
             grams, sizes = shingle_sets(batch["text"], n)
             data, at = grams.tobytes(), words.offsets(sizes) * 8
             yield pa.RecordBatch.from_arrays([batch["cell"], batch["node"], pa.array([data[a:b] for a, b in zip(at, at[1:])], pa.binary())], names=["cell", "node", "grams"])

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +58,18 @@ class Scratch:
         self.spark._jvm.System.gc()  # the cleaner drops the shuffle files of plans that were collected
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: str = "8m") -> Iterator[None]:
+    """Arrow batches of at most so many bytes for the jobs run meanwhile, on either side of the Python workers' pipes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
