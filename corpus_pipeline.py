@@ -17,8 +17,9 @@ def _apart(docs: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5. A text without words scores 0 and stays; so do all where the labels cannot train a model."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    texts = _apart(docs).withColumn("text", F.col("document.text"))
-    return toxicity.score(texts, model, "toxic").where("toxic < 0.5").select("document.*")
+    others = _apart(docs).select(F.col("document").dropFields("text").alias("others"), F.col("document.text").alias("text"))
+    clean = toxicity.score(others, model, "toxic").where("toxic < 0.5")
+    return clean.select(*[F.col("text") if c == "text" else F.col(f"others.`{c}`") for c in docs.columns])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
