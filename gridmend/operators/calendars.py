@@ -64,12 +64,14 @@ def densify(
     cell_cols: Sequence[str] = ("cell",),
     calendar: str = STANDARD,
     time_range: tuple | DataFrame | None = None,
+    interpolate: bool = False,
 ) -> DataFrame:
     """Give every cell a row on every day of the axis, with missing values where it had none.
 
     ``time_range`` states the ends of the axis (see ``timeaxis.time_axis``). Each row writes out the days up to its successor, so no scaffold is joined.
+    ``interpolate`` fills the gaps in the same pass, as ``interpolate_gaps`` would afterwards.
     """
-    return _filled(cube, value_cols, cell_cols, calendar, timeaxis.time_axis(cube, time_range), interpolate=False)
+    return _filled(cube, value_cols, cell_cols, calendar, timeaxis.time_axis(cube, time_range), interpolate)
 
 
 def interpolate_gaps(

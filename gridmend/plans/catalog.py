@@ -461,8 +461,8 @@ SELECT cell, {sql.noleap_date('(t // 365)', '(t % 365 + 1)')} AS date, round(v,
 )
 def _(spark, sf):
     sparse = cubes.daily_series(spark, sf, None, "l_suppkey")
-    dense = calendars.densify(sparse, ["v"], calendar=timeaxis.NOLEAP, time_range=cubes.ship_days(spark, sf))
-    return calendars.interpolate_gaps(dense, ["v"], calendar=timeaxis.NOLEAP).withColumn("v", rounded("v"))
+    filled = calendars.densify(sparse, ["v"], calendar=timeaxis.NOLEAP, time_range=cubes.ship_days(spark, sf), interpolate=True)
+    return filled.withColumn("v", rounded("v"))
 
 
 @query(

@@ -175,6 +175,9 @@ def test_days_of_a_series_without_cells_are_added_over_blocks(spark):
     dense = calendars.densify(cube, ["v", "w"], [], "noleap", ("1950-01-01", "1999-12-31"))
     assert dense.count() == 50 * 365 and dense.filter("v IS NOT NULL").count() == 2 and dense.filter("w IS NOT NULL").count() == 2
     assert dense.select("date").distinct().count() == 50 * 365
+    at_once = calendars.densify(cube, ["v", "w"], [], "noleap", ("1950-01-01", "1999-12-31"), interpolate=True)
+    in_turn = calendars.interpolate_gaps(dense, ["v", "w"], [], "noleap")
+    assert at_once.exceptAll(in_turn).isEmpty() and in_turn.exceptAll(at_once).isEmpty() and at_once.filter("v IS NOT NULL").count() == 40 * 365 + 1
     one_year = spark.range(720).select((F.lit(1951) + F.floor(F.col("id") / 360)).cast("int").alias("year"), (F.col("id") % 360).cast("int").alias("day360"), F.col("id").cast("double").alias("tas"))
     clean = calendars.standardize_gcm(one_year, ["tas"], "360_day", [])
     assert clean.columns == ["date", "tas"] and clean.count() == 730
