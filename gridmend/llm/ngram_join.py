@@ -26,7 +26,7 @@ from gridmend.shipping import ship
 GROWTH = 1.37
 CELL, CELL_BYTES, PIVOTS, LEAF = 1000, 8 << 20, 8, 64
 TEXT_BYTES = 4 << 20  # texts cut into shingles at once
-ROUND_PIVOTS, MOST_PARTS, SMALL_ROWS = 1024, 8, 500_000
+ROUND_PIVOTS, MOST_PARTS, SMALL_ROWS = 1024, 2, 500_000
 #: Shingles in ``COMMON`` of a hash sample of so many texts are left out of the slices, which no result depends on.
 SAMPLE, COMMON = 4000, 4
 ODD = tuple(np.uint64(m) for m in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
@@ -443,6 +443,7 @@ def large_cells(members: DataFrame, percent: int, scratch: Scratch) -> DataFrame
             found, parts = both.applyInArrow(compared(percent), "a long, b long"), min(2 * parts, MOST_PARTS)
             asked = scratch.saved(asked.unionAll(picked.select("node")), "join-asked")
         links = scratch.saved(links.unionAll(found.where("a != b")), "join-large-links")
+        blocks = both = found = pivots = None  # so that their shuffles, the sets once per part, can be dropped
         named = base.select("cell", "node").join(components(links, "join-large-components", scratch), "node", "left")
         named = scratch.saved(named.select("cell", "node", F.coalesce("component", "node").alias("component")), "join-large-named")
         counted = named.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("n"))
