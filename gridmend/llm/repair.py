@@ -53,63 +53,78 @@ def replace_pairs(symbols: np.ndarray, ends: np.ndarray, weights: np.ndarray | N
     rank, alive, marked = np.zeros(n + 1, np.int32), np.ones(n, bool), np.zeros(n, bool)
     active, lefts, rights, turn, idle = np.flatnonzero(following < n).astype(np.int32), [], [], 0, 0
     while len(active):
-        key = symbols[active].astype(np.int64) * first + symbols[following[active]]
+        key = np.multiply(symbols[active], first, dtype=np.int64)
+        key += symbols[following[active]]
         exact = idle == len(MIXES)
         for mix in () if exact else (turn, turn + 1):  # rare pairs go, most of them by the first count
             slot, size = _slots(key, mix)
-            often = np.bincount(slot, None if each is None else each[active], size)[slot] >= MIN_COUNT
-            active, key, slot = active[often], key[often], slot[often]
+            often = np.flatnonzero((np.bincount(slot, None if each is None else each[active], size) >= MIN_COUNT)[slot])
+            active, key = active[often], key[often]
         if exact:
             slot, size = _slots(key, None)
+        else:
+            slot = slot[often]
         if not len(active):
             break
         owner = np.zeros(size, np.int64)
         owner[slot] = key
         alone = owner[slot] == key
-        repeats = np.append(False, (active[1:] == following[active[:-1]]) & (key[1:] == key[:-1]))
-        run = np.flatnonzero(~repeats)
-        good = alone & ((np.arange(len(active)) - np.repeat(run, np.diff(np.append(run, len(active))))) % 2 == 0)
-        counts = np.bincount(slot[good], None if each is None else each[active[good]], size)
+        # Of a run of one pair that overlaps itself, every second place counts.
+        repeats = 1 + np.flatnonzero((active[1:] == following[active[:-1]]) & (key[1:] == key[:-1]))
+        begin = np.maximum.accumulate(np.where(np.diff(repeats, prepend=-1) > 1, repeats - 1, 0)) if len(repeats) else repeats
+        alone[repeats[(repeats - begin) % 2 == 1]] = False
+        good = np.flatnonzero(alone)
+        places, slot, key = active[good], slot[good], key[good]
+        counts = np.bincount(slot, None if each is None else each[places], size)
         frequent = np.flatnonzero(counts >= MIN_COUNT)
+        by_count = np.argsort(counts[frequent], kind="stable")
         order = np.zeros(size, np.int32)
-        order[frequent[np.argsort(counts[frequent], kind="stable")]] = np.arange(1, len(frequent) + 1)
-        good &= order[slot] > 0
-        places, pair, key = active[good], slot[good], key[good]
-        mine = order[pair]
+        order[frequent[by_count]] = np.arange(1, len(frequent) + 1)
+        mine = order[slot]
+        some = np.flatnonzero(mine)
+        places, mine, key = places[some], mine[some], key[some]
         rank[places] = mine
-        take = (mine >= rank[before[places]]) & (mine >= rank[following[places]])
+        take = np.flatnonzero((mine >= rank[before[places]]) & (mine >= rank[following[places]]))
         rank[places] = 0
-        used = np.bincount(pair[take], None if each is None else each[places[take]], size) >= MIN_COUNT
-        take &= used[pair]
-        taken, turn = places[take], turn + 1
+        taken, mine, key = places[take], mine[take], key[take]
+        used = np.bincount(mine, None if each is None else each[taken], len(frequent) + 1) >= MIN_COUNT
+        take = np.flatnonzero(used[mine])
+        taken, mine, key, turn = taken[take], mine[take], key[take], turn + 1
         if not len(taken):
             if exact:
                 break  # counted by sorting, and none is frequent
             idle += 1
             continue
-        number = (np.cumsum(used) - 1).astype(np.int32)
+        in_slots = np.zeros(len(frequent), bool)  # rules are numbered by their slots
+        in_slots[by_count] = used[1:]
+        number = np.zeros(len(frequent) + 1, np.int32)
+        number[1:] = (np.cumsum(in_slots) - 1)[by_count]
+        rule = number[mine]
         rules = np.zeros(int(used.sum()), np.int64)
-        rules[number[pair[take]]] = key[take]
+        rules[rule] = key
         lefts.append(rules // first)
         rights.append(rules % first)
         gone = following[taken]
-        symbols[taken] = first + number[pair[take]]
+        symbols[taken] = first + rule
         alive[gone] = False
         after = following[gone]
         following[taken] = after
         inside = after < n
         before[after[inside]] = taken[inside]
         first, idle = first + len(rules), 0
-        marked[active], marked[taken] = True, True
         previous = before[taken]
-        marked[previous[previous < n]] = True
-        active = np.flatnonzero(marked & alive).astype(np.int32)
-        marked[active] = False
-        marked[gone] = False
+        touched = np.concatenate([active, taken, previous[previous < n]])
+        if len(touched) < n // 32:
+            active = np.unique(touched)
+            active = active[alive[active]]
+        else:
+            marked[touched] = True
+            active = np.flatnonzero(marked & alive).astype(np.int32)
+            marked[touched] = False
         active = active[following[active] < n]
     kept = np.cumsum(alive)
     new_ends = np.where(ends > 0, kept[np.maximum(ends, 1) - 1], 0) if n else ends
-    return symbols[alive].astype(np.int64), new_ends, lefts, rights
+    return symbols[alive], new_ends, lefts, rights
 
 
 def _slots(key: np.ndarray, turn: int | None) -> tuple[np.ndarray, int]:
@@ -118,10 +133,9 @@ def _slots(key: np.ndarray, turn: int | None) -> tuple[np.ndarray, int]:
         pairs, slot = np.unique(key, return_inverse=True)
         return slot, len(pairs)
     bits = min(max(int(len(key)).bit_length() + 1, 8), 20)
-    hashed = key.astype(np.uint64)
-    hashed *= MIXES[turn % len(MIXES)]
+    hashed = key.view(np.uint64) * MIXES[turn % len(MIXES)]
     hashed >>= np.uint64(64 - bits)
-    return hashed.astype(np.int32), 1 << bits
+    return hashed.view(np.int64), 1 << bits
 
 
 def compress(codes: np.ndarray, counts: np.ndarray, ids: np.ndarray, at: np.ndarray, end: int) -> dict:
@@ -132,7 +146,7 @@ def compress(codes: np.ndarray, counts: np.ndarray, ids: np.ndarray, at: np.ndar
     """
     present = np.zeros(max(int(ids.max(initial=0)), end) + 1, bool)
     present[ids], present[end] = True, True
-    terminals, number = np.flatnonzero(present), np.cumsum(present) - 1
+    terminals, number = np.flatnonzero(present), (np.cumsum(present) - 1).astype(np.int32)
     stop, symbols, ends = int(number[end]), number[ids], at[1:]
     symbols, ends, lefts, rights = replace_pairs(symbols, ends, np.bincount(codes, minlength=len(ends)), len(terminals))
     symbols, sequences = words.joined(codes, counts, symbols, np.append(0, ends), stop)
@@ -223,7 +237,10 @@ def write_ids(documents: DataFrame, path: str, tokenizer: str, end: int = 2, sha
         encoder = words.encoder(shared.value, spaces=True)
         before = 0
         for number, batch in enumerate(words.slices(batches, "text", shard_bytes)):
-            row = compress(*encoder.encode(batch["text"]), end)
+            encoded = encoder.encode(batch["text"])
+            pa.default_memory_pool().release_unused()  # what the grammar's arrays need is more than what Arrow would keep
+            row = compress(*encoded, end)
+            del encoded
             row |= {"part": batch["part"][0].as_py(), "shard": number, "at": before, "doc_ids": batch["doc_id"].to_pylist()}
             before += int(row["n_tokens"].sum())
             yield pa.RecordBatch.from_pylist([row], schema=ARROW)
@@ -238,6 +255,17 @@ ARROW = pa.schema([
 ])
 
 
+def shard_of(batch: pa.RecordBatch, i: int) -> dict:
+    """A row of the format for ``decode``: its lists as arrays, doc_ids as an Arrow one, since they may be NULL."""
+    shard = {}
+    for name, value in ((n, batch[n][i]) for n in batch.schema.names):
+        if not isinstance(value, (pa.ListScalar, pa.LargeListScalar)):
+            shard[name] = value.as_py()
+        else:
+            shard[name] = value.values if name == "doc_ids" else value.values.to_numpy()
+    return shard
+
+
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 and n_symbols of every document, decoded from the files."""
     ship(spark)
@@ -249,11 +277,11 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                shard = batch.slice(i, 1).to_pylist()[0]
+                shard = shard_of(batch, i)
                 ids, ends = decode(shard)
                 data, at = memoryview(ids.astype("<u4").tobytes()), np.append(0, ends)
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array(shard["doc_ids"], pa.int64()),
+                    "doc_id": shard["doc_ids"],
                     "start": shard["part_start"] + shard["at"] + at[:-1],
                     "n_tokens": np.diff(at),
                     "ids_crc32": np.array([zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(at, at[1:])], np.int64),

@@ -46,6 +46,35 @@ def test_strings_of_special_tokens_give_the_ids_of_the_plain_library(name, end,
         assert ids[at[i] : at[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids + [end]
 
 
+@pytest.mark.parametrize("name,end,spaces", [("byte_bpe_50k.json", 2, True), ("word_bpe_49k.json", 1, False)])
+def test_words_with_marks_and_line_breaks_are_asked_for_in_bulk_and_once(name, end, spaces):
+    from tokenizers import Tokenizer
+
+    definition = words.definition(public_tokenizers.path(name))
+    whole, encoder, single, asked = Tokenizer.from_str(definition), words.Encoder(definition, spaces), [], []
+    piece, ask = encoder._piece, encoder._asked
+    encoder._piece = lambda p: (single.append(p), piece(p))[1]
+    encoder._asked = lambda w: (asked.append(w), ask(w))[1]
+    texts = ["A loud*** thing, (not $$$ end.\nOf it--\nÜber] a_b x!?", "So loud.\nOf thing*** it\nend;\nloud", "It's 4all a  b\n\nc"]
+    for _ in range(2):
+        asked.clear()
+        ids, at = encoder.ids(pa.array(texts), end)
+        for i, text in enumerate(texts):
+            assert ids[at[i] : at[i + 1]].tolist() == whole.encode(text, add_special_tokens=False).ids + [end]
+    assert not {" loud***", " end.\nOf", " it--\nÜber]", " x!?"} & set(single)
+    assert not asked  # the second time
+
+
+def test_rows_of_the_format_are_read_as_arrays():
+    codes, counts, ids, at = np.array([0, 1, 0]), np.array([2, 1]), np.array([5, 6, 5, 7]), np.array([0, 2, 4])
+    row = repair.compress(codes, counts, ids, at, 2) | {"part": 0, "shard": 1, "at": 9, "doc_ids": [None, 4]}
+    shard = repair.shard_of(pa.RecordBatch.from_pylist([row], schema=repair.ARROW), 0)
+    assert all(isinstance(shard[n], np.ndarray) for n in ("n_tokens", "symbol_ends", "terminals", "left", "right", "lengths"))
+    assert shard["doc_ids"].to_pylist() == [None, 4] and (shard["part"], shard["at"]) == (0, 9)
+    found, ends = repair.decode(shard)
+    assert found.tolist() == [5, 6, 5, 7, 2, 5, 6, 2] and ends.tolist() == [5, 8]
+
+
 def frequent_pairs(shard):
     """Pairs of symbols that occur ``MIN_COUNT`` times in a shard without overlap."""
     symbols = np.frombuffer(shard["symbols"], f"<u{shard['width']}").tolist()
