@@ -350,10 +350,11 @@ def _joined(documents: DataFrame, n: int, percent: int) -> DataFrame:
         return pa.table({"a": pa.array(node[label]), "b": pa.array(node)})
 
     links = small.select("cell", "node", "grams").groupBy("cell").applyInArrow(within, "a long, b long")
+    links = scratch.saved(links.where("a != b"), "join-small-links")  # first, so that the sets of small cells can go
     large = members.join(counts.where(~fits).select("cell"), "cell")
-    links = scratch.saved(links.where("a != b").unionAll(large_cells(large, percent, scratch)), "join-links")
+    links = scratch.saved(links.unionAll(large_cells(large, percent, scratch)), "join-links")
     del small, large, members, held
-    scratch.drop("join-sets", "join-counts", *LARGE_TABLES)
+    scratch.drop("join-sets", "join-counts", "join-small-links", *LARGE_TABLES)
     found_components = components(links, "join-components", scratch)
     nodes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
     grouped = nodes.join(found_components, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -394,14 +395,18 @@ def meeting(found: DataFrame) -> DataFrame:
 
 
 #: What ``large_cells`` leaves in its scratch tables.
-LARGE_TABLES = tuple(f"join-{t}" for t in ("large", "picked", "pivots", "base", "asked", "large-links", "large-named", "large-components-labels"))
+LARGE_TABLES = tuple(
+    f"join-{t}" for t in ("large", "numbered", "ranges", "picked", "pivots", "places", "base", "asked", "large-links", "large-named", "large-components-labels")
+)
 
 
 def large_cells(members: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) that connect the linked sets of cells too large for one task. Actions, some per round.
 
     In a round every large cell has up to ``ROUND_PIVOTS`` pivots, twice as many in the next up to ``MOST_PARTS`` times as
-    many, and all its sets are compared with them, in blocks of about ``CELL`` sets and parts of ``ROUND_PIVOTS`` pivots. What a pivot connects is never compared again: the next pivots are sets
+    many, and its sets are compared with them, in blocks of about ``CELL`` sets of like sizes and parts of ``ROUND_PIVOTS`` pivots.
+    Only blocks that hold sizes a pivot can be linked to meet it, so a round moves little more than the sets once. What a pivot
+    connects is never compared again: the next pivots are sets
     outside their cell's largest component that have not been pivots. It ends when there are none; then of any
     two sets in different components one has been compared with the whole cell. By the triangle
     inequality a set can only be linked to a pivot if their distances to the cell's first pivots differ
@@ -410,40 +415,48 @@ def large_cells(members: DataFrame, percent: int, scratch: Scratch) -> DataFrame
     spark = members.sparkSession
     links = spark.createDataFrame([], "a long, b long")
     members = scratch.saved(members, "join-large")
+    scratch.drop("join-sets", "join-counts")
     if members.isEmpty():
         return links
-    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / CELL), F.ceil(F.sum(F.octet_length("grams")) / CELL_BYTES))
-    sizes = members.groupBy("cell").agg(blocks.cast("int").alias("blocks"))
-    base = members.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    sized = members.select("cell", "node", F.octet_length("grams").alias("bytes"))
+    number, upto = (f.over(Window.partitionBy("cell").orderBy("bytes", "node")) for f in (F.row_number(), F.sum("bytes")))
+    block = F.greatest(F.floor((number - 1) / CELL), F.floor(upto / CELL_BYTES)).cast("int")
+    numbered = scratch.saved(sized.withColumn("block", block), "join-numbered")
+    ranges = scratch.saved(numbered.groupBy("cell", "block").agg(F.min("bytes").alias("low"), F.max("bytes").alias("high")), "join-ranges")
+    base = members.join(broadcast_if(is_small(numbered, SMALL_ROWS), numbered.drop("bytes")), ["cell", "node"])
     base = base.withColumns({"hash": F.xxhash64("node"), "to_first": F.lit(None).cast("array<double>")})
-    open_nodes, asked, parts = base.select("cell", "node"), None, 1
+    open_nodes, asked, parts = numbered.select("cell", "node"), None, 1
     while True:
         ranked = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("node"), "node"))
         most = PIVOTS if asked is None else ROUND_PIVOTS * parts
         picked = scratch.saved(open_nodes.withColumn("rank", ranked).where(F.col("rank") <= most).select("cell", "node", "rank"), "join-picked")
         if picked.isEmpty():
             return links
-        # Parts of so many pivots, and of about so many bytes of them.
-        upto = F.sum(F.octet_length("grams")).over(Window.partitionBy("cell").orderBy("rank"))
-        part = F.greatest(F.floor((F.col("rank") - 1) / ROUND_PIVOTS), F.floor(upto / CELL_BYTES)).cast("int")
-        pivots = base.drop("block").join(picked, ["cell", "node"]).withColumn("part", part).drop("rank")
-        pivots = scratch.saved(pivots, "join-pivots")
-        pivots = pivots.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        pivots = scratch.saved(base.drop("block").join(picked.drop("rank"), ["cell", "node"]), "join-pivots")
         if asked is None:  # the first pivots, to which every distance is kept
-            both = base.groupBy("cell", "block").cogroup(pivots.drop("part").groupBy("cell", "block"))
+            met = pivots.join(ranges.select("cell", "block"), "cell")
+            both = base.groupBy("cell", "block").cogroup(met.groupBy("cell", "block"))
             base = scratch.saved(both.applyInArrow(measured(percent), base.schema), "join-base")
             near = base.select("cell", "node", F.posexplode("to_first").alias("at", "far")).where(F.col("far") <= 1 - percent / 100 + 1e-9)
-            numbered = picked.select("cell", F.col("node").alias("a"), (F.col("rank") - 1).alias("at"))
-            found = near.join(numbered, ["cell", "at"]).select("a", F.col("node").alias("b"))
+            first = picked.select("cell", F.col("node").alias("a"), (F.col("rank") - 1).alias("at"))
+            found = near.join(first, ["cell", "at"]).select("a", F.col("node").alias("b"))
             asked = scratch.saved(picked.select("node"), "join-asked")
+            scratch.drop("join-large")
         else:
-            last = pivots.groupBy("cell").agg(F.max("part").alias("last"))
-            blocks = base.join(last, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("last")))).drop("last")
-            both = blocks.groupBy("cell", "block", "part").cogroup(pivots.groupBy("cell", "block", "part"))
+            # Pivots meet the blocks that hold sizes like theirs, in parts of so many pivots and of about so many bytes of them.
+            alike = (F.col("high") * 100 >= F.col("bytes") * percent) & (F.col("bytes") * 100 >= F.col("low") * percent)
+            places = picked.join(numbered.drop("block"), ["cell", "node"]).join(F.broadcast(ranges), "cell").where(alike)
+            at, upto = (f.over(Window.partitionBy("cell", "block").orderBy("rank")) for f in (F.row_number(), F.sum("bytes")))
+            part = F.greatest(F.floor((at - 1) / ROUND_PIVOTS), F.floor(upto / CELL_BYTES)).cast("int").alias("part")
+            places = scratch.saved(places.select("cell", "node", "block", part), "join-places")
+            met = pivots.drop("hash").join(broadcast_if(is_small(places, SMALL_ROWS), places), ["cell", "node"])
+            parts_of = places.select("cell", "block", F.col("part").alias("part")).distinct()  # an alias, so that the sides' columns differ
+            blocks = base.drop("hash").join(F.broadcast(parts_of), ["cell", "block"])
+            both = blocks.groupBy("cell", "block", "part").cogroup(met.groupBy("cell", "block", "part"))
             found, parts = both.applyInArrow(compared(percent), "a long, b long"), min(2 * parts, MOST_PARTS)
             asked = scratch.saved(asked.unionAll(picked.select("node")), "join-asked")
         links = scratch.saved(links.unionAll(found.where("a != b")), "join-large-links")
-        blocks = both = found = pivots = None  # so that their shuffles, the sets once per part, can be dropped
+        blocks = both = found = pivots = met = places = None  # so that their shuffles can be dropped
         named = base.select("cell", "node").join(components(links, "join-large-components", scratch), "node", "left")
         named = scratch.saved(named.select("cell", "node", F.coalesce("component", "node").alias("component")), "join-large-named")
         counted = named.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("n"))

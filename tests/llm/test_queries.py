@@ -2,11 +2,13 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gridmend.llm import hamming_search, mixing, ngram_join, packing, queries, secret_scan, sharding, url_filter, vector_dedup
+from gridmend.llm.tables import Scratch
 
 from compare import connect, differences
 
@@ -66,6 +68,26 @@ def test_join_of_cells_too_large_for_one_task(spark, monkeypatch):
     assert [found[i] for i in range(len(texts))] == want
 
 
+def test_pivots_meet_only_blocks_of_like_sizes(spark, monkeypatch):
+    """Forty unrelated sets of four sizes: a round moves each pivot once, and tables it no longer reads are gone."""
+    monkeypatch.setattr(ngram_join, "CELL", 10)
+    saved, met, held = Scratch.saved, [], []
+
+    def note(scratch, df, name):
+        out = saved(scratch, df, name)
+        if name == "join-places":
+            met.extend((r.node, r.block) for r in out.collect())
+            held.append(set(scratch.paths))
+        return out
+
+    monkeypatch.setattr(Scratch, "saved", note)
+    sets = [(1, i, np.arange(1000 * i, 1000 * i + 8 * 2 ** (i // 10), dtype=np.uint64).tobytes()) for i in range(40)]
+    links = ngram_join.large_cells(spark.createDataFrame(sets, "cell long, node long, grams binary"), 80, Scratch(spark))
+    assert links.isEmpty()
+    assert met and len(met) == len({node for node, _ in met}) and len({block for _, block in met}) >= 4
+    assert not any({"join-large", "join-sets"} & names for names in held)
+
+
 def test_shards_of_odd_rows(docs):
     rows = sharding.shard(docs, 4).collect()
     for s in range(4):
