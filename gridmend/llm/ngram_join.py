@@ -3,6 +3,7 @@
 Jaccard distance is a metric, so pivots bound distances by the triangle inequality. Unrelated texts, though, are all
 about 1 apart, where no bound helps. Cells therefore come first: shingles are dealt by hash into more slices than two
 linked sets can differ in, so linked sets agree on a whole slice, and sets that agree on none are never compared.
+A cell too large for one task is parted by the rare shingles its sets share (``sharing``).
 Within a cell, the sets whose distances do differ, pivots make Voronoi regions.
 """
 
@@ -14,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -181,6 +183,38 @@ def slice_keys(grams: np.ndarray, sizes: np.ndarray, percent: int, common: np.nd
     return np.concatenate(all_sets), np.concatenate(all_keys)
 
 
+def connected(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest number connected with each of ``n`` by the edges (a, b)."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        np.minimum.at(label, a, before[b])
+        np.minimum.at(label, b, before[a])
+        label = label[label]
+        if (label == before).all():
+            return label
+
+
+def prefix_rows(grams: np.ndarray, sizes: np.ndarray, percent: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set numbers, shingles, skip) of what can be in a set's prefix: all shingles but common ones and, where these are too few, the first common ones.
+
+    Linked sets share ``percent`` of either at least, so in any order of all shingles each has the first shared one
+    among its own first ones, all but that share and one more. The order is rare ones first, ``common`` ones last by their hashes;
+    ``skip`` is how many others a set has beyond its prefix, below 0 where the prefix takes common ones.
+    """
+    starts = words.offsets(sizes)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    is_common = np.zeros(len(grams), bool)
+    if len(common) and len(grams):
+        is_common = common[np.minimum(np.searchsorted(common, grams), len(common) - 1)] == grams
+    upto = np.append(0, np.cumsum(is_common))
+    commons = upto[starts[1:]] - upto[starts[:-1]]
+    skip = (sizes - commons) - (sizes - -(-sizes * percent // 100) + 1)
+    number = upto[1:] - upto[starts[:-1]][owner]  # of a common one among those of its set, from 1
+    use = ~is_common | (number <= -skip[owner])
+    return owner[use], grams[use], skip[owner[use]]
+
+
 def overlaps(values: np.ndarray, sizes: np.ndarray, chosen: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Shared shingles of the ``chosen`` sets with each of ``rows``; sets are given by small shingle numbers."""
     at = words.offsets(sizes)
@@ -310,15 +344,17 @@ def _joined(documents: DataFrame, n: int, percent: int) -> DataFrame:
             some = np.zeros(len(sizes), bool)
             some[once] = True
             sets, keys = slice_keys(grams[np.repeat(some, sizes)], sizes[some], percent, common.value)
-            nodes = node[some][sets]
-            # Within a batch the sets of a key are linked to its first; only that one goes on.
-            order = np.lexsort((nodes, keys))
-            keys, nodes = keys[order], nodes[order]
+            # Within a batch the sets of a key are linked to its first, and the sets so connected stand for each other: one
+            # of them goes on with the keys, and the others are linked to that one only.
+            order = np.lexsort((sets, keys))
+            keys, sets = keys[order], sets[order]
             first = np.ones(len(keys), bool)
             first[1:] = keys[1:] != keys[:-1]
-            heads = nodes[first][np.cumsum(first) - 1] if len(keys) else nodes
-            pairs = np.unique(np.stack([heads[~first], nodes[~first]]), axis=1) if len(keys) else np.zeros((2, 0), np.int64)
-            for kind, a, b in ((KEY, keys[first], nodes[first]), (PAIR, pairs[0], pairs[1])):
+            heads = sets[first][np.cumsum(first) - 1] if len(keys) else sets
+            label, nodes = connected(int(some.sum()), heads[~first], sets[~first]), node[some]
+            others = np.flatnonzero(label != np.arange(len(label)))
+            keys, nodes, pairs = keys[first], nodes[label[sets[first]]], (nodes[label[others]], nodes[others])
+            for kind, a, b in ((KEY, keys, nodes), (PAIR, *pairs)):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(b), pa.array(a)], names=["kind", "node", "other"])
 
     rows = scratch.saved(texts.mapInArrow(digests, "doc_id long, text_hash long, n_shingles long, node long"), "join-rows")
@@ -339,22 +375,34 @@ def _joined(documents: DataFrame, n: int, percent: int) -> DataFrame:
 
     members = scratch.saved(held.mapInArrow(sets, "cell long, node long, grams binary"), "join-sets")
     scratch.drop("join-wanted")
-    sizes_of = members.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("grams")).alias("bytes"))
-    counts = scratch.saved(sizes_of.where("n > 1"), "join-counts")
+
+    def sizes_of(sets: DataFrame) -> DataFrame:
+        sized = sets.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("grams")).alias("bytes"))
+        return sized.where("n > 1")
+
+    counts = scratch.saved(sizes_of(members), "join-counts")
     fits = (F.col("n") <= CELL) & (F.col("bytes") <= CELL_BYTES)
-    small = members.join(counts.where(fits), "cell")
+    small = members.join(counts.where(fits), "cell").select("cell", "node", "grams")
+    wide, large = members.join(counts.where(~fits).select("cell"), "cell"), None
+    if not counts.where(~fits).isEmpty():
+        cells = components(sharing(wide, percent, common), "join-narrow", scratch).withColumnRenamed("component", "cell")
+        narrow = scratch.saved(wide.drop("cell").join(cells, "node").select("cell", "node", "grams"), "join-narrow-sets")
+        counts = scratch.saved(sizes_of(narrow), "join-narrow-counts")
+        small = small.unionAll(narrow.join(counts.where(fits), "cell").select("cell", "node", "grams"))
+        large = narrow.join(counts.where(~fits).select("cell"), "cell")
 
     def within(batch: pa.Table) -> pa.Table:
         node, grams = batch["node"].to_numpy(), [np.frombuffer(g, np.uint64) for g in batch["grams"].to_pylist()]
         label = linked(np.concatenate(grams), np.array([len(g) for g in grams]), percent)
         return pa.table({"a": pa.array(node[label]), "b": pa.array(node)})
 
-    links = small.select("cell", "node", "grams").groupBy("cell").applyInArrow(within, "a long, b long")
+    links = small.groupBy("cell").applyInArrow(within, "a long, b long")
     links = scratch.saved(links.where("a != b"), "join-small-links")  # first, so that the sets of small cells can go
-    large = members.join(counts.where(~fits).select("cell"), "cell")
-    links = scratch.saved(links.unionAll(large_cells(large, percent, scratch)), "join-links")
-    del small, large, members, held
-    scratch.drop("join-sets", "join-counts", "join-small-links", *LARGE_TABLES)
+    if large is not None:
+        links = links.unionAll(large_cells(large, percent, scratch))
+    links = scratch.saved(links, "join-links")
+    del small, wide, large, members, held
+    scratch.drop("join-sets", "join-counts", "join-small-links", *NARROW_TABLES, *LARGE_TABLES)
     found_components = components(links, "join-components", scratch)
     nodes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
     grouped = nodes.join(found_components, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -394,6 +442,32 @@ def meeting(found: DataFrame) -> DataFrame:
     return found.repartition("other").sortWithinPartitions("kind", "other", "node").mapInArrow(heads, "a long, b long")
 
 
+def sharing(members: DataFrame, percent: int, common: Broadcast) -> DataFrame:
+    """(a, b) that connect the sets of each cell that share a shingle of their prefixes, rare ones first; all linked ones do.
+
+    Sets that share a passage agree on slices by chance, and many such sets chain up to a cell that grows with the table. Its shingles'
+    frequencies tell passages apart: a stranger shares none of the rare shingles that make up a prefix. Those
+    of one set only are counted and go no further.
+    """
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in words.slices(batches, "grams", TEXT_BYTES):
+            sets = [np.frombuffer(g, np.uint64) for g in batch["grams"].to_pylist()]
+            row, grams, skip = prefix_rows(np.concatenate(sets), np.array([len(g) for g in sets]), percent, common.value)
+            cell, node = (batch[c].to_numpy() for c in ("cell", "node"))
+            keys = mixed(grams ^ mixed(cell[row].astype(np.uint64) * ODD[2]))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(node[row]), pa.array(skip, pa.int32())], names=["key", "node", "skip"])
+
+    rows = members.select("cell", "node", "grams").mapInArrow(tokens, "key long, node long, skip int")
+    shared = rows.withColumn("times", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("times > 1")
+    last = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("times"), F.desc("key")))
+    prefix = shared.withColumn("last", last).where("last > skip")
+    return meeting(prefix.select(F.lit(KEY).cast("tinyint").alias("kind"), "node", F.col("key").alias("other")))
+
+
+#: Scratch tables of the cells that ``sharing`` parts.
+NARROW_TABLES = ("join-narrow-sets", "join-narrow-counts", "join-narrow-labels")
+
 #: What ``large_cells`` leaves in its scratch tables.
 LARGE_TABLES = tuple(
     f"join-{t}" for t in ("large", "numbered", "ranges", "picked", "pivots", "places", "base", "asked", "large-links", "large-named", "large-components-labels")

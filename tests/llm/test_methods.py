@@ -192,6 +192,26 @@ def test_linked_sets_share_a_slice_and_join(percent):
     assert len(set(zip(roots, label))) == len(set(roots)) == len(set(label))
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_a_shingle_of_their_prefixes(percent):
+    """In the order of rarity, with many common shingles, few and none."""
+    rnd = random.Random(percent)
+    for share in (0, 0.3, 0.9):
+        bases = [[rnd.getrandbits(60) for _ in range(rnd.choice([1, 2, 5, 30, 100]))] for _ in range(40)]
+        sets = [{x for x in b if rnd.random() > 0.05} | {rnd.getrandbits(60) for _ in range(rnd.choice([0, 1, 3]))} or set(b) for b in bases for _ in range(4)]
+        grams, sizes = np.concatenate([np.array(sorted(s), np.uint64) for s in sets]), np.array([len(s) for s in sets])
+        common = np.array(sorted({x for x in set().union(*sets) if rnd.random() < share}), np.uint64)
+        found = list(zip(*(a.tolist() for a in ngram_join.prefix_rows(grams, sizes, percent, common))))
+        times, prefix = Counter(g for _, g, _ in found), []
+        for i in range(len(sets)):
+            mine = sorted(((times[g], g, skip) for k, g, skip in found if k == i), reverse=True)
+            prefix.append({g for at, (n, g, skip) in enumerate(x for x in mine if x[0] > 1) if at >= skip})
+        for a in range(len(sets)):
+            for b in range(a):
+                if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                    assert prefix[a] & prefix[b]
+
+
 def test_substring_tables_find_every_code_in_the_radius():
     rng = np.random.default_rng(2)
     codes = rng.integers(0, 256, (2000, 8)).astype(np.uint8)

@@ -88,6 +88,27 @@ def test_pivots_meet_only_blocks_of_like_sizes(spark, monkeypatch):
     assert not any({"join-large", "join-sets"} & names for names in held)
 
 
+def test_strangers_with_a_passage_in_common_meet_no_pivots(spark, monkeypatch):
+    """Two linked pairs among long texts chained up by one passage; a batch links each of its texts once, however many keys they share."""
+    monkeypatch.setattr(ngram_join, "CELL", 20)
+    monkeypatch.setattr(ngram_join, "COMMON", 10**9)
+    saved, rows = Scratch.saved, {}
+
+    def note(scratch, df, name):
+        rows[name] = (out := saved(scratch, df, name)).count()
+        return out
+
+    monkeypatch.setattr(Scratch, "saved", note)
+    passage = [f"p{i}" for i in range(200)]
+    texts = [" ".join([*(f"t{i}x{k}" for k in range(300)), *passage]) for i in range(60)]
+    texts += [t.replace("x150 ", "y150 ") for t in texts[:2]]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
+    found = {r.doc_id: r.component_id for r in ngram_join.join(table).collect()}
+    assert found == {i: i if i < 60 else i - 60 for i in range(62)}
+    assert rows["join-cells-edges"] <= 2 * 61  # of a batch, in both directions
+    assert 2 <= rows["join-narrow-sets"] <= 4 and not rows.get("join-picked")
+
+
 def test_shards_of_odd_rows(docs):
     rows = sharding.shard(docs, 4).collect()
     for s in range(4):
