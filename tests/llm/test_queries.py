@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gridmend.llm import hamming_search, mixing, ngram_join, packing, queries, secret_scan, sharding, url_filter, vector_dedup
-from gridmend.llm.tables import Scratch
+from gridmend.llm.tables import Scratch, components
 
 from compare import connect, differences
 
@@ -109,6 +109,28 @@ def test_strangers_with_a_passage_in_common_meet_no_pivots(spark, monkeypatch):
     assert 2 <= rows["join-narrow-sets"] <= 4 and not rows.get("join-picked")
 
 
+def test_components_move_fewer_nodes_each_round(spark, monkeypatch):
+    """A long path of shuffled numbers, stars with their smallest and largest node inside, pairs, loops, repeated edges and none."""
+    saved, rows = Scratch.saved, []
+
+    def note(scratch, df, name):
+        out = saved(scratch, df, name)
+        rows.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(Scratch, "saved", note)
+    path = list(range(1000))
+    random.Random(3).shuffle(path)
+    edges = list(zip(path, path[1:])) + [(2000, i) for i in range(2001, 2100)] + [(3100, i) for i in range(3000, 3100)]
+    edges += [(i + 1, i) for i in range(4000, 5000, 2)] + [(6000, 6000), (4001, 4000)]
+    want = {**{i: 0 for i in path}, **{i: 2000 for i in range(2000, 2100)}, **{i: 3000 for i in range(3000, 3101)}, **{i: i - i % 2 for i in range(4000, 5000)}}
+    scratch = Scratch(spark)
+    found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "c", scratch).collect()}
+    assert found == want and set(scratch.paths) == {"c-labels"}
+    assert sum(n for name, n in rows if name != "c-edges") < 3 * len(want)
+    assert components(spark.createDataFrame([], "a long, b long"), "c", scratch).isEmpty()
+
+
 def test_shards_of_odd_rows(docs):
     rows = sharding.shard(docs, 4).collect()
     for s in range(4):
