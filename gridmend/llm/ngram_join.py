@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from gridmend.functions.joins import broadcast_if, is_small
 from gridmend.llm import words
-from gridmend.llm.tables import Scratch, components, small_batches
+from gridmend.llm.tables import Scratch, components, connected, for_rows, small_batches
 from gridmend.shipping import ship
 
 GROWTH = 1.37
@@ -183,18 +183,6 @@ def slice_keys(grams: np.ndarray, sizes: np.ndarray, percent: int, common: np.nd
     return np.concatenate(all_sets), np.concatenate(all_keys)
 
 
-def connected(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest number connected with each of ``n`` by the edges (a, b)."""
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        np.minimum.at(label, a, before[b])
-        np.minimum.at(label, b, before[a])
-        label = label[label]
-        if (label == before).all():
-            return label
-
-
 def prefix_rows(grams: np.ndarray, sizes: np.ndarray, percent: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(set numbers, shingles, skip) of what can be in a set's prefix: all shingles but common ones and, where these are too few, the first common ones.
 
@@ -495,18 +483,21 @@ def large_cells(members: DataFrame, percent: int, scratch: Scratch) -> DataFrame
     sized = members.select("cell", "node", F.octet_length("grams").alias("bytes"))
     number, upto = (f.over(Window.partitionBy("cell").orderBy("bytes", "node")) for f in (F.row_number(), F.sum("bytes")))
     block = F.greatest(F.floor((number - 1) / CELL), F.floor(upto / CELL_BYTES)).cast("int")
-    numbered = scratch.saved(sized.withColumn("block", block), "join-numbered")
-    ranges = scratch.saved(numbered.groupBy("cell", "block").agg(F.min("bytes").alias("low"), F.max("bytes").alias("high")), "join-ranges")
+    sets = members.count()
+    numbered = scratch.saved(for_rows(sized.withColumn("block", block), sets), "join-numbered")
+    ranges = numbered.groupBy("cell", "block").agg(F.min("bytes").alias("low"), F.max("bytes").alias("high"))
+    ranges = scratch.saved(for_rows(ranges, sets), "join-ranges")
     base = members.join(broadcast_if(is_small(numbered, SMALL_ROWS), numbered.drop("bytes")), ["cell", "node"])
     base = base.withColumns({"hash": F.xxhash64("node"), "to_first": F.lit(None).cast("array<double>")})
     open_nodes, asked, parts = numbered.select("cell", "node"), None, 1
     while True:
         ranked = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("node"), "node"))
         most = PIVOTS if asked is None else ROUND_PIVOTS * parts
-        picked = scratch.saved(open_nodes.withColumn("rank", ranked).where(F.col("rank") <= most).select("cell", "node", "rank"), "join-picked")
+        picked = open_nodes.withColumn("rank", ranked).where(F.col("rank") <= most).select("cell", "node", "rank")
+        picked = scratch.saved(for_rows(picked, sets), "join-picked")
         if picked.isEmpty():
             return links
-        pivots = scratch.saved(base.drop("block").join(picked.drop("rank"), ["cell", "node"]), "join-pivots")
+        pivots = scratch.saved(for_rows(base.drop("block").join(picked.drop("rank"), ["cell", "node"]), sets, CELL), "join-pivots")
         if asked is None:  # the first pivots, to which every distance is kept
             met = pivots.join(ranges.select("cell", "block"), "cell")
             both = base.groupBy("cell", "block").cogroup(met.groupBy("cell", "block"))
@@ -522,7 +513,7 @@ def large_cells(members: DataFrame, percent: int, scratch: Scratch) -> DataFrame
             places = picked.join(numbered.drop("block"), ["cell", "node"]).join(F.broadcast(ranges), "cell").where(alike)
             at, upto = (f.over(Window.partitionBy("cell", "block").orderBy("rank")) for f in (F.row_number(), F.sum("bytes")))
             part = F.greatest(F.floor((at - 1) / ROUND_PIVOTS), F.floor(upto / CELL_BYTES)).cast("int").alias("part")
-            places = scratch.saved(places.select("cell", "node", "block", part), "join-places")
+            places = scratch.saved(for_rows(places.select("cell", "node", "block", part), sets), "join-places")
             met = pivots.drop("hash").join(broadcast_if(is_small(places, SMALL_ROWS), places), ["cell", "node"])
             parts_of = places.select("cell", "block", F.col("part").alias("part")).distinct()  # an alias, so that the sides' columns differ
             blocks = base.drop("hash").join(F.broadcast(parts_of), ["cell", "block"])
@@ -532,7 +523,8 @@ def large_cells(members: DataFrame, percent: int, scratch: Scratch) -> DataFrame
         links = scratch.saved(links.unionAll(found.where("a != b")), "join-large-links")
         blocks = both = found = pivots = met = places = None  # so that their shuffles can be dropped
         named = base.select("cell", "node").join(components(links, "join-large-components", scratch), "node", "left")
-        named = scratch.saved(named.select("cell", "node", F.coalesce("component", "node").alias("component")), "join-large-named")
+        named = named.select("cell", "node", F.coalesce("component", "node").alias("component"))
+        named = scratch.saved(for_rows(named, sets), "join-large-named")
         counted = named.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("n"))
         largest = counted.groupBy("cell").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
         outside = named.join(largest, "cell").where("component != largest").select("cell", "node")

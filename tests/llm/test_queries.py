@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridmend.llm import hamming_search, mixing, ngram_join, packing, queries, secret_scan, sharding, url_filter, vector_dedup
+from gridmend.llm import hamming_search, mixing, ngram_join, packing, queries, secret_scan, sharding, tables, url_filter, vector_dedup
 from gridmend.llm.tables import Scratch, components
 
 from compare import connect, differences
@@ -131,6 +131,30 @@ def test_components_move_fewer_nodes_each_round(spark, monkeypatch):
     assert components(spark.createDataFrame([], "a long, b long"), "c", scratch).isEmpty()
 
 
+@pytest.mark.parametrize("last_edges", [0, 20_000])
+def test_components_of_a_small_graph_take_few_jobs(spark, monkeypatch, last_edges):
+    """A path takes rounds of jobs only above the edges that one task may finish, and reads its edges once for both directions."""
+    monkeypatch.setattr(tables, "LAST_EDGES", last_edges)
+    path = list(range(-200, 200))
+    random.Random(5).shuffle(path)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    edges = spark.createDataFrame(list(zip(path, path[1:])) + [(900, 901), (None, 5)], "a long, b long").mapInArrow(counted, "a long, b long")
+    spark.sparkContext.setJobGroup(group := f"components-{last_edges}", group)
+    labels = components(edges, "c", Scratch(spark))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    found = {r.node: r.component for r in labels.collect()}
+    assert found == {**{i: -200 for i in path}, 900: 900, 901: 900}
+    assert read.value == len(path) + 1
+    assert jobs <= 12 or not last_edges
+
+
 def test_shards_of_odd_rows(docs):
     rows = sharding.shard(docs, 4).collect()
     for s in range(4):
