@@ -174,3 +174,51 @@ def test_one_shuffle_of_the_simulation(spark):
     assert plan.count("Exchange hashpartitioning") == 2
     plan = qdm.train_qdm(cube, cube, "v", "+", reference_range=ends, historical_range=ends)
     assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def sparse_cells(spark, n_cells):
+    """Many cells, one of them NULL, with a few days each, ties and missing values."""
+    days = spark.range(n_cells * 40).select(
+        F.nullif(F.col("id") % n_cells, F.lit(3)).alias("cell"),
+        timeaxis.date_of_step((F.floor(F.col("id") / n_cells) * 17 + F.col("id") % 13 + 1995 * 365).cast("int")).alias("date"),
+        F.when(F.col("id") % 11 != 3, (F.col("id") * 7919 % 23).cast("double")).alias("v"),
+    )
+    return days.filter(F.xxhash64("cell", "date") % 5 != 0)
+
+
+def test_training_hands_many_cells_to_python_at_once(spark):
+    """Batches that cut groups and batches that hold many give the quantiles of the pools, in far fewer calls than groups."""
+    cube, name = sparse_cells(spark, 60), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    shifted = cube.withColumn("v", F.col("v") * 3 + 1)
+    want = pools.doy_window_pool(cube, "v").select("cell", "doy", "n", F.explode("pool").alias("v")).groupBy("cell", "doy")
+    want = want.agg(F.max("n").alias("n"), F.percentile("v", nodes.quantile_nodes(5)).alias("q")).collect()
+    want = {(r["cell"], r["doy"]): (r["n"], [round(x, 9) for x in r["q"]], [round(2 * x + 1, 9) for x in r["q"]]) for r in want}
+    before = spark.conf.get(name)
+    try:
+        for size in ("7", "10000"):
+            spark.conf.set(name, size)
+            rows = qdm.train_qdm(shifted, cube, "v", "+", quantiles_n=5).collect()
+            assert all(r["n_hist"] == r["n_ref"] for r in rows) and len(rows) == len(want)
+            got = {(r["cell"], r["doy"]): (r["n_hist"], [round(x, 9) for x in r["hist_q"]], [round(x, 9) for x in r["af"]]) for r in rows}
+            assert got == want
+    finally:
+        spark.conf.set(name, before)
+    calls, groups = (spark.sparkContext.accumulator(0) for _ in range(2))
+    rows = cube.select("cell", (F.month("date") % 3).cast("int").alias("_block"), "v")
+
+    def count(table, first):
+        calls.add(1)
+        groups.add(len(first))
+        return table.select(["cell", "_block"]).take(first)
+
+    found = pools.over_groups(rows, ["cell", "_block"], count, "cell long, _block int", 31).collect()
+    assert sorted(map(str, found)) == sorted(map(str, rows.select("cell", "_block").distinct().collect()))
+    assert groups.value == len(found) > 5 * calls.value
+
+
+def test_training_refuses_two_values_of_a_day(spark):
+    cube = sparse_cells(spark, 20)
+    with pytest.raises(Exception, match="two values for one day"):
+        qdm.train_qdm(cube, cube.unionAll(cube), "v", "+").collect()
+    with pytest.raises(Exception, match="two values for one day"):
+        qdm.train_qdm(cube.unionAll(cube), cube, "v", "+").collect()
